@@ -192,3 +192,79 @@ week_array AS (
 
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+# ------------------------------------------------------------- snapshots
+# (dt, exclusive cutoff on publication_date or None for all rows). The oldest
+# is below the floor; the newest is a smaller restatement, so picking the
+# wrong snapshot changes the answer.
+SNAPSHOTS = [("2025-01-18", None), ("2025-02-01", None), ("2025-02-08", "2001-01-01")]
+
+
+def fx_event_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event copied into each snapshot that contains it (<= 3 copies)."""
+    import datetime as dt
+    ev = fx_events(spark, sf_dir)
+    arr = F.array(*[F.struct(F.lit(dt.date.fromisoformat(d)).alias("dt"),
+                             F.lit(dt.date.fromisoformat(c) if c else None).cast("date").alias("cut"))
+                    for d, c in SNAPSHOTS])
+    keep = F.filter(arr, lambda s: s["cut"].isNull() | (F.col("publication_date") < s["cut"]))
+    return (ev.withColumn("_s", F.explode(keep))
+            .select("document_number", "person", "publication_date", SERIES,
+                    F.col("_s.dt").alias("dt"), F.lit("en").alias("lang")))
+
+
+SNAPSHOTS_SQL = "snaps AS (\n" + "\n  UNION ALL\n".join(
+    f"  SELECT *, DATE '{d}' AS dt, 'en' AS lang FROM fx_events"
+    + (f" WHERE publication_date < DATE '{c}'" if c else "")
+    for d, c in SNAPSHOTS) + ")"
+
+# ---------------------------------------------------------- scraped pages
+POLL_HEADER = ["Start Date", "End Date", "Approving", "Disapproving", "Unsure/No Data"]
+POLL_RENAME = {"Start Date": "start_date", "End Date": "end_date", "Approving": "approving",
+               "Disapproving": "disapproving", "Unsure/No Data": "unsure_or_no_data"}
+PAGE_ROWS = 512   # poll rows per generated page (bounded page size)
+
+
+def fx_poll_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polls rendered as HTML pages: one page per (president, block of poll ids).
+
+    Each page holds a header row, at most ``PAGE_ROWS`` data rows and a second
+    (decoy) table; raw web pages from ``pages`` (no tables) are added too.
+    """
+    polls = fx_polls(spark, sf_dir)
+    vals = ["start_date", "end_date", "approving", "disapproving", "unsure_or_no_data"]
+    row = F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), F.coalesce(F.col(c), F.lit("")), F.lit("</td>"))
+                                    for c in vals], F.lit("</tr>"))
+    head = "<tr>" + "".join(f"<th>{h}</th>" for h in POLL_HEADER) + "</tr>"
+    grouped = (polls.select("president", F.floor(F.col("poll_id") / PAGE_ROWS).alias("page_no"),
+                            "poll_id", row.alias("tr"))
+               .groupBy("president", "page_no")
+               .agg(F.array_sort(F.collect_list(F.struct("poll_id", "tr"))).alias("_rows")))
+    html = F.concat(F.lit("<html><body><h1>Approval</h1><table class='ratings'>" + head),
+                    F.array_join(F.col("_rows.tr"), ""),
+                    F.lit("</table><p>Notes</p><table><tr><th>Note</th></tr><tr><td>decoy</td></tr></table>"
+                          "</body></html>"))
+    tables = grouped.select("president", "page_no", html.alias("html"))
+    raw = table(spark, sf_dir, "pages").select(F.col("url").alias("president"),
+                                               F.lit(-1).cast("long").alias("page_no"), "html")
+    return tables.unionByName(raw)
+
+
+# ------------------------------------------------------------- API pages
+API_BLOCK = 64   # order keys per page (<= 7 lines each)
+
+
+def fx_api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON envelopes ``{"count", "results": [...], "next_page_url"}``."""
+    li = table(spark, sf_dir, "lineitem")
+    ev = li.select(F.floor(F.col("l_orderkey") / API_BLOCK).alias("page"),
+                   F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string"))
+                    .otherwise((F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")).alias("document_number"),
+                   F.col("l_linestatus").alias("person"),
+                   F.to_date("l_shipdate").alias("publication_date"),
+                   F.col("l_returnflag").alias(SERIES))
+    recs = F.collect_list(F.struct("document_number", "person", "publication_date", SERIES))
+    env = F.struct(F.count(F.lit(1)).cast("string").alias("count"), recs.alias("results"),
+                   F.concat(F.lit("page="), (F.col("page") + 1).cast("string")).alias("next_page_url"))
+    return ev.groupBy("page").agg(F.to_json(env).alias("body"))

@@ -1,6 +1,6 @@
 """Import every query module so the registry is complete."""
 
-from panelkit.plans import q_panel  # noqa: F401
+from panelkit.plans import q_panel, q_sources  # noqa: F401
 from panelkit.plans.registry import QUERIES
 
 __all__ = ["QUERIES"]
