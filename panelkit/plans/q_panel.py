@@ -139,7 +139,15 @@ def q_indicator_month_join(spark, sf):
     return j.select(SERIES, "week_start", *P.INDICATORS)
 
 
-def _literal_panel_sql(corrected: bool) -> str:
+def _literal_panel_sql(corrected: bool, rounded: bool = True) -> str:
+    return with_ctes(*PANEL_BASE_CTES) + panel_body(corrected, rounded)
+
+
+PANEL_BASE_CTES = [FX_EVENTS_SQL, EVENTS_SORT_SQL, SPINE_SQL, FX_POLLS_SQL, POLLS_SORT_SQL,
+                   FX_INDICATORS_SQL, INDICATORS_SORT_SQL]
+
+
+def panel_body(corrected: bool, rounded: bool = True) -> str:
     """The studied query, literally: three left joins to the spine, then GROUP BY."""
     ind_sel = ",\n  ".join(
         f"IF(i.{c} = 'NA', NULL, i.{c}) AS {c}" if c in P.INDICATORS_NA else f"i.{c}"
@@ -174,8 +182,10 @@ LEFT JOIN polls_sort a ON date_trunc('month', a.period_start) = date_trunc('mont
 LEFT JOIN indicators_sort i ON i.month_start = date_trunc('month', w.week_start)
 WHERE i.ConstructionSpending IS NOT NULL
 GROUP BY w.series_key, w.week_start, {", ".join("i." + c for c in P.INDICATORS)}"""
-    return with_ctes(FX_EVENTS_SQL, EVENTS_SORT_SQL, SPINE_SQL, FX_POLLS_SQL, POLLS_SORT_SQL,
-                     FX_INDICATORS_SQL, INDICATORS_SORT_SQL) + body
+    if not rounded:
+        for c in P.POLL_VALUES:
+            body = body.replace(f"round(AVG(TRY_CAST(a.{c} AS DOUBLE)), 6)", f"AVG(TRY_CAST(a.{c} AS DOUBLE))")
+    return body
 
 
 @register("weekly_panel", _literal_panel_sql(False), covers="J4 P3 P4 A3 A4 D4 D5 D7 C2 C3 F3 O2")
