@@ -104,19 +104,23 @@ def interpolate_cubic(df: DataFrame, cols: Sequence[str], keys: Sequence[str] =
     w = _w(keys)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     after = w.rowsBetween(1, Window.unboundedFollowing)
-    x = _epoch_weeks(F.col(x_col))
-    d = df.withColumn("_x", x)
-    # pass 1: nearest known point before / after every row
+    d = df.select("*", _epoch_weeks(F.col(x_col)).alias("_x"))
+    # pass 1: nearest known point before / after every row (one select, so the
+    # analyzer sees one projection rather than a chain of withColumn calls)
+    p1 = []
     for c in cols:
         known = F.when(F.col(c).isNotNull(), F.struct(F.col("_x").alias("x"), F.col(c).alias("y")))
-        d = (d.withColumn(f"_p_{c}", F.last(known, ignorenulls=True).over(before))
-              .withColumn(f"_n_{c}", F.first(known, ignorenulls=True).over(after)))
+        p1 += [F.last(known, ignorenulls=True).over(before).alias(f"_p_{c}"),
+               F.first(known, ignorenulls=True).over(after).alias(f"_n_{c}")]
+    d = d.select("*", *p1)
     # pass 2: the known point before the nearest known point (and after, after)
+    p2 = []
     for c in cols:
         kp = F.when(F.col(c).isNotNull(), F.col(f"_p_{c}"))
         kn = F.when(F.col(c).isNotNull(), F.col(f"_n_{c}"))
-        d = (d.withColumn(f"_pp_{c}", F.last(kp, ignorenulls=True).over(before))
-              .withColumn(f"_nn_{c}", F.first(kn, ignorenulls=True).over(after)))
+        p2 += [F.last(kp, ignorenulls=True).over(before).alias(f"_pp_{c}"),
+               F.first(kn, ignorenulls=True).over(after).alias(f"_nn_{c}")]
+    d = d.select("*", *p2)
     out = []
     t = F.col("_x")
     for c in cols:

@@ -20,6 +20,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -64,3 +65,14 @@ def work_dir(spark: SparkSession, name: str) -> str:
     if "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+
+    Used on small panel-grain frames that feed several branches (model fits,
+    projections), so the event aggregation upstream is not recomputed per
+    branch. Never ``localCheckpoint``: executors may be lost.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
