@@ -154,3 +154,22 @@ def q_panel_head(spark, sf):
 
 
 _ = AS_OF
+
+
+@register("ingest_available_now", LATEST_SQL, covers="S16 §2.12")
+def q_ingest_available_now(spark, sf):
+    """Land two snapshots, ingest incrementally; land a late older snapshot,
+    ingest again (and once more with nothing new): the curated table is the
+    newest snapshot's per-date counts throughout."""
+    from panelkit.streaming.ingest import ingest_available_now
+    base = work_dir(spark, "stream")
+    landing, mirror, curated = f"{base}/landing", f"{base}/mirror", f"{base}/curated"
+    man, ckpt = f"{base}/manifest", f"{base}/_checkpoint"
+    snaps = FX.fx_event_snapshots(spark, sf)
+    curate = lambda df: P.events_by_date(df, keys=[SERIES])
+    S.land(snaps.where(F.col("dt") != F.lit("2025-02-01").cast("date")), landing, fmt="json")
+    ingest_available_now(spark, landing, EVENT_RECORD, mirror, curated, man, ckpt, curate, SNAPSHOT_FLOOR)
+    S.land(snaps.where(F.col("dt") == F.lit("2025-02-01").cast("date")), landing, fmt="json")
+    ingest_available_now(spark, landing, EVENT_RECORD, mirror, curated, man, ckpt, curate, SNAPSHOT_FLOOR)
+    ingest_available_now(spark, landing, EVENT_RECORD, mirror, curated, man, ckpt, curate, SNAPSHOT_FLOOR)
+    return spark.read.parquet(curated)
