@@ -97,52 +97,52 @@ def interpolate_cubic(df: DataFrame, cols: Sequence[str], keys: Sequence[str] =
     ``extrapolate`` (linear from the last two knots), ``hold`` or ``null``;
     leading NULLs: ``null`` (kept, as the studied job does) or ``hold``
     (first known value, needed before PCA which admits no NULL).
-    Known cells are never changed. Pure window expressions per series.
+
+    Known cells are never changed. The frame is unpivoted to
+    ``(keys, variable, x, value)`` so one small set of window expressions,
+    partitioned by ``(keys, variable)``, serves every column (parallel over
+    series x variables), then pivoted back with one aggregate. ``(keys,
+    x_col)`` must identify a row.
     """
     if trailing not in ("extrapolate", "hold", "null"):
         raise ValueError(trailing)
-    w = _w(keys)
+    cols = list(cols)
+    keys = list(keys)
+    other = [c for c in df.columns if c not in cols and c not in keys and c != x_col]
+    stack = "stack({}, {}) as (_var, _val)".format(
+        len(cols), ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols))
+    long = df.select(*keys, x_col, *other, F.expr(stack))
+    w = Window.partitionBy(*keys, "_var").orderBy(x_col)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     after = w.rowsBetween(1, Window.unboundedFollowing)
-    d = df.select("*", _epoch_weeks(F.col(x_col)).alias("_x"))
-    # pass 1: nearest known point before / after every row (one select, so the
-    # analyzer sees one projection rather than a chain of withColumn calls)
-    p1 = []
-    for c in cols:
-        known = F.when(F.col(c).isNotNull(), F.struct(F.col("_x").alias("x"), F.col(c).alias("y")))
-        p1 += [F.last(known, ignorenulls=True).over(before).alias(f"_p_{c}"),
-               F.first(known, ignorenulls=True).over(after).alias(f"_n_{c}")]
-    d = d.select("*", *p1)
-    # pass 2: the known point before the nearest known point (and after, after)
-    p2 = []
-    for c in cols:
-        kp = F.when(F.col(c).isNotNull(), F.col(f"_p_{c}"))
-        kn = F.when(F.col(c).isNotNull(), F.col(f"_n_{c}"))
-        p2 += [F.last(kp, ignorenulls=True).over(before).alias(f"_pp_{c}"),
-               F.first(kn, ignorenulls=True).over(after).alias(f"_nn_{c}")]
-    d = d.select("*", *p2)
-    out = []
-    t = F.col("_x")
-    for c in cols:
-        p, n, pp, nn = (F.col(f"_p_{c}"), F.col(f"_n_{c}"), F.col(f"_pp_{c}"), F.col(f"_nn_{c}"))
-        cubic = _lagrange4(t, pp, p, n, nn)
-        linear = p["y"] + (n["y"] - p["y"]) * (t - p["x"]) / (n["x"] - p["x"])
-        inside = F.when(pp.isNotNull() & nn.isNotNull(), cubic).otherwise(linear)
-        if trailing == "extrapolate":
-            tail = F.when(pp.isNotNull(), p["y"] + (p["y"] - pp["y"]) * (t - p["x"]) / (p["x"] - pp["x"])
-                          ).otherwise(p["y"])
-        elif trailing == "hold":
-            tail = p["y"]
-        else:
-            tail = F.lit(None).cast("double")
-        filled = (F.when(F.col(c).isNotNull(), F.col(c))
-                  .when(p.isNotNull() & n.isNotNull(), inside)
-                  .when(p.isNotNull(), tail))
-        if leading == "hold":
-            filled = F.coalesce(filled, n["y"])
-        out.append(filled.alias(c))
-    keep = [c for c in df.columns if c not in cols]
-    return d.select(*keep, *out).select(*df.columns)
+    v = F.col("_val")
+    known = F.when(v.isNotNull(), F.struct(_epoch_weeks(F.col(x_col)).alias("x"), v.alias("y")))
+    d = long.select("*", F.last(known, ignorenulls=True).over(before).alias("_p"),
+                    F.first(known, ignorenulls=True).over(after).alias("_n"))
+    d = d.select("*", F.last(F.when(v.isNotNull(), F.col("_p")), ignorenulls=True).over(before).alias("_pp"),
+                 F.first(F.when(v.isNotNull(), F.col("_n")), ignorenulls=True).over(after).alias("_nn"))
+    t = _epoch_weeks(F.col(x_col))
+    p, n, pp, nn = F.col("_p"), F.col("_n"), F.col("_pp"), F.col("_nn")
+    cubic = _lagrange4(t, pp, p, n, nn)
+    linear = p["y"] + (n["y"] - p["y"]) * (t - p["x"]) / (n["x"] - p["x"])
+    inside = F.when(pp.isNotNull() & nn.isNotNull(), cubic).otherwise(linear)
+    if trailing == "extrapolate":
+        tail = F.when(pp.isNotNull(), p["y"] + (p["y"] - pp["y"]) * (t - p["x"]) / (p["x"] - pp["x"])
+                      ).otherwise(p["y"])
+    elif trailing == "hold":
+        tail = p["y"]
+    else:
+        tail = F.lit(None).cast("double")
+    filled = (F.when(v.isNotNull(), v)
+              .when(p.isNotNull() & n.isNotNull(), inside)
+              .when(p.isNotNull(), tail))
+    if leading == "hold":
+        filled = F.coalesce(filled, n["y"])
+    wide = (d.select(*keys, x_col, *other, "_var", filled.alias("_f"))
+            .groupBy(*keys, x_col)
+            .agg(*[F.first(c).alias(c) for c in other],
+                 F.map_from_entries(F.collect_list(F.struct("_var", "_f"))).alias("_m")))
+    return wide.select(*[F.col("_m")[c].alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def _lagrange4(t, a, b, c, d) -> Column:
