@@ -11,7 +11,7 @@ from panelkit.plans.fixtures import RUN_TS, SERIES, with_ctes
 from panelkit.plans.q_multi import N_COMPONENTS, scores
 from panelkit.plans.q_prep import MF_CTES, Y, frame
 from panelkit.plans.registry import register, round_doubles
-from panelkit.session import materialize
+from panelkit.session import materialize, work_dir
 
 K = [SERIES]
 NLAGS = 20
@@ -95,11 +95,15 @@ def _forecast(spark, sf):
     return mf, best, SE.forecast(mf, best, Y, PCS, K)
 
 
-@register("forecast", covers="M14 M15 M16 S13")
+@register("forecast", covers="M14 M15 M16 S13 P4")
 def q_forecast(spark, sf):
+    """Forecast the test span and append it, partitioned by load date; read the table back."""
     _, _, fc = _forecast(spark, sf)
-    return round_doubles(fc.select(SERIES, "week_start", F.col("predicted").alias("predicted_orders"),
-                                   "ci_lo", "ci_hi", F.to_date(F.lit(RUN_TS)).alias("load_dt")))
+    out = fc.select(SERIES, "week_start", F.col("predicted").alias("predicted_orders"),
+                    "ci_lo", "ci_hi", F.to_date(F.lit(RUN_TS)).alias("load_dt"))
+    path = work_dir(spark, "predicted")
+    out.write.mode("append").partitionBy("load_dt").parquet(path)
+    return round_doubles(spark.read.parquet(path))
 
 
 @register("forecast_vs_observed", covers="J6 M17")

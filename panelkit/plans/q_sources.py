@@ -53,8 +53,9 @@ def q_latest_run(spark, sf):
     S.overwrite_table(panel(spark, sf), base)
     stored = spark.read.parquet(base)
     path = work_dir(spark, "weekly_panel_runs")
+    expected = StructType.fromDDL(f"{SERIES} STRING, " + P.PANEL_SCHEMA_DDL)
     for ts in RUNS:
-        S.append_run(stored.withColumn("run_date", F.lit(ts).cast("timestamp_ntz")), path)
+        S.append_run(stored.withColumn("run_date", F.lit(ts).cast("timestamp_ntz")), path, expected)
     return round_doubles(S.latest_run(spark.read.parquet(path)))
 
 
@@ -173,3 +174,36 @@ def q_ingest_available_now(spark, sf):
     ingest_available_now(spark, landing, EVENT_RECORD, mirror, curated, man, ckpt, curate, SNAPSHOT_FLOOR)
     ingest_available_now(spark, landing, EVENT_RECORD, mirror, curated, man, ckpt, curate, SNAPSHOT_FLOOR)
     return spark.read.parquet(curated)
+
+
+POLL_RAW = StructType([StructField(c, StringType()) for c in
+                       ["poll_id", "start_date", "end_date", "approving", "disapproving", "unsure_or_no_data",
+                        "president"]])
+
+
+@register("csv_snapshot_roundtrip", with_ctes(FX_POLLS_SQL) + """SELECT CAST(poll_id AS VARCHAR) AS poll_id,
+  NULLIF(start_date, '') AS start_date, NULLIF(end_date, '') AS end_date, NULLIF(approving, '') AS approving,
+  NULLIF(disapproving, '') AS disapproving, NULLIF(unsure_or_no_data, '') AS unsure_or_no_data,
+  NULLIF(president, '') AS president FROM fx_polls""",
+          covers="S4 S7 S3 S8")
+def q_csv_snapshot_roundtrip(spark, sf):
+    """Land the polls as a CSV snapshot with header under dt=/lang=, plus an older
+    snapshot, and read the newest back with an explicit all-text schema."""
+    root = work_dir(spark, "polls_raw")
+    polls = FX.fx_polls(spark, sf).select(*[F.col(c).cast("string") for c in POLL_RAW.fieldNames()])
+    S.land(polls.select("*", F.lit("2025-01-18").cast("date").alias("dt"), F.lit("en").alias("lang")), root, fmt="csv")
+    S.land(polls.select("*", F.lit("2025-02-08").cast("date").alias("dt"), F.lit("en").alias("lang")), root, fmt="csv")
+    back = S.read_snapshots(spark, root, POLL_RAW, fmt="csv")
+    # an empty CSV field reads back as NULL; the raw '' sentinel is therefore NULL here
+    return S.latest_snapshot(back, SNAPSHOT_FLOOR).drop("dt", "lang")
+
+
+@register("panel_csv_extract", _literal_panel_sql(False), covers="S14 D12 O3")
+def q_panel_csv_extract(spark, sf):
+    """Write the panel as a CSV extract with header, read it back with the fixed
+    panel schema, parse dates and sort by week (the exploration notebook's input)."""
+    path = work_dir(spark, "panel_extract")
+    panel(spark, sf).drop("run_date").write.mode("overwrite").option("header", True).csv(path)
+    schema = StructType.fromDDL(f"{SERIES} STRING, " + P.PANEL_SCHEMA_DDL.replace(", run_date TIMESTAMP_NTZ", ""))
+    back = spark.read.schema(schema).option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
+    return round_doubles(back.orderBy(SERIES, "week_start"))
