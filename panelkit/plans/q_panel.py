@@ -104,7 +104,7 @@ def q_week_range_join(spark, sf):
 
 
 @register("bucketed_range_join", with_ctes(FX_EVENTS_SQL, EVENTS_SORT_SQL, FX_POLLS_SQL, POLLS_SORT_SQL)
-          + """SELECT p.poll_id, o.series_key, SUM(o.events_on_date) AS n_events, COUNT(*) AS n_dates
+          + """SELECT p.poll_id, o.series_key, CAST(SUM(o.events_on_date) AS BIGINT) AS n_events, COUNT(*) AS n_dates
 FROM polls_sort p JOIN events_sort o ON o.publication_date BETWEEN p.period_start AND p.period_end
 GROUP BY p.poll_id, o.series_key""", covers="J1(general)")
 def q_bucketed_range_join(spark, sf):
