@@ -35,11 +35,20 @@ MIN_ROWS = 60
 DD = [(0, 0), (0, 1), (1, 0), (1, 1)]
 
 
-def candidate_grid(spark: SparkSession, s: int = SEASON) -> DataFrame:
-    """All ``(p,d,q) x (P,D,Q,s)`` with each order in {0, 1}: 64 rows, in loop order."""
-    g = spark.range(64).select(F.col("id").cast("int").alias("grid_pos"))
+def candidate_grid(spark: SparkSession, s: int = SEASON, series: DataFrame | None = None,
+                   keys: Sequence[str] = ()) -> DataFrame:
+    """All ``(p,d,q) x (P,D,Q,s)`` with each order in {0, 1}: 64 rows in loop order.
+
+    With ``series`` (one row per series key), every series emits its own 64
+    candidates (``explode``), so the grid is built in parallel per series.
+    """
+    keys = list(keys)
+    if series is None:
+        g = spark.range(64).select(F.col("id").cast("int").alias("grid_pos"))
+    else:
+        g = series.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(63))).alias("grid_pos"))
     bit = lambda k: ((F.col("grid_pos") / (2 ** k)).cast("int") % 2).cast("int")
-    return g.select("grid_pos", bit(5).alias("p"), bit(4).alias("d"), bit(3).alias("q"),
+    return g.select(*keys, "grid_pos", bit(5).alias("p"), bit(4).alias("d"), bit(3).alias("q"),
                     bit(2).alias("sp"), bit(1).alias("sd"), bit(0).alias("sq"), F.lit(s).alias("s"))
 
 

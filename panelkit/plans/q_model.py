@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from panelkit.operators import prep as R
 from panelkit.operators import seasonal as SE
 from panelkit.operators import tsstats as TS
-from panelkit.plans.fixtures import RUN_TS, SERIES, with_ctes
+from panelkit.plans.fixtures import FX_EVENTS_SQL, RUN_TS, SERIES, with_ctes
+from panelkit.plans.q_panel import events_sorted
 from panelkit.plans.q_multi import N_COMPONENTS, scores
 from panelkit.plans.q_prep import MF_CTES, Y, frame
 from panelkit.plans.registry import register, round_doubles
@@ -62,13 +63,15 @@ def q_adf(spark, sf):
     return round_doubles(TS.adf(diffed(spark, sf), DIFF, K))
 
 
-@register("candidate_grid", """SELECT CAST(i AS INTEGER) AS grid_pos,
+@register("candidate_grid", with_ctes(FX_EVENTS_SQL) + """SELECT series_key, CAST(i AS INTEGER) AS grid_pos,
   CAST((i // 32) % 2 AS INTEGER) AS p, CAST((i // 16) % 2 AS INTEGER) AS d, CAST((i // 8) % 2 AS INTEGER) AS q,
   CAST((i // 4) % 2 AS INTEGER) AS sp, CAST((i // 2) % 2 AS INTEGER) AS sd, CAST(i % 2 AS INTEGER) AS sq,
   52 AS s
-FROM range(64) t(i)""", covers="M9 J7")
+FROM (SELECT series_key, unnest(range(64)) AS i FROM (SELECT DISTINCT series_key FROM fx_events) k) g""",
+          covers="M9 J7")
 def q_candidate_grid(spark, sf):
-    return SE.candidate_grid(spark)
+    series = events_sorted(spark, sf).select(SERIES).distinct()
+    return SE.candidate_grid(spark, series=series, keys=K)
 
 
 @register("seasonal_arx_grid", covers="M10")
