@@ -176,3 +176,8 @@ def q_interpolate_cubic(spark, sf):
 FROM mf""", covers="P13 X7 O3 A15")
 def q_chrono_split(spark, sf):
     return R.chrono_split(frame(spark, sf).select(SERIES, "week_start", R.T), K)
+
+
+@register("interpolate_spline", covers="P12(spline)")
+def q_interpolate_spline(spark, sf):
+    return round_doubles(R.interpolate_spline(blanked(spark, sf), X, K))

@@ -63,3 +63,36 @@ def test_chrono_split(spark, n, train):
 def test_difference(spark):
     out = R.difference(frame(spark, [1, 4, 9, 16]), "y", ["k"]).orderBy("t_idx").collect()
     assert [r.y_diff for r in out] == [None, 3.0, 5.0, 7.0]
+
+
+def test_natural_spline_reproduces_lines_and_keeps_known(spark):
+    t = np.arange(25, dtype=float)
+    truth = 3 * t - 7
+    xs = [None if i in (0, 5, 6, 15, 24) else v for i, v in enumerate(truth)]
+    out = R.interpolate_spline(frame(spark, [0] * 25, xs), ["x"], ["k"]).orderBy("t_idx").toPandas()
+    assert np.isnan(out["x"].iloc[0])
+    assert np.allclose(out["x"].iloc[1:], truth[1:])
+
+
+def test_natural_spline_matches_dense_solve():
+    rng = np.random.default_rng(5)
+    x = np.arange(12, dtype=float)
+    y = rng.normal(size=12)
+    y_nan = y.copy()
+    y_nan[[4, 7]] = np.nan
+    got = R._natural_spline_fill(x, y_nan)
+    xs, ys = np.delete(x, [4, 7]), np.delete(y, [4, 7])
+    m = len(xs)
+    h = np.diff(xs)
+    A = np.zeros((m, m))
+    r = np.zeros(m)
+    A[0, 0] = A[-1, -1] = 1
+    for i in range(1, m - 1):
+        A[i, i - 1], A[i, i], A[i, i + 1] = h[i - 1], 2 * (h[i - 1] + h[i]), h[i]
+        r[i] = 6 * ((ys[i + 1] - ys[i]) / h[i] - (ys[i] - ys[i - 1]) / h[i - 1])
+    M = np.linalg.solve(A, r)
+    for t in (4, 7):
+        i = np.searchsorted(xs, x[t]) - 1
+        a, b = (xs[i + 1] - x[t]) / h[i], (x[t] - xs[i]) / h[i]
+        exp = a * ys[i] + b * ys[i + 1] + ((a ** 3 - a) * M[i] + (b ** 3 - b) * M[i + 1]) * h[i] ** 2 / 6
+        assert np.isclose(got[t], exp)
