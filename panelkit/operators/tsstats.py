@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelkit.session import materialize
+
 T = "t_idx"
 
 # MacKinnon (1994, 2010) response-surface coefficients for the
@@ -134,7 +136,9 @@ def adf(df: DataFrame, col: str, keys: Sequence[str] = (), max_lag_cap: int | No
     ml = F.least(F.floor(n / 2) - 2, F.ceil(12.0 * F.pow(n / 100.0, 0.25))).cast("int")
     base = x.select(*keys, "_t", "_v", n.alias("_n"), ml.alias("_ml"),
                     (F.lead("_v", 1).over(w) - F.col("_v")).alias("_dx"))
-    # global upper bound on lag columns: a single summary number
+    # the lag-column bound is one summary number; checkpoint the (series-grain)
+    # base first so reading it does not run the upstream pipeline twice
+    base = materialize(base)
     m_all = base.agg(F.max("_ml")).first()[0]
     M = int(m_all if m_all is not None else 0)
     if max_lag_cap is not None:
