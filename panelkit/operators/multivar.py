@@ -37,9 +37,14 @@ def standardize(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (),
 
     Population sigma (ddof = 0), not Spark ML's ``StandardScaler`` (sample sigma).
     """
-    stats = df.groupBy(*keys).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols],
-                                  *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols])
-    j = attach(df, stats, keys)
+    if keys:  # one pass: whole-partition windows per series (a series is bounded by its weeks)
+        w = Window.partitionBy(*keys)
+        j = df.select("*", *[F.avg(c).over(w).alias(f"_m_{c}") for c in cols],
+                      *[F.stddev_pop(c).over(w).alias(f"_s_{c}") for c in cols])
+    else:
+        stats = df.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols],
+                       *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols])
+        j = attach(df, stats, keys)
     z = [F.when(F.col(f"_s_{c}") == 0, F.lit(0.0))
          .otherwise((F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}")).alias(c + suffix) for c in cols]
     keep = [c for c in df.columns if suffix or c not in cols]

@@ -68,9 +68,9 @@ def outlier_blank(df: DataFrame, outcome: str, value_cols: Sequence[str], keys:
     Median and sample std come from the data before blanking; the whole row
     (outcome and exogenous values) is blanked, as in the studied job.
     """
-    if keys:
-        stats = df.groupBy(*keys).agg(F.median(outcome).alias("_med"), F.stddev_samp(outcome).alias("_sd"))
-        j = df.join(stats, list(keys), "left")
+    if keys:  # one pass: per-series statistics as whole-partition windows
+        w = Window.partitionBy(*keys)
+        j = df.select("*", F.median(outcome).over(w).alias("_med"), F.stddev_samp(outcome).over(w).alias("_sd"))
     else:  # one series: two scalar subqueries
         j = df.select("*", df.select(F.median(outcome)).scalar().alias("_med"),
                       df.select(F.stddev_samp(outcome)).scalar().alias("_sd"))

@@ -10,6 +10,7 @@ from panelkit.operators import quality as Q
 from panelkit.plans.fixtures import SERIES, with_ctes
 from panelkit.plans.q_panel import PANEL_BASE_CTES, panel, panel_body
 from panelkit.plans.registry import register, round_doubles
+from panelkit.session import materialize
 
 K = [SERIES]
 Y = P.OUTCOME
@@ -17,7 +18,10 @@ X = P.EXOGENOUS
 
 
 def frame(spark, sf):
-    return R.model_frame(panel(spark, sf), X, Y, K)
+    """Panel-grain modelling frame, checkpointed once: every branch downstream
+    (statistics joined back, phase means, PCA, grid) reads it instead of
+    re-scanning and re-aggregating the raw events."""
+    return materialize(R.model_frame(panel(spark, sf), X, Y, K))
 
 
 def blanked(spark, sf):
