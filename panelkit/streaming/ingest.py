@@ -32,7 +32,17 @@ def ingest_available_now(spark: SparkSession, landing_root: str, record_schema:
             return
         batch.write.mode("append").partitionBy("dt", "lang").parquet(mirror_path)
         landed = spark.read.parquet(mirror_path)
-        manifest(landed, keys=["dt"]).write.mode("overwrite").parquet(manifest_path)
+        # manifest: recompute only the snapshot dates touched by this batch
+        # (semi-join prunes the mirror's partitions) and overwrite just those
+        touched = batch.select("dt").distinct()
+        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        try:
+            (manifest(landed.join(touched, "dt", "left_semi"), keys=["dt"])
+             .write.mode("overwrite").partitionBy("dt").parquet(manifest_path))
+        finally:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        # curated table: rebuilt from the newest snapshot only (partition-pruned read)
         curate(latest_snapshot(landed, floor)).write.mode("overwrite").parquet(curated_path)
 
     q = (stream.writeStream.foreachBatch(on_batch)
