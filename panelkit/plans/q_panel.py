@@ -34,7 +34,9 @@ def spine(spark, sf):
 
 
 def panel(spark, sf, fanout="reference"):
-    return P.weekly_panel(events_sorted(spark, sf), polls_sorted(spark, sf),
+    """The panel straight from raw events: one partial aggregate per (series,
+    week) replaces the per-date table plus a second aggregate (same counts)."""
+    return P.weekly_panel(FX.fx_events(spark, sf), polls_sorted(spark, sf),
                           indicators_sorted(spark, sf), AS_OF, RUN_TS, keys=K, fanout=fanout)
 
 
