@@ -67,9 +67,19 @@ def parse_poll_date(s, repair: bool = True) -> Column:
     repair pattern never matches, so the third branch equals the second.
     """
     t = F.trim(_c(s))
-    short = pivot_two_digit_year(F.try_to_date(t, "M/d/yy"))
-    long_ = F.try_to_date(t, "M/d/yyyy")
-    third = F.try_to_date(repair_extra_slash(t) if repair else t, "M/d/yyyy")
+    # Each parse is guarded by the digit shape it needs: a failed parse costs
+    # a swallowed exception per row, the regex test is cheap. The guards only
+    # skip attempts that cannot succeed ('yy' takes exactly two year digits,
+    # 'yyyy' four or more), so results are unchanged.
+    short = F.when(t.rlike(r"^[0-9]+/[0-9]+/[0-9]{2}$"),
+                   pivot_two_digit_year(F.try_to_date(t, "M/d/yy")))
+    long_ = F.when(t.rlike(r"^[0-9]+/[0-9]+/[0-9]{4,}$"), F.try_to_date(t, "M/d/yyyy"))
+    if repair:
+        fixed = repair_extra_slash(t)
+        third = F.when(t.rlike(r"^[0-9]+/[0-9]+/[0-9]*/[0-9]*"),
+                       F.when(fixed.rlike(r"^[0-9]+/[0-9]+/[0-9]{4,}$"), F.try_to_date(fixed, "M/d/yyyy")))
+    else:
+        third = long_
     return F.coalesce(short, long_, third)
 
 
