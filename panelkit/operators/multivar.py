@@ -23,12 +23,37 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join per-key statistics back; a global (one-row) statistic is broadcast."""
+def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join per-key statistics (one row per key) back onto rows.
+
+    Without keys the statistic is one global row of summary numbers (means,
+    deviations, loadings: tens to hundreds of values). It is read once and
+    inlined as literals, so no join - and no nested-loop or cartesian plan -
+    is needed. ``how='inner'`` then drops everything when it is missing.
+    """
     if keys:
-        return df.join(stats, list(keys), "left")
-    one = F.lit(1).alias("_one")
-    return df.select("*", one).join(F.broadcast(stats.select("*", one)), "_one").drop("_one")
+        return df.join(stats, list(keys), how)
+    rows = stats.limit(2).collect()
+    if len(rows) > 1:
+        raise ValueError("a keyless statistic must have exactly one row")
+    if not rows:
+        if how == "inner":
+            return df.where(F.lit(False)).select("*", *[F.lit(None).cast(f.dataType).alias(f.name)
+                                                         for f in stats.schema.fields])
+        return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in stats.schema.fields])
+    row = rows[0]
+    return df.select("*", *[_literal(row[f.name], f.dataType).alias(f.name) for f in stats.schema.fields])
+
+
+def _literal(v, dtype):
+    from pyspark.sql.types import MapType
+    if v is None:
+        return F.lit(None).cast(dtype)
+    if isinstance(dtype, MapType):
+        if not v:
+            return F.create_map().cast(dtype)
+        return F.create_map(*[F.lit(x) for kv in v.items() for x in kv]).cast(dtype)
+    return F.lit(v).cast(dtype)
 
 
 def standardize(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (),

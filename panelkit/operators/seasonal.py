@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from panelkit.operators.multivar import attach
 from panelkit.operators.tsstats import _norm_cdf
 
 T = "t_idx"
@@ -275,7 +276,7 @@ def forecast(frame: DataFrame, best: DataFrame, y: str, xcols: Sequence[str], ke
     """
     keys, xcols = list(keys), list(xcols)
     params = best.select(*keys, "d", "sd", "coefs", "sigma2", *[f"b_{c}" for c in xcols])
-    j = frame.select(*keys, T, "week_start", y, *xcols, split_col).join(params, keys, "inner")
+    j = attach(frame.select(*keys, T, "week_start", y, *xcols, split_col), params, keys, "inner")
     schema = _keys_schema(j, keys) + "week_start date, t_idx int, predicted double, ci_lo double, ci_hi double"
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -388,7 +389,7 @@ def run_log(best: DataFrame, run_id: str, run_ts: str, keys: Sequence[str] = (),
                       F.create_map(F.lit("AIC"), F.col("aic")).alias("metrics"))
     if metrics is not None:
         m = metrics.groupBy(*keys).agg(F.first("rmse").alias("rmse"), F.first("mape").alias("mape"))
-        out = (out.join(m, keys, "left")
+        out = (attach(out, m, keys, "left")
                .withColumn("metrics", F.map_concat("metrics", F.create_map(F.lit("rmse"), F.col("rmse"),
                                                                            F.lit("mape"), F.col("mape"))))
                .drop("rmse", "mape"))

@@ -198,3 +198,33 @@ def q_weekly_panel(spark, sf):
 @register("weekly_panel_corrected", _literal_panel_sql(True), covers="J4(corrected)")
 def q_weekly_panel_corrected(spark, sf):
     return round_doubles(panel(spark, sf, "corrected").drop("run_date"))
+
+
+def _literal_single_sql() -> str:
+    """The studied query for one series, literally (all events, one spine)."""
+    ind_sel = ",\n  ".join(
+        f"IF(i.{c} = 'NA', NULL, i.{c}) AS {c}" if c in P.INDICATORS_NA else f"i.{c}"
+        for c in P.INDICATORS)
+    ctes = [FX_EVENTS_SQL, FX_POLLS_SQL, POLLS_SORT_SQL, FX_INDICATORS_SQL, INDICATORS_SORT_SQL,
+            "events_all AS (SELECT publication_date, COUNT(*) AS events_on_date FROM fx_events GROUP BY publication_date)",
+            f"""week_array AS (SELECT CAST(unnest(generate_series(CAST((SELECT {FX.duck_sunday('min(publication_date)')}
+    FROM events_all) AS TIMESTAMP), TIMESTAMP '{AS_OF}', INTERVAL 7 DAY)) AS DATE) AS week_start)"""]
+    return with_ctes(*ctes) + f"""SELECT w.week_start,
+  round(AVG(TRY_CAST(a.approving AS DOUBLE)), 6) AS approving,
+  round(AVG(TRY_CAST(a.disapproving AS DOUBLE)), 6) AS disapproving,
+  round(AVG(TRY_CAST(a.unsure_or_no_data AS DOUBLE)), 6) AS unsure_or_no_data,
+  {ind_sel},
+  CAST(SUM(COALESCE(o.events_on_date, 0)) AS BIGINT) AS orders_outcome_var
+FROM week_array w
+LEFT JOIN events_all o ON o.publication_date BETWEEN w.week_start AND w.week_start + 6
+LEFT JOIN polls_sort a ON date_trunc('month', a.period_start) = date_trunc('month', w.week_start)
+LEFT JOIN indicators_sort i ON i.month_start = date_trunc('month', w.week_start)
+WHERE i.ConstructionSpending IS NOT NULL
+GROUP BY w.week_start, {", ".join("i." + c for c in P.INDICATORS)}"""
+
+
+@register("weekly_panel_single", _literal_single_sql(), covers="J4 (one series, as studied)")
+def q_weekly_panel_single(spark, sf):
+    p = P.weekly_panel(FX.fx_events(spark, sf), polls_sorted(spark, sf), indicators_sorted(spark, sf),
+                       AS_OF, RUN_TS)
+    return round_doubles(p.drop("run_date"))
