@@ -117,6 +117,10 @@ def q_forecast_vs_observed(spark, sf):
 
 @register("run_log", covers="M13")
 def q_run_log(spark, sf):
+    """Append the selected model's parameters and metrics to a runs table
+    (partitioned by run day) and read it back."""
     mf, best, fc = _forecast(spark, sf)
-    return SE.run_log(best, "run-" + RUN_TS.replace(" ", "T"), RUN_TS, K,
-                      SE.forecast_vs_observed(fc, mf, Y, K))
+    log = SE.run_log(best, "run-" + RUN_TS.replace(" ", "T"), RUN_TS, K, SE.forecast_vs_observed(fc, mf, Y, K))
+    path = work_dir(spark, "runs")
+    log.withColumn("run_day", F.to_date("run_ts")).write.mode("append").partitionBy("run_day").parquet(path)
+    return spark.read.parquet(path).drop("run_day")
