@@ -150,6 +150,21 @@ def fill_weeks(weekly: DataFrame, as_of, keys: Sequence[str] = (),
                     *[F.when(F.col("_pos") == 0, F.col(c)).alias(c) for c in value_cols])
 
 
+def spine_join(weekly: DataFrame, as_of, value_cols: Sequence[str] = ("n_events",)) -> DataFrame:
+    """One-series form of ``fill_weeks`` without any window: a global anchor,
+    its spine (``explode``) and an equi-join on ``week_start``.
+
+    The anchor is ``min(struct(week_start, n_events))`` rather than
+    ``min(week_start)`` so it must read the weekly aggregate (Catalyst would
+    otherwise drop that aggregate and re-scan raw events); the weekly shuffle
+    is then shared by both branches.
+    """
+    first = weekly.agg(F.min(F.struct("week_start", *value_cols)).alias("_a")).select(
+        F.col("_a.week_start").alias("first_week"))
+    spine = date_spine(first, as_of)
+    return spine.join(weekly.select("week_start", *value_cols), "week_start", "left")
+
+
 def week_range_join(spine: DataFrame, points: DataFrame, point_col: str,
                     keys: Sequence[str] = (), how: str = "left") -> DataFrame:
     """``point BETWEEN week_start AND week_start + 6`` as an equi-join.
@@ -256,7 +271,10 @@ def weekly_panel(events_curated: DataFrame, polls_curated: DataFrame,
         raise ValueError("fanout must be 'reference' or 'corrected'")
     weekly = week_counts(events_curated, date_col, keys,
                          count_col if count_col in events_curated.columns else None)
-    spined = fill_weeks(weekly, as_of, keys)
+    if keys:
+        spined = fill_weeks(weekly, as_of, keys)
+    else:
+        spined = spine_join(weekly, as_of)
     pm = poll_month(polls_curated)
     ind = (indicators_curated.where(F.col(PRESENCE_COLUMN).isNotNull())
            .withColumnRenamed("month_start", "month"))
