@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.cleaning import na_to_null, safe_double
 from panelkit.functions.dates import (month_start, parse_month_year,
-                                      parse_poll_date, sunday_week, week_end)
+                                      parse_poll_date, sunday_week)
 
 # Fixed column contract of the weekly panel (20 columns, in order).
 POLL_VALUES = ["approving", "disapproving", "unsure_or_no_data"]

@@ -27,7 +27,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelkit.operators.multivar import attach
-from panelkit.operators.tsstats import _norm_cdf
 
 T = "t_idx"
 SEASON = 52
@@ -395,5 +394,3 @@ def run_log(best: DataFrame, run_id: str, run_ts: str, keys: Sequence[str] = (),
                .drop("rmse", "mape"))
     return out
 
-
-_ = _norm_cdf

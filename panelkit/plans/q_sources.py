@@ -7,7 +7,7 @@ from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from panelkit.operators import panel as P
 from panelkit.plans import fixtures as FX
-from panelkit.plans.fixtures import (AS_OF, EVENTS_SORT_SQL, FX_EVENTS_SQL, FX_POLLS_SQL, SERIES,
+from panelkit.plans.fixtures import (EVENTS_SORT_SQL, FX_EVENTS_SQL, FX_POLLS_SQL, SERIES,
                                      SNAPSHOT_FLOOR, SNAPSHOTS_SQL, with_ctes)
 from panelkit.plans.q_panel import _literal_panel_sql, events_sorted, panel
 from panelkit.plans.registry import register, round_doubles
@@ -154,8 +154,6 @@ def q_panel_head(spark, sf):
     return round_doubles(panel(spark, sf).drop("run_date").orderBy("week_start", SERIES).limit(5))
 
 
-_ = AS_OF
-
 
 @register("ingest_available_now", LATEST_SQL, covers="S16 §2.12")
 def q_ingest_available_now(spark, sf):

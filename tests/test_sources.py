@@ -66,3 +66,20 @@ def test_append_run_rejects_schema(spark):
     expected = StructType([StructField("a", LongType())])
     with pytest.raises(S.SchemaMismatch):
         S.append_run(spark.createDataFrame([("x",)], "a string"), work_dir(spark, "t_runs"), expected)
+
+
+def test_landed_page_files_multiline(spark):
+    import json
+    import os
+
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from panelkit.sources.api_pages import flatten_page_files, page_schema
+    root = work_dir(spark, "t_pages")
+    if "://" not in root:
+        for i, recs in enumerate([[{"n": "1"}, {"n": "2"}], [{"n": "3"}]]):
+            with open(os.path.join(root, f"page-{i}.json"), "w") as fh:
+                json.dump({"results": recs, "next_page_url": None if i else "p2"}, fh, indent=2)
+    rec = StructType([StructField("n", StringType())])
+    df = spark.read.schema(page_schema(rec)).option("multiLine", True).json(root)
+    assert sorted(r.n for r in flatten_page_files(df).collect()) == ["1", "2", "3"]
