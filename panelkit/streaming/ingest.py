@@ -1,7 +1,8 @@
 """Incremental snapshot ingestion: ``readStream`` over the landing root, ``availableNow``.
 
 Each run picks up only files not seen before (the file source's checkpoint
-tracks them), appends them to a landed mirror partitioned by ``dt``, and
+tracks them), writes them to a landed mirror (one folder per micro-batch,
+overwritten on replay, partitioned by ``dt``), and
 rebuilds the curated table from the newest snapshot after the floor. A
 late-arriving older ``dt`` therefore never changes the curated result, and
 re-running with no new files is a no-op. The trigger message of the studied
@@ -30,8 +31,10 @@ def ingest_available_now(spark: SparkSession, landing_root: str, record_schema:
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        batch.write.mode("append").partitionBy("dt", "lang").parquet(mirror_path)
-        landed = spark.read.parquet(mirror_path)
+        # foreachBatch is at-least-once: each batch owns a folder that a retry
+        # overwrites, so a replayed batch never duplicates rows
+        batch.write.mode("overwrite").partitionBy("dt", "lang").parquet(f"{mirror_path}/batch={batch_id}")
+        landed = spark.read.parquet(mirror_path).drop("batch")
         # manifest: recompute only the snapshot dates touched by this batch
         # (semi-join prunes the mirror's partitions) and overwrite just those
         touched = batch.select("dt").distinct()
