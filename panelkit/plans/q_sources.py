@@ -32,7 +32,7 @@ def q_latest_snapshot(spark, sf):
     return P.events_by_date(S.latest_snapshot(snaps, SNAPSHOT_FLOOR), keys=[SERIES])
 
 
-@register("partitioned_roundtrip", LATEST_SQL, covers="S2 S3 S4 S7 S10 S11 S12 S13 D10")
+@register("partitioned_roundtrip", LATEST_SQL, covers="S2 S3 S8 D8")
 def q_partitioned_roundtrip(spark, sf):
     """Land the snapshots as NDJSON under dt=/lang=, read back with an explicit
     schema; the newest-snapshot filter prunes to one partition."""
