@@ -32,15 +32,17 @@ def _cell_text(c):
 def first_table_rows(pages: DataFrame, keys: Sequence[str], html_col: str = "html",
                      rename: dict[str, str] | None = None,
                      columns: Sequence[str] | None = None) -> DataFrame:
-    """``(key, html)`` -> one row per data row of the page's first table.
+    """``(keys, html)`` -> one row per data row of the page's first table.
 
-    Output: ``keys``, ``row_no`` (1-based within the table), then either
-    the header names given in ``columns`` (after ``rename``) or a single
-    ``cells`` map from header to cell text.
+    Output: ``keys``, ``row_no`` (1-based within the table), then either the
+    header names given in ``columns`` (after ``rename``; a missing header gives
+    NULL, a repeated one takes its first position) or the arrays ``header``
+    and ``cells``. Cells are looked up by header position, so duplicate or
+    empty header names cannot fail the query.
     """
+    keys = list(keys)
     table = F.regexp_extract(F.col(html_col), TABLE_RE, 0)
     rows = F.regexp_extract_all(table, F.lit(ROW_RE), 0)
-    keys = list(keys)
     x = (pages.select(*keys, rows.alias("_rows"))
          .select(*keys, F.element_at("_rows", 1).alias("_head"),
                  F.posexplode(F.expr("slice(_rows, 2, greatest(size(_rows) - 1, 0))")).alias("_pos", "_row")))
@@ -49,9 +51,12 @@ def first_table_rows(pages: DataFrame, keys: Sequence[str], html_col: str = "htm
         m = F.create_map(*[F.lit(v) for kv in rename.items() for v in kv])
         header = F.transform(header, lambda h: F.coalesce(m[h], h))
     cells = F.transform(F.regexp_extract_all(F.col("_row"), F.lit(CELL_RE), 1), _cell_text)
-    padded = F.transform(header.alias("_h"), lambda h, i: F.try_element_at(cells, i + 1))
-    x = x.select(*keys, (F.col("_pos") + 1).alias("row_no"),
-                 F.map_from_arrays(header, padded).alias("cells"))
+    # extra cells beyond the header are dropped, short rows pad with NULL
+    padded = F.transform(header, lambda h, i: F.try_element_at(cells, i + 1))
+    x = x.select(*keys, (F.col("_pos") + 1).alias("row_no"), header.alias("header"), padded.alias("cells"))
     if columns is None:
         return x
-    return x.select(*keys, "row_no", *[F.col("cells")[c].alias(c) for c in columns])
+    pos = {c: F.array_position(F.col("header"), F.lit(c)) for c in columns}
+    return x.select(*keys, "row_no",
+                    *[F.when(pos[c] > 0, F.try_element_at(F.col("cells"), pos[c].cast("int"))).alias(c)
+                      for c in columns])

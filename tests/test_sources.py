@@ -83,3 +83,10 @@ def test_landed_page_files_multiline(spark):
     rec = StructType([StructField("n", StringType())])
     df = spark.read.schema(page_schema(rec)).option("multiLine", True).json(root)
     assert sorted(r.n for r in flatten_page_files(df).collect()) == ["1", "2", "3"]
+
+
+def test_html_duplicate_and_missing_headers(spark):
+    html = ("<table><tr><th>A</th><th>A</th><th></th></tr><tr><td>1</td><td>2</td><td>3</td></tr></table>")
+    pages = spark.createDataFrame([("p", html)], "k string, html string")
+    r = first_table_rows(pages, ["k"], columns=["A", "B"]).first()
+    assert (r.A, r.B) == ("1", None)
