@@ -36,13 +36,23 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) ->
     shuffle of raw rows), then ``stack`` unpivots to ``(var_x, var_y, corr)``.
     """
     pairs = list(combinations(cols, 2))
-    aggs = [F.corr(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)]
+    aggs = [_safe_corr(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)]
     wide = df.groupBy(*keys).agg(*aggs)
     stack = "stack({}, {}) as (var_x, var_y, corr)".format(
         len(pairs), ", ".join(f"'{a}', '{b}', _c{i}" for i, (a, b) in enumerate(pairs)))
     return wide.select(*keys, F.expr(stack))
 
 
+def _safe_corr(a: str, b: str):
+    """Pearson correlation over rows where both are present; NULL (not an
+    ANSI divide-by-zero error, not NaN) when either side is constant."""
+    ca, cb = F.col(a), F.col(b)
+    both = ca.isNotNull() & cb.isNotNull()
+    sa = F.stddev_samp(F.when(both, ca))
+    sb = F.stddev_samp(F.when(both, cb))
+    return F.try_divide(F.covar_samp(ca, cb), sa * sb)
+
+
 def collinear_pairs(corr: DataFrame, threshold: float = 0.8) -> DataFrame:
     """Pairs whose absolute correlation exceeds ``threshold`` (strict)."""
     return corr.where(F.abs(F.col("corr")) > threshold)

@@ -248,7 +248,7 @@ def coef_table(best: DataFrame, xcols: Sequence[str], keys: Sequence[str] = ())
     alls = F.map_concat(reg_se, F.coalesce(F.col("std_errs"), F.create_map().cast("map<string,double>")))
     x = best.select(*keys, F.explode(allc).alias("term", "coef"), alls.alias("_se"))
     x = x.select(*keys, "term", "coef", F.col("_se")[F.col("term")].alias("std_err"))
-    z = F.col("coef") / F.col("std_err")
+    z = F.try_divide(F.col("coef"), F.col("std_err"))
     return x.select(*keys, "term", "coef", "std_err", z.alias("z"),
                     (2 * (1 - _phi_col(F.abs(z)))).alias("p_value"),
                     (F.col("coef") - 1.959963984540054 * F.col("std_err")).alias("ci_lo"),

@@ -65,7 +65,8 @@ def acf(df: DataFrame, col: str, nlags: int, keys: Sequence[str] = ()) -> DataFr
     sums = lagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("_c") * F.col("_c")).alias("s0"),
                                      *[F.sum(F.col("_c") * F.col(f"_l{k}")).alias(f"s{k}")
                                        for k in range(1, nlags + 1)])
-    stack = "stack({}, {}) as (lag, acf)".format(nlags, ", ".join(f"{k}, s{k} / s0" for k in range(1, nlags + 1)))
+    stack = "stack({}, {}) as (lag, acf)".format(
+        nlags, ", ".join(f"{k}, try_divide(s{k}, s0)" for k in range(1, nlags + 1)))
     return sums.select(*keys, "n", F.expr(stack)).select(
         *keys, F.col("lag").cast("int").alias("lag"), "acf", (1.96 / F.sqrt("n")).alias("conf"))
 
