@@ -44,7 +44,7 @@ def first_table_rows(pages: DataFrame, keys: Sequence[str], html_col: str = "htm
     table = F.regexp_extract(F.col(html_col), TABLE_RE, 0)
     rows = F.regexp_extract_all(table, F.lit(ROW_RE), 0)
     x = (pages.select(*keys, rows.alias("_rows"))
-         .select(*keys, F.element_at("_rows", 1).alias("_head"),
+         .select(*keys, F.try_element_at("_rows", F.lit(1)).alias("_head"),
                  F.posexplode(F.expr("slice(_rows, 2, greatest(size(_rows) - 1, 0))")).alias("_pos", "_row")))
     header = F.transform(F.regexp_extract_all(F.col("_head"), F.lit(CELL_RE), 1), _cell_text)
     if rename:

@@ -90,3 +90,10 @@ def test_html_duplicate_and_missing_headers(spark):
     pages = spark.createDataFrame([("p", html)], "k string, html string")
     r = first_table_rows(pages, ["k"], columns=["A", "B"]).first()
     assert (r.A, r.B) == ("1", None)
+
+
+def test_html_pages_without_tables_give_no_rows(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select(F.col("url").alias("k"), "html")
+    assert first_table_rows(pages, ["k"], columns=["Start Date"]).count() == 0
+    none = spark.createDataFrame([("x", "<p>none</p>"), ("y", None)], "k string, html string")
+    assert first_table_rows(none, ["k"]).count() == 0
