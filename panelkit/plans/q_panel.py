@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from panelkit.functions.cleaning import na_to_null
 from panelkit.operators import panel as P
@@ -12,6 +13,8 @@ from panelkit.plans.fixtures import (AS_OF, EVENTS_SORT_SQL, FX_EVENTS_SQL,
                                      INDICATORS_SORT_SQL, POLLS_SORT_SQL,
                                      RUN_TS, SERIES, SPINE_SQL, with_ctes)
 from panelkit.plans.registry import register, round_doubles
+from panelkit.session import work_dir
+from panelkit.sources import snapshots as S
 
 K = [SERIES]
 
@@ -40,6 +43,27 @@ def panel(spark, sf, fanout="reference"):
                           indicators_sorted(spark, sf), AS_OF, RUN_TS, keys=K, fanout=fanout)
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_panel(spark, sf):
+    """The panel as the modelling side reads it: the newest run of the stored,
+    run-stamped panel table.
+
+    As in the studied pipeline, the panel is appended once as a run (per
+    session and data folder, in the shared folder) and every model query reads
+    the newest run - partition-pruned - instead of re-aggregating raw events.
+    """
+    key = (spark.sparkContext.applicationId, sf)
+    path = _STORED.get(key)
+    if path is None:
+        path = work_dir(spark, "weekly_panel_runs")
+        expected = StructType.fromDDL(f"{SERIES} STRING, " + P.PANEL_SCHEMA_DDL)
+        S.append_run(panel(spark, sf), path, expected)
+        _STORED[key] = path
+    return S.latest_run(spark.read.parquet(path))
+
+
 EV = with_ctes(FX_EVENTS_SQL, EVENTS_SORT_SQL)
 SP = with_ctes(FX_EVENTS_SQL, EVENTS_SORT_SQL, SPINE_SQL)
 

@@ -8,7 +8,7 @@ from panelkit.operators import panel as P
 from panelkit.operators import prep as R
 from panelkit.operators import quality as Q
 from panelkit.plans.fixtures import SERIES, with_ctes
-from panelkit.plans.q_panel import PANEL_BASE_CTES, panel, panel_body
+from panelkit.plans.q_panel import PANEL_BASE_CTES, panel_body, stored_panel
 from panelkit.plans.registry import register, round_doubles
 from panelkit.session import materialize
 
@@ -21,7 +21,7 @@ def frame(spark, sf):
     """Panel-grain modelling frame, checkpointed once: every branch downstream
     (statistics joined back, phase means, PCA, grid) reads it instead of
     re-scanning and re-aggregating the raw events."""
-    return materialize(R.model_frame(panel(spark, sf), X, Y, K))
+    return materialize(R.model_frame(stored_panel(spark, sf), X, Y, K))
 
 
 def blanked(spark, sf):
