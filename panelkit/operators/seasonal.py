@@ -229,15 +229,22 @@ def seasonal_arx_grid(train: DataFrame, y: str, xcols: Sequence[str], keys: Sequ
                                  F.col("sigma2").alias("sigma2_reg")), grp, "left")
 
 
-def best_model(grid: DataFrame, keys: Sequence[str] = (), require_roots: bool = True) -> DataFrame:
-    """Minimum-AIC candidate per series (first in grid order on ties)."""
+def best_model(grid: DataFrame, keys: Sequence[str] = (), require_roots: bool = True,
+               within_differencing: bool = False) -> DataFrame:
+    """Minimum-AIC candidate per series (first in grid order on ties).
+
+    AICs of different differencing orders are computed on different samples;
+    the studied job compares them anyway (default). ``within_differencing``
+    picks one winner per ``(series, d, D)`` instead.
+    """
     ok = F.col("aic").isNotNull()
     if require_roots:
         ok = ok & F.col("stationary") & F.col("invertible")
-    cols = [c for c in grid.columns if c not in keys]
-    best = (grid.where(ok).groupBy(*keys)
+    group = [*keys, "d", "sd"] if within_differencing else list(keys)
+    cols = [c for c in grid.columns if c not in group]
+    best = (grid.where(ok).groupBy(*group)
             .agg(F.min_by(F.struct(*cols), F.struct("aic", "grid_pos")).alias("_b")))
-    return best.select(*keys, "_b.*")
+    return best.select(*group, "_b.*").select(*grid.columns)
 
 
 def coef_table(best: DataFrame, xcols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:

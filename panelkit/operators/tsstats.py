@@ -196,8 +196,10 @@ def adf(df: DataFrame, col: str, keys: Sequence[str] = (), max_lag_cap: int | No
         s2 = ssr / dof if dof > 0 else float("nan")
         se = math.sqrt(s2 * inv[1, 1]) if s2 == s2 and inv[1, 1] > 0 else float("nan")
         stat = float(beta[1] / se) if se and se == se else float("nan")
+        if not (stat == stat and math.isfinite(stat)):  # constant series: NULL row, never NaN
+            return pd.DataFrame([empty])
         crit = mackinnon_crit(int(nf))
-        return pd.DataFrame([{**key_vals, "adf_stat": stat, "p_value": mackinnon_p(stat) if stat == stat else None,
+        return pd.DataFrame([{**key_vals, "adf_stat": stat, "p_value": mackinnon_p(stat),
                               "used_lag": L, "nobs": int(nf), "crit_1": crit["1%"], "crit_5": crit["5%"],
                               "crit_10": crit["10%"], "ic_best": ic}])
 

@@ -46,3 +46,28 @@ def test_latest_run_two_step(spark):
     df = df.select("v", F.col("ts").cast("timestamp_ntz").alias("run_date")).withColumn("run_day", F.to_date("run_date"))
     out = S.latest_run(df).collect()
     assert [r.v for r in out] == [3] and out[0].asDict().keys() == {"v"}
+
+
+def test_adf_constant_series_is_null_row(spark):
+    from panelkit.operators import tsstats as TS
+    rows = [("k", i, 5.0) for i in range(120)]
+    df = spark.createDataFrame(rows, "k string, t_idx int, x double")
+    r = TS.adf(df, "x", ["k"]).first()
+    assert r.adf_stat is None and r.p_value is None
+
+
+def test_best_model_within_differencing(spark):
+    import numpy as np
+
+    from panelkit.operators import seasonal as SE
+    rng = np.random.default_rng(7)
+    n = 300
+    y = rng.normal(size=n).cumsum()
+    pc = rng.normal(size=n)
+    df = spark.createDataFrame([("k", i, float(y[i]), float(pc[i])) for i in range(n)],
+                               "k string, t_idx int, y double, PC1 double")
+    grid = SE.seasonal_arx_grid(df, "y", ["PC1"], ["k"])
+    per = SE.best_model(grid, ["k"], within_differencing=True).collect()
+    one = SE.best_model(grid, ["k"]).first()
+    assert 1 <= len(per) <= 4 and len({(r.d, r.sd) for r in per}) == len(per)
+    assert one.aic == min(r.aic for r in per)
