@@ -134,7 +134,7 @@ def pca_model(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> D
                 out_rows.append({**{kk: row[kk] for kk in keys}, "component": k + 1, "feature": c,
                                  "loading": float(v[i]), "mean": float(mean[i]),
                                  "eigenvalue": float(vals[k]),
-                                 "ratio": float(vals[k] / total) if total > 0 else float("nan")})
+                                 "ratio": float(vals[k] / total) if total > 0 else None})
         return pd.DataFrame(out_rows)
 
     if not keys:  # one series: the Gram is a single row

@@ -363,11 +363,14 @@ def forecast(frame: DataFrame, best: DataFrame, y: str, xcols: Sequence[str], ke
             psi[h] = v if h > 0 else 1.0
         var = s2 * np.cumsum(psi ** 2)
         rows = []
+        def fin(v):  # NULL, never NaN or infinity, in the output
+            return float(v) if math.isfinite(v) else None
+
         for h, t in enumerate(range(n_tr, n)):
-            half = z * math.sqrt(var[h]) if s2 == s2 else float("nan")
+            half = z * math.sqrt(var[h]) if math.isfinite(s2) and var[h] >= 0 else float("nan")
             rows.append({**{k: pdf[k].iloc[0] for k in keys}, "week_start": pdf["week_start"].iloc[t],
-                         "t_idx": int(pdf[T].iloc[t]), "predicted": float(yh[t]),
-                         "ci_lo": float(yh[t] - half), "ci_hi": float(yh[t] + half)})
+                         "t_idx": int(pdf[T].iloc[t]), "predicted": fin(yh[t]),
+                         "ci_lo": fin(yh[t] - half), "ci_hi": fin(yh[t] + half)})
         return pd.DataFrame(rows, columns=[*keys, "week_start", "t_idx", "predicted", "ci_lo", "ci_hi"])
 
     g = j.groupBy(*keys) if keys else j.withColumn("_g", F.lit(0)).groupBy("_g")
