@@ -252,3 +252,23 @@ def q_weekly_panel_single(spark, sf):
     p = P.weekly_panel(FX.fx_events(spark, sf), polls_sorted(spark, sf), indicators_sorted(spark, sf),
                        AS_OF, RUN_TS)
     return round_doubles(p.drop("run_date"))
+
+
+EVENTS_AS_OF = "2024-02-04"
+
+
+@register("events_weekly", f"""WITH ev AS (SELECT event_type, CAST(ts AS DATE) AS d FROM events WHERE ts IS NOT NULL),
+wk AS (SELECT event_type, {FX.duck_sunday('d')} AS week_start, COUNT(*) AS n FROM ev GROUP BY 1, 2),
+sp AS (SELECT event_type, CAST(unnest(generate_series(CAST(min(week_start) AS TIMESTAMP), TIMESTAMP '{EVENTS_AS_OF}',
+       INTERVAL 7 DAY)) AS DATE) AS week_start FROM wk GROUP BY event_type)
+SELECT sp.event_type, sp.week_start, CAST(COALESCE(wk.n, 0) AS BIGINT) AS n_events
+FROM sp LEFT JOIN wk ON wk.event_type = sp.event_type AND wk.week_start = sp.week_start""",
+          covers="A1 D3 D6 J1 A3 (clickstream events)")
+def q_events_weekly(spark, sf):
+    """Weekly event counts per event type on a gap-free Sunday spine, from the
+    timestamped ``events`` table (one partial aggregate, one window by type)."""
+    ev = FX.table(spark, sf, "events").select("event_type", F.to_date("ts").alias("d"))
+    weekly = P.week_counts(ev, "d", ["event_type"])
+    filled = P.fill_weeks(weekly, EVENTS_AS_OF, ["event_type"])
+    return filled.select("event_type", "week_start",
+                         F.coalesce("n_events", F.lit(0)).cast("bigint").alias("n_events"))
