@@ -11,10 +11,9 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from panelkit.constants import NA_SENTINEL
 from panelkit.functions.util import col as _c
 
-NA_SENTINEL = "NA"
-
 
 def na_to_null(c, sentinel: str = NA_SENTINEL) -> Column:
     """``IF(x = 'NA', NULL, x)``."""

@@ -9,15 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from panelkit.constants import SNAPSHOT_WEEKDAY as FRIDAY_WEEKDAY
+from panelkit.constants import TWO_DIGIT_PIVOT_YEAR
 from panelkit.functions.util import col as _c
 
-# Fixed values that must agree with the studied pipeline:
-#   week starts on SUNDAY;
-#   two-digit years follow the POSIX %y pivot: 69..99 -> 1969..1999, 00..68 -> 2000..2068;
-#   the snapshot anchor weekday is FRIDAY;
-#   poll dates come in the layouts M/d/yy, M/d/yyyy and a broken M/d/y/yyy.
-TWO_DIGIT_PIVOT_YEAR = 2069
-FRIDAY_WEEKDAY = 4  # Spark weekday(): Monday = 0 ... Sunday = 6
+# Weeks start on Sunday; poll dates come as M/d/yy, M/d/yyyy or a broken
+# M/d/y/yyy. The pivot year and anchor weekday are in panelkit.constants.
 
 
 def sunday_week(d) -> Column:

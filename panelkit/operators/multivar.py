@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelkit.constants import PCA_VARIANCE_TARGET
+
 
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join per-key statistics (one row per key) back onto rows.
@@ -168,7 +170,7 @@ def scree(model: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return comp.withColumn("cum_ratio", F.sum("ratio").over(w))
 
 
-def choose_k(scree_df: DataFrame, threshold: float = 0.94, keys: Sequence[str] = ()) -> DataFrame:
+def choose_k(scree_df: DataFrame, threshold: float = PCA_VARIANCE_TARGET, keys: Sequence[str] = ()) -> DataFrame:
     """Smallest number of components whose cumulative ratio reaches ``threshold``."""
     return (scree_df.where(F.col("cum_ratio") >= threshold - 1e-12)
             .groupBy(*keys).agg(F.min("component").alias("k")))

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelkit.constants import OUTLIER_K, SEASON, TRAIN_SHARE
+
 T = "t_idx"
 
 
@@ -38,7 +40,7 @@ def difference(df: DataFrame, col: str, keys: Sequence[str] = (), lag: int = 1,
     return r.where(F.col(out).isNotNull()) if dropna else r
 
 
-def decompose(df: DataFrame, col: str, keys: Sequence[str] = (), period: int = 52) -> DataFrame:
+def decompose(df: DataFrame, col: str, keys: Sequence[str] = (), period: int = SEASON) -> DataFrame:
     """Additive decomposition: centred moving-average trend, phase-mean seasonal, residual.
 
     Even period: 2 x period MA (half weights at both ends), NULL where the
@@ -62,7 +64,7 @@ def decompose(df: DataFrame, col: str, keys: Sequence[str] = (), period: int = 5
 
 
 def outlier_blank(df: DataFrame, outcome: str, value_cols: Sequence[str], keys: Sequence[str] = (),
-                  k: float = 3.0) -> DataFrame:
+                  k: float = OUTLIER_K) -> DataFrame:
     """Rows with ``|y - median| > k * std`` lose every value; y is then filled with the median.
 
     Median and sample std come from the data before blanking; the whole row
@@ -157,7 +159,7 @@ def _lagrange4(t, a, b, c, d) -> Column:
     return total
 
 
-def chrono_split(df: DataFrame, keys: Sequence[str] = (), share: float = 0.8) -> DataFrame:
+def chrono_split(df: DataFrame, keys: Sequence[str] = (), share: float = TRAIN_SHARE) -> DataFrame:
     """First ``round_half_even(share * n)`` positions of each series are train."""
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     cut = F.bround(F.lit(share) * n, 0)

@@ -8,6 +8,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.constants import COLLINEAR_THRESHOLD
 from panelkit.functions.cleaning import any_null
 
 
@@ -53,6 +54,6 @@ def _safe_corr(a: str, b: str):
     return F.try_divide(F.covar_samp(ca, cb), sa * sb)
 
 
-def collinear_pairs(corr: DataFrame, threshold: float = 0.8) -> DataFrame:
+def collinear_pairs(corr: DataFrame, threshold: float = COLLINEAR_THRESHOLD) -> DataFrame:
     """Pairs whose absolute correlation exceeds ``threshold`` (strict)."""
     return corr.where(F.abs(F.col("corr")) > threshold)

@@ -26,13 +26,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from panelkit.constants import CONFIDENCE_Z, ORDER_VALUES, SEASON
 from panelkit.operators.multivar import attach
 
 T = "t_idx"
-SEASON = 52
 LONG_AR = 8
 MIN_ROWS = 60
-DD = [(0, 0), (0, 1), (1, 0), (1, 1)]
+DD = [(d, D) for d in ORDER_VALUES for D in ORDER_VALUES]  # (d, D) differencing pairs
 
 
 def candidate_grid(spark: SparkSession, s: int = SEASON, series: DataFrame | None = None,
@@ -189,10 +189,10 @@ def seasonal_arx_grid(train: DataFrame, y: str, xcols: Sequence[str], keys: Sequ
         n = float(row["n"]) if row["n"] == row["n"] else 0.0
         G = _G(row, len(names) + 1) if n > 0 else None
         out = []
-        for p in (0, 1):
-            for q in (0, 1):
-                for P in (0, 1):
-                    for Q in (0, 1):
+        for p in ORDER_VALUES:
+            for q in ORDER_VALUES:
+                for P in ORDER_VALUES:
+                    for Q in ORDER_VALUES:
                         pos = (p * 4 + d * 2 + q) * 8 + (P * 4 + D * 2 + Q)
                         ar = (["u1"] if p else []) + ([f"u{s}"] if P else []) + ([f"u{s + 1}"] if p and P else [])
                         ma = (["e1"] if q else []) + ([f"e{s}"] if Q else []) + ([f"e{s + 1}"] if q and Q else [])
@@ -258,8 +258,8 @@ def coef_table(best: DataFrame, xcols: Sequence[str], keys: Sequence[str] = ())
     z = F.try_divide(F.col("coef"), F.col("std_err"))
     return x.select(*keys, "term", "coef", "std_err", z.alias("z"),
                     (2 * (1 - _phi_col(F.abs(z)))).alias("p_value"),
-                    (F.col("coef") - 1.959963984540054 * F.col("std_err")).alias("ci_lo"),
-                    (F.col("coef") + 1.959963984540054 * F.col("std_err")).alias("ci_hi"))
+                    (F.col("coef") - CONFIDENCE_Z * F.col("std_err")).alias("ci_lo"),
+                    (F.col("coef") + CONFIDENCE_Z * F.col("std_err")).alias("ci_hi"))
 
 
 def _phi_col(z):
@@ -272,7 +272,7 @@ def _phi_col(z):
 
 
 def forecast(frame: DataFrame, best: DataFrame, y: str, xcols: Sequence[str], keys: Sequence[str] = (),
-             split_col: str = "split", s: int = SEASON, z: float = 1.959963984540054) -> DataFrame:
+             split_col: str = "split", s: int = SEASON, z: float = CONFIDENCE_Z) -> DataFrame:
     """Multi-step forecast of the test span from the end of train, with a 95 % interval.
 
     Per series (one group = one series' weekly rows, bounded by the calendar)

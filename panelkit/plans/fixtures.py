@@ -19,9 +19,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelkit.constants import SNAPSHOT_FLOOR  # noqa: F401  (re-exported for the query modules)
+
 AS_OF = "2001-11-10"      # spine end (the studied query uses CURRENT_DATE)
 RUN_TS = "2001-11-10 12:00:00"
-SNAPSHOT_FLOOR = "2025-01-20"
 SERIES = "series_key"
 
 

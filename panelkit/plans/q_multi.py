@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from panelkit.constants import PCA_COMPONENTS
 from panelkit.operators import multivar as M
 from panelkit.plans.fixtures import SERIES, with_ctes
 from panelkit.plans.q_prep import OB_CTES, X, Y, interp_ctes, interpolated
@@ -13,7 +14,7 @@ from panelkit.session import materialize
 K = [SERIES]
 # Exogenous features for PCA: all but the collinear 'disapproving' (16 columns).
 FEATURES = [c for c in X if c != "disapproving"]
-N_COMPONENTS = 4
+N_COMPONENTS = PCA_COMPONENTS
 
 
 def standardized(spark, sf, checkpoint=False):

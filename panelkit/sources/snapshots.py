@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
+from panelkit.constants import SNAPSHOT_FLOOR, SNAPSHOT_LOOKBACK_DAYS, SNAPSHOT_WEEKDAY
 from panelkit.functions.dates import date_label, most_recent_friday, slash_to_dash
 
 PARTITION_FIELDS = [StructField("dt", DateType()), StructField("lang", StringType())]
@@ -59,7 +60,7 @@ def read_snapshots(spark: SparkSession, root: str, schema: StructType, fmt: str
 
 # ------------------------------------------------------------ newest picks
 
-def latest_snapshot(df: DataFrame, floor="2025-01-20", dt_col: str = "dt") -> DataFrame:
+def latest_snapshot(df: DataFrame, floor=SNAPSHOT_FLOOR, dt_col: str = "dt") -> DataFrame:
     """Rows of the newest snapshot whose date is strictly after ``floor``.
 
     No qualifying snapshot -> the scalar is NULL -> zero rows (not an error).
@@ -86,7 +87,7 @@ def latest_run(df: DataFrame, run_col: str = "run_date", day_col: str | None = "
 
 
 def snapshot_pick(available: DataFrame, date_col: str = "snapshot_date",
-                  keys: Sequence[str] = ("source",), lookback_days: int = 5) -> DataFrame:
+                  keys: Sequence[str] = ("source",), lookback_days: int = SNAPSHOT_LOOKBACK_DAYS) -> DataFrame:
     """For every Friday, the latest available snapshot in ``[friday - lookback, friday]``.
 
     Instead of probing candidate days per Friday (the studied job asked for
@@ -96,7 +97,7 @@ def snapshot_pick(available: DataFrame, date_col: str = "snapshot_date",
     Real date arithmetic: a look-back crossing a month start works.
     """
     d = F.col(date_col)
-    friday = F.date_add(d, F.pmod(F.lit(4) - F.weekday(d), F.lit(7)))
+    friday = F.date_add(d, F.pmod(F.lit(SNAPSHOT_WEEKDAY) - F.weekday(d), F.lit(7)))
     x = (available.where(d.isNotNull()).withColumn("friday", friday)
          .where(F.datediff("friday", d) <= int(lookback_days)))
     return (x.groupBy(*keys, "friday")
@@ -104,7 +105,7 @@ def snapshot_pick(available: DataFrame, date_col: str = "snapshot_date",
 
 
 def snapshot_pick_as_of(available: DataFrame, as_of, date_col: str = "snapshot_date",
-                        keys: Sequence[str] = ("source",), lookback_days: int = 5) -> DataFrame:
+                        keys: Sequence[str] = ("source",), lookback_days: int = SNAPSHOT_LOOKBACK_DAYS) -> DataFrame:
     """The pick for the most recent Friday on or before ``as_of`` (the studied job's case)."""
     fri = most_recent_friday(_date(as_of))
     d = F.col(date_col)
