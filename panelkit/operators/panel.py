@@ -255,7 +255,7 @@ def weekly_panel(events_curated: DataFrame, polls_curated: DataFrame,
                  indicators_curated: DataFrame, as_of, run_ts=None,
                  keys: Sequence[str] = (), fanout: str = "reference",
                  count_col: str = "events_on_date",
-                 date_col: str = "publication_date") -> DataFrame:
+                 date_col: str = "publication_date", validate_months: bool = True) -> DataFrame:
     """The weekly panel: spine -> events per week -> polls per month -> indicators.
 
     ``fanout='reference'`` reproduces the studied query exactly, including its
@@ -266,6 +266,11 @@ def weekly_panel(events_curated: DataFrame, polls_curated: DataFrame,
 
     ``keys`` makes it a multi-series panel (events carry the keys; polls and
     indicators are shared by month, as in the studied pipeline).
+
+    ``validate_months`` treats a month that appears twice among the
+    indicators as an input error (raised while the join runs, no extra
+    action); with ``False`` the duplicate multiplies rows as the literal
+    query does.
     """
     if fanout not in ("reference", "corrected"):
         raise ValueError("fanout must be 'reference' or 'corrected'")
@@ -278,6 +283,10 @@ def weekly_panel(events_curated: DataFrame, polls_curated: DataFrame,
     pm = poll_month(polls_curated)
     ind = (indicators_curated.where(F.col(PRESENCE_COLUMN).isNotNull())
            .withColumnRenamed("month_start", "month"))
+    if validate_months:
+        dup = F.count(F.lit(1)).over(Window.partitionBy("month")) > 1
+        ind = ind.withColumn("month", F.when(~dup, F.col("month")).otherwise(
+            F.raise_error(F.concat(F.lit("duplicate indicator month "), F.col("month").cast("string")))))
     j = (spined.withColumn("month", month_start("week_start"))
          .join(ind, "month", "inner")
          .join(pm, "month", "left"))

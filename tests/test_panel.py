@@ -72,3 +72,16 @@ def test_panel_plan_has_no_nested_loop_or_cartesian(spark, sf):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert plan.count("lineitem.parquet") == 2  # events once, indicators once
     assert F is not None
+
+
+def test_duplicate_indicator_month_is_an_input_error(spark):
+    import pytest
+    ev = P.events_by_date(spark.createDataFrame([(d(2025, 1, 6),)], "publication_date date"))
+    polls = spark.createDataFrame([], "start_date string, end_date string, approving string, disapproving string, "
+                                      "unsure_or_no_data string, president string")
+    ind = indicators(spark, [("1", "2025", {}), ("1", "2025", {"BusinessApplications": 8})])
+    with pytest.raises(Exception, match="duplicate indicator month"):
+        P.weekly_panel(ev, P.curate_polls(polls), ind, "2025-01-12", "2025-01-12 00:00:00").collect()
+    lit = P.weekly_panel(ev, P.curate_polls(polls), ind, "2025-01-12", "2025-01-12 00:00:00",
+                         validate_months=False).collect()
+    assert len(lit) == 4  # 2 weeks x 2 indicator rows, as the literal query groups them
