@@ -159,6 +159,9 @@ def spine_join(weekly: DataFrame, as_of, value_cols: Sequence[str] = ("n_events"
     otherwise drop that aggregate and re-scan raw events); the weekly shuffle
     is then shared by both branches.
     """
+    # the join would infer and push ``week_start IS NOT NULL`` into one branch
+    # only; stating it on the shared input keeps both branches identical
+    weekly = weekly.where(F.col("week_start").isNotNull())
     first = weekly.agg(F.min(F.struct("week_start", *value_cols)).alias("_a")).select(
         F.col("_a.week_start").alias("first_week"))
     spine = date_spine(first, as_of)

@@ -85,3 +85,16 @@ def test_duplicate_indicator_month_is_an_input_error(spark):
     lit = P.weekly_panel(ev, P.curate_polls(polls), ind, "2025-01-12", "2025-01-12 00:00:00",
                          validate_months=False).collect()
     assert len(lit) == 4  # 2 weeks x 2 indicator rows, as the literal query groups them
+
+
+def test_single_series_panel_scans_events_once(spark, sf):
+    from panelkit.plans import fixtures as FX
+    from panelkit.plans import q_panel
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = P.weekly_panel(FX.fx_events(spark, sf), q_panel.polls_sorted(spark, sf),
+                           q_panel.indicators_sorted(spark, sf), FX.AS_OF, FX.RUN_TS)
+        plan = p._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("lineitem.parquet") == 2 and "ReusedExchange" in plan  # events once, indicators once
