@@ -203,5 +203,6 @@ def q_panel_csv_extract(spark, sf):
     path = work_dir(spark, "panel_extract")
     panel(spark, sf).drop("run_date").write.mode("overwrite").option("header", True).csv(path)
     schema = StructType.fromDDL(f"{SERIES} STRING, " + P.PANEL_SCHEMA_DDL.replace(", run_date TIMESTAMP_NTZ", ""))
-    back = spark.read.schema(schema).option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
+    back = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+            .option("dateFormat", "yyyy-MM-dd").csv(path))
     return round_doubles(back.orderBy(SERIES, "week_start"))

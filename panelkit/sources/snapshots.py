@@ -54,7 +54,9 @@ def read_snapshots(spark: SparkSession, root: str, schema: StructType, fmt: str
     if fmt == "json":
         r = r.option("multiLine", multiline)
     elif fmt == "csv":
-        r = r.option("header", True)
+        # validate every file's header against the schema (a different column
+        # order fails loudly instead of being read by position)
+        r = r.option("header", True).option("enforceSchema", False)
     return r.format(fmt).load(root)
 
 

@@ -97,3 +97,17 @@ def test_html_pages_without_tables_give_no_rows(spark, sf):
     assert first_table_rows(pages, ["k"], columns=["Start Date"]).count() == 0
     none = spark.createDataFrame([("x", "<p>none</p>"), ("y", None)], "k string, html string")
     assert first_table_rows(none, ["k"]).count() == 0
+
+
+def test_csv_header_order_mismatch_fails_loudly(spark):
+    import pytest
+    from pyspark.sql.types import StringType, StructField, StructType
+    root = work_dir(spark, "t_csv")
+    df = spark.createDataFrame([("1", "2", d(2025, 2, 8), "en")], "b string, a string, dt date, lang string")
+    S.land(df, root, fmt="csv")
+    schema = StructType([StructField("a", StringType()), StructField("b", StringType())])
+    with pytest.raises(Exception):
+        S.read_snapshots(spark, root, schema, fmt="csv").collect()
+    ok = StructType([StructField("b", StringType()), StructField("a", StringType())])
+    r = S.read_snapshots(spark, root, ok, fmt="csv").first()
+    assert (r.a, r.b) == ("2", "1")
