@@ -16,17 +16,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from panelkit.constants import SNAPSHOT_FLOOR
 from panelkit.sources.snapshots import PARTITION_FIELDS, latest_snapshot, manifest
 
 
 def ingest_available_now(spark: SparkSession, landing_root: str, record_schema: StructType,
                          mirror_path: str, curated_path: str, manifest_path: str, checkpoint: str,
-                         curate: Callable[[DataFrame], DataFrame], floor="2025-01-20",
-                         fmt: str = "json", timeout_s: int = 600) -> None:
-    """Process every new landed file once, then stop (``Trigger.AvailableNow``)."""
+                         curate: Callable[[DataFrame], DataFrame], floor=SNAPSHOT_FLOOR,
+                         fmt: str = "json", timeout_s: int = 600,
+                         summarize: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Process every new landed file once, then stop (``Trigger.AvailableNow``).
+
+    ``summarize`` builds the per-``dt`` manifest (default: the event manifest:
+    record count, max document number, max publication date).
+    """
+    summarize = summarize or (lambda df: manifest(df, keys=["dt"]))
     schema = StructType(list(record_schema.fields) + PARTITION_FIELDS)
-    stream = (spark.readStream.schema(schema).format(fmt)
-              .option("basePath", landing_root).load(landing_root))
+    reader = spark.readStream.schema(schema).format(fmt).option("basePath", landing_root)
+    if fmt == "csv":
+        reader = reader.option("header", True).option("enforceSchema", False)
+    stream = reader.load(landing_root)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
@@ -41,7 +50,7 @@ def ingest_available_now(spark: SparkSession, landing_root: str, record_schema:
         prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         try:
-            (manifest(landed.join(touched, "dt", "left_semi"), keys=["dt"])
+            (summarize(landed.join(touched, "dt", "left_semi"))
              .write.mode("overwrite").partitionBy("dt").parquet(manifest_path))
         finally:
             spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)

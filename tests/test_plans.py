@@ -57,3 +57,23 @@ def test_stream_manifest_and_idempotence(spark, sf):
     man = {str(r.dt): r.n_records for r in spark.read.parquet(paths[3]).collect()}
     expected = {str(r.dt): r["count"] for r in snaps.groupBy("dt").count().collect() if str(r.dt) != "2025-01-18"}
     assert man == expected
+
+
+def test_stream_csv_source(spark):
+    import datetime as dt
+
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from panelkit.session import work_dir
+    from panelkit.sources import snapshots as S
+    from panelkit.streaming.ingest import ingest_available_now
+    base = work_dir(spark, "t_stream_csv")
+    paths = [f"{base}/{p}" for p in ("landing", "mirror", "curated", "manifest", "_ckpt")]
+    rows = [(str(i), f"1/{i % 28 + 1}/2025", dt.date(2025, 2, 8), "en") for i in range(20)]
+    S.land(spark.createDataFrame(rows, "document_number string, start_date string, dt date, lang string"),
+           paths[0], fmt="csv")
+    schema = StructType([StructField("document_number", StringType()), StructField("start_date", StringType())])
+    ingest_available_now(spark, paths[0], schema, *paths[1:], curate=lambda df: df.drop("dt", "lang"), fmt="csv",
+                         summarize=lambda df: df.groupBy("dt").count())
+    assert spark.read.parquet(paths[2]).count() == 20
+    assert spark.read.parquet(paths[3]).first()["count"] == 20
