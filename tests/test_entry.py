@@ -19,7 +19,7 @@ def test_every_oracle_has_a_query():
 def test_every_oracle_agrees_on_small_fixture(spark, sf):
     """The driver's gate in miniature: rows, column names and an
     order-insensitive value hash for every query that has an oracle."""
-    from tools.check_oracle import digest
+    from tools.check_oracle import digest, type_mismatches
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
@@ -27,9 +27,9 @@ def test_every_oracle_agrees_on_small_fixture(spark, sf):
     for name, sql in E.oracle_sql().items():
         s = E.queries()[name](spark, sf)
         cols, rows = s.columns, [tuple(r) for r in s.collect()]
-        cur = con.execute(sql)
-        dcols, drows = [c[0] for c in cur.description], cur.fetchall()
+        rel = con.sql(sql)
+        dcols, dtypes, drows = rel.columns, rel.types, rel.fetchall()
         if sorted(cols) != sorted(dcols) or len(rows) != len(drows) or \
-                digest(cols, rows)[0] != digest(dcols, drows)[0]:
+                digest(cols, rows)[0] != digest(dcols, drows)[0] or type_mismatches(s.schema, dcols, dtypes):
             bad.append(name)
     assert not bad, bad
