@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import DataFrame
@@ -30,18 +31,26 @@ def gap_report(df: DataFrame, keys: Sequence[str] = (), week_col: str = "week_st
             .withColumn("missing_weeks", F.col("expected_weeks") - F.col("n_weeks")))
 
 
-def corr_matrix(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+def corr_matrix(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (),
+                pairs_per_pass: int = 34) -> DataFrame:
     """Pairwise Pearson correlation (pairwise-complete rows) for every i < j pair.
 
-    One aggregate pass computes all pairs per key (partial aggregation, no
-    shuffle of raw rows), then ``stack`` unpivots to ``(var_x, var_y, corr)``.
+    Each aggregate pass computes up to ``pairs_per_pass`` pairs per key
+    (partial aggregation, no shuffle of raw rows) and ``stack`` unpivots them
+    to ``(var_x, var_y, corr)``. Several moderate passes over the panel-grain
+    frame generate much smaller code than one pass with hundreds of
+    aggregates, and cost little since the frame is small and checkpointed.
     """
     pairs = list(combinations(cols, 2))
-    aggs = [_safe_corr(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)]
-    wide = df.groupBy(*keys).agg(*aggs)
-    stack = "stack({}, {}) as (var_x, var_y, corr)".format(
-        len(pairs), ", ".join(f"'{a}', '{b}', _c{i}" for i, (a, b) in enumerate(pairs)))
-    return wide.select(*keys, F.expr(stack))
+    step = max(int(pairs_per_pass), 1)
+    parts = []
+    for start in range(0, len(pairs), step):
+        chunk = pairs[start:start + step]
+        wide = df.groupBy(*keys).agg(*[_safe_corr(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(chunk)])
+        stack = "stack({}, {}) as (var_x, var_y, corr)".format(
+            len(chunk), ", ".join(f"'{a}', '{b}', _c{i}" for i, (a, b) in enumerate(chunk)))
+        parts.append(wide.select(*keys, F.expr(stack)))
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def _safe_corr(a: str, b: str):
