@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelkit.llm import exact_dedup, simhash
+from panelkit.llm import exact_dedup, mixing, simhash, toxicity
 from panelkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,72 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_simhash_near_dedup")
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
+#: The budget tree in SQL: one block a level, each sharing its parent's budget by weight up to capacity.
+_MIX_LEVEL = """
+{name}_n AS (SELECT {keys}, sum(capacity)::BIGINT AS capacity, {weight} AS weight FROM leaf GROUP BY ALL),
+{name}_b AS (
+    SELECT n.*, p.budget AS parent,
+           p.budget - coalesce(sum(n.capacity) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS avail,
+           sum(n.weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight
+    FROM {name}_n n JOIN {up} p {on}
+    WINDOW w AS ({part} ORDER BY n.capacity / n.weight, n.{last})),
+{name}_f AS (
+    SELECT *, avail::DOUBLE / open_weight AS lvl, capacity <= avail::DOUBLE / open_weight * weight AS filled
+    FROM {name}_b),
+{name} AS (
+    SELECT {keys}, greatest(CASE WHEN filled OR o IS NULL THEN capacity
+                                 ELSE least(capacity, floor(o.lvl * weight)::BIGINT) END, 0) AS budget
+    FROM (SELECT *, min(CASE WHEN NOT filled THEN {{'k': capacity / weight, 'c': {last}, 'lvl': lvl}} END)
+                    OVER ({part2}) AS o FROM {name}_f))"""
+
+
+def _weights_sql(column: str, names: dict[str, int], default: int) -> str:
+    cases = "".join(f" WHEN '{k}' THEN {v}" for k, v in names.items())
+    return f"CASE {column}{cases} ELSE {default} END"
+
+
+def _mix_sql(m: mixing.Mix) -> str:
+    level = [
+        _MIX_LEVEL.format(name="a", keys="dom", weight=_weights_sql("dom", m.domain, m.default), up="total",
+                          on="ON true", part="", part2="", last="dom"),
+        _MIX_LEVEL.format(name="b", keys="dom, lang", weight=_weights_sql("lang", m.lang, m.default), up="a",
+                          on="USING (dom)", part="PARTITION BY n.dom", part2="PARTITION BY dom", last="lang"),
+        _MIX_LEVEL.format(name="c", keys="dom, lang, source", weight=str(m.default), up="b",
+                          on="USING (dom, lang)", part="PARTITION BY n.dom, n.lang",
+                          part2="PARTITION BY dom, lang", last="source")]
+    return rf"""
+WITH d AS (
+    SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           ['web', 'reference', 'forum'][1 + coalesce(try_cast(nullif(
+               regexp_extract(coalesce(source, ''), '([0-9]{{1,9}})$', 1), '') AS BIGINT), 0) % 3] AS dom,
+           len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS tokens
+    FROM documents),
+leaf AS (SELECT dom, lang, source, sum(tokens)::BIGINT AS leaf_tokens,
+                sum(tokens)::BIGINT * {m.max_epochs} AS capacity FROM d GROUP BY ALL),
+total AS (SELECT floor(sum(leaf_tokens) * {m.percent} / 100)::BIGINT AS budget FROM leaf),
+{",".join(level)},
+plan AS (SELECT *, CASE WHEN leaf_tokens > 0 THEN budget // leaf_tokens ELSE 0 END AS epochs
+         FROM leaf JOIN c USING (dom, lang, source)),
+placed AS (
+    SELECT d.*, budget, epochs, budget - epochs * leaf_tokens AS rest,
+           ('0x' || substr(md5('{m.seed}/' || epochs || '/' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+    FROM d JOIN plan USING (dom, lang, source)),
+run AS (
+    SELECT *, coalesce(sum(tokens) OVER (PARTITION BY dom, lang, source ORDER BY h, doc_id
+                                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins
+    FROM placed)
+SELECT doc_id, dom AS domain, lang, source, tokens, budget::BIGINT AS budget,
+       (epochs + CASE WHEN begins < rest THEN 1 ELSE 0 END)::BIGINT AS copies
+FROM run"""
+
+
+@query("op2_mix_sources", _mix_sql(mixing.PRODUCTION))
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
