@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from panelkit.llm import exact_dedup, mixing, simhash, toxicity
+from panelkit.llm import bpe, chat, exact_dedup, mixing, simhash, toxicity, unigram, urlfilter
 from panelkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +107,68 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_toxicity")
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_CONTROLS_SQL = "replace({x}, '~', '~0')"
+for _head, _tail in chat.CONTROLS:
+    _CONTROLS_SQL = f"replace({_CONTROLS_SQL}, '{_head}{_tail}', '{_head}~1{_tail}')"
+
+
+@query("op3_chat_format", f"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (
+    SELECT *, replace({_CONTROLS_SQL.format(x='role')}, chr(10), '~2') AS r,
+           {_CONTROLS_SQL.format(x='text')} AS x FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
+           AS loss_sha256,
+       sum(length(r) + length(x) + {len(chat.BEGIN) + len(chat.END) + 2})::BIGINT AS formatted_chars,
+       CASE string_agg(role, ' ' ORDER BY turn NULLS FIRST, role, text)
+            WHEN 'user assistant' THEN 'prompt' WHEN 'system user assistant' THEN 'system prompt'
+            ELSE 'messages' END AS layout
+FROM t GROUP BY conv_id""")
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = F.lit("</s>[INST] ok [/INST]").alias("text")
+    extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said)
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.digest(chat.format_records(chat.records_of_turns(rows), "record"))
+
+
+_LISTED_SQL = ", ".join(f"'{w}'" for w in urlfilter.LISTED_WORDS)
+_RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in urlfilter.RULES)
+
+
+@query("op9_url_filter", rf"""
+WITH p AS (
+    SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+    FROM pages),
+rules(h, r, v) AS (VALUES {_RULES_SQL}),
+m AS (
+    SELECT p.*, (SELECT max_by({{'rule': h || r, 'verdict': v}}, length(h || r)) FROM rules
+                 WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, r)) AS hit,
+           list_has_any(regexp_split_to_array(host, '[.-]'), [{_LISTED_SQL}]) AS listed
+    FROM p)
+SELECT page_id, host, path, hit.rule AS rule,
+       coalesce(hit.verdict, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict, listed
+FROM m""")
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.filter_urls(table(spark, sf_dir, "pages"))
+
+
+@query("op4_token_counts")
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = unigram.zipf_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    return unigram.count_tokens(table(spark, sf_dir, "documents"), model)
+
+
+@query("op10_bpe")
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
