@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import bpe, chat, exact_dedup, mixing, simhash, toxicity, unigram, urlfilter
+from panelkit.llm import (bpe, chat, exact_dedup, langid, mixing, simhash, syncmers, toxicity, unigram,
+                          urlfilter)
 from panelkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +173,13 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_bpe")
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op1_syncmer_fingerprints")
+def op1_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
