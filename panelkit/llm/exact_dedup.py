@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,17 +55,23 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     The last row of a batch is held back, since its digest may go on in the next one.
     """
     held = None
+    names = ["origin", *_VERIFY]
     for batch in batches:
+        if batch.num_rows == 0:
+            continue
         part = pa.Table.from_batches([batch])
         if held is not None:
             part = pa.concat_tables([held, part])
-        if part.num_rows == 0:
-            continue
-        part = (part.combine_chunks().group_by(["origin", *_VERIFY], use_threads=False)
+        last = part.slice(part.num_rows - 1).to_pylist()[0]
+        part = (part.combine_chunks().group_by(names, use_threads=False)
                 .aggregate([("keep_id", "min"), ("group_size", "sum")])
-                .rename_columns(["origin", *_VERIFY, "keep_id", "group_size"]))
-        held = part.slice(part.num_rows - 1)
-        yield from part.slice(0, part.num_rows - 1).to_batches()
+                .rename_columns([*names, "keep_id", "group_size"]))
+        # groups come in no set order, so the one that may go on is found by its key
+        goes_on = pc.and_(pc.equal(part["origin"], last["origin"]), pc.equal(part["key"], last["key"]))
+        goes_on = pc.and_(goes_on, pc.and_(pc.equal(part["sha"], last["sha"]),
+                                           pc.equal(part["n_bytes"], last["n_bytes"])))
+        held = part.filter(goes_on)
+        yield from part.filter(pc.invert(goes_on)).to_batches()
     if held is not None:
         yield from held.to_batches()
 
