@@ -36,7 +36,7 @@ from panelkit.llm.common import map_columns, text_or_empty
 
 #: Words whose arcs a task remembers, entries of its transition table, and the longest word remembered.
 REMEMBER_WORDS = 200_000
-REMEMBER_ARCS = 2_000_000
+REMEMBER_ARCS = 500_000
 REMEMBER_LENGTH = 64
 
 #: Fixed values of the tokenizer family: special tokens, word end, and the pattern of words.
