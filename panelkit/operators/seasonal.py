@@ -31,7 +31,6 @@ from panelkit.operators.multivar import attach
 
 T = "t_idx"
 LONG_AR = 8
-MIN_ROWS = 60
 DD = [(d, D) for d in ORDER_VALUES for D in ORDER_VALUES]  # (d, D) differencing pairs
 
 
@@ -153,7 +152,16 @@ def arx_passes(train: DataFrame, y: str, xcols: Sequence[str], keys: Sequence[st
         lagcols.append(F.lag(nm, k).over(w).alias(f"{nm}{k}"))
     z = e.select(*grp, T, "u", *lagcols)
     names = ["u1", f"u{s}", f"u{s + 1}", "e1", f"e{s}", f"e{s + 1}"]
+    # one sample for all candidates of a series: the weeks usable under every differencing that
+    # leaves more weeks than unknowns, else the AICs would be taken on different numbers of rows
+    usable = F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in [*names, "u"]))
+    z = z.where(usable).withColumn("_own", F.count(F.lit(1)).over(Window.partitionBy(*grp)))
+    z = z.where(F.col("_own") > len(names) + len(xcols) + 1)
+    z = z.withColumn("_pairs", F.size(F.collect_set(F.struct("d", "sd")).over(Window.partitionBy(*keys))))
+    z = z.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys, T))).where("_n = _pairs")
     g2 = _gram(z, grp, [*names, "u"])
+    # a pair without a usable week still gets its row
+    g2 = attach(dw.select(*grp).distinct(), g2, grp, "left")
     return beta, g2, names
 
 
@@ -171,8 +179,12 @@ def _roots_ok(coefs: dict, lags: dict, sign: float) -> bool:
 
 
 def seasonal_arx_grid(train: DataFrame, y: str, xcols: Sequence[str], keys: Sequence[str] = (),
-                      s: int = SEASON, min_rows: int = MIN_ROWS) -> DataFrame:
-    """Fit all 64 candidates per series; one row per candidate with AIC or an error."""
+                      s: int = SEASON) -> DataFrame:
+    """Fit all 64 candidates per series on one common sample; one row per candidate with AIC or an error.
+
+    A candidate can't be fitted if it has no more rows than unknowns, a singular
+    Gram matrix, or no residual variance.
+    """
     keys, xcols = list(keys), list(xcols)
     beta, g2, names = arx_passes(train, y, xcols, keys, s)
     grp = [*keys, "d", "sd"]
@@ -201,18 +213,25 @@ def seasonal_arx_grid(train: DataFrame, y: str, xcols: Sequence[str], keys: Sequ
                                "sd": D, "sq": Q, "s": s, "aic": None, "sigma2": None, "n_eff": int(n),
                                "stationary": None, "invertible": None, "error": None, "coefs": None,
                                "std_errs": None}
-                        if n < min_rows:
-                            rec["error"] = f"insufficient rows: {int(n)} < {min_rows}"
-                            out.append(rec)
-                            continue
+                        k = len(cols) + kx + 1
                         idx = [names.index(c) for c in cols]
                         tgt = len(names)
+                        if n <= k:
+                            rec["error"] = f"insufficient rows: {int(n)} for {k} unknowns"
+                        elif idx and np.linalg.matrix_rank(G[np.ix_(idx, idx)]) < len(idx):
+                            rec["error"] = "singular Gram matrix"
+                        if rec["error"]:
+                            out.append(rec)
+                            continue
                         if idx:
                             b, ssr, inv = _ols(G, idx, tgt)
                         else:
                             b, ssr, inv = np.zeros(0), float(G[tgt, tgt]), np.zeros((0, 0))
                         s2 = ssr / n
-                        k = len(cols) + kx + 1
+                        if s2 <= 0:
+                            rec["error"] = "no residual variance"
+                            out.append(rec)
+                            continue
                         coefs = {c: float(v) for c, v in zip(cols, b)}
                         dof = max(n - len(cols), 1.0)
                         ses = {c: float(math.sqrt(max(ssr / dof * inv[i, i], 0.0))) for i, c in enumerate(cols)}
@@ -233,18 +252,20 @@ def best_model(grid: DataFrame, keys: Sequence[str] = (), require_roots: bool =
                within_differencing: bool = False) -> DataFrame:
     """Minimum-AIC candidate per series (first in grid order on ties).
 
-    AICs of different differencing orders are computed on different samples;
-    the studied job compares them anyway (default). ``within_differencing``
-    picks one winner per ``(series, d, D)`` instead.
+    All candidates of a series are fitted on the same weeks. ``within_differencing``
+    picks one winner per ``(series, d, D)`` instead. A series without an
+    eligible candidate keeps its row, with a NULL model and the reason in ``error``.
     """
     ok = F.col("aic").isNotNull()
     if require_roots:
         ok = ok & F.col("stationary") & F.col("invertible")
     group = [*keys, "d", "sd"] if within_differencing else list(keys)
     cols = [c for c in grid.columns if c not in group]
-    best = (grid.where(ok).groupBy(*group)
-            .agg(F.min_by(F.struct(*cols), F.struct("aic", "grid_pos")).alias("_b")))
-    return best.select(*group, "_b.*").select(*grid.columns)
+    reason = F.coalesce(F.min("error"), F.lit("no candidate with roots outside the unit circle"))
+    best = ((grid.groupBy(*group) if group else grid.groupBy())
+            .agg(F.min_by(F.struct(*cols), F.when(ok, F.struct("aic", "grid_pos"))).alias("_b"), reason.alias("_why")))
+    best = best.select(*group, "_b.*", F.col("_b").isNull().alias("_none"), "_why")
+    return best.withColumn("error", F.when(F.col("_none"), F.col("_why")).otherwise(F.col("error"))).select(*grid.columns)
 
 
 def coef_table(best: DataFrame, xcols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -287,6 +308,9 @@ def forecast(frame: DataFrame, best: DataFrame, y: str, xcols: Sequence[str], ke
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(T)
+        if pd.isna(pdf["d"].iloc[0]):  # no model: the weeks are kept, without a forecast
+            out = pdf[pdf[split_col] != "train"][[*keys, "week_start", T]].rename(columns={T: "t_idx"})
+            return out.assign(predicted=None, ci_lo=None, ci_hi=None)
         d, D = int(pdf["d"].iloc[0]), int(pdf["sd"].iloc[0])
         coefs = pdf["coefs"].iloc[0] or {}
         coefs = dict(coefs) if not isinstance(coefs, dict) else coefs
@@ -394,7 +418,8 @@ def run_log(best: DataFrame, run_id: str, run_ts: str, keys: Sequence[str] = (),
     order = F.format_string("(%d, %d, %d)", "p", "d", "q")
     sorder = F.format_string("(%d, %d, %d, %d)", "sp", "sd", "sq", "s")
     out = best.select(*keys, F.lit(run_id).alias("run_id"), F.lit(run_ts).cast("timestamp_ntz").alias("run_ts"),
-                      F.create_map(F.lit("order"), order, F.lit("seasonal_order"), sorder).alias("params"),
+                      F.when(F.col("p").isNull(), F.create_map(F.lit("error"), F.col("error")))
+                      .otherwise(F.create_map(F.lit("order"), order, F.lit("seasonal_order"), sorder)).alias("params"),
                       F.create_map(F.lit("AIC"), F.col("aic")).alias("metrics"))
     if metrics is not None:
         m = metrics.groupBy(*keys).agg(F.first("rmse").alias("rmse"), F.first("mape").alias("mape"))

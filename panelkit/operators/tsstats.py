@@ -55,10 +55,23 @@ def reindex(df: DataFrame, col: str, keys: Sequence[str] = (), order: str = T) -
             .select(*keys, F.col(col).alias("_v"), (F.row_number().over(w) - 1).alias("_t")))
 
 
-def acf(df: DataFrame, col: str, nlags: int, keys: Sequence[str] = ()) -> DataFrame:
-    """``acf(k) = sum (x_t - m)(x_{t-k} - m) / sum (x_t - m)^2`` for k = 1..nlags, 95 % band 1.96/sqrt(n)."""
+def default_lags(n):
+    """The usual number of lags of a correlogram, 10 log10(n), always under half the values."""
+    return F.greatest(F.least(F.floor(10 * F.log10(n)), F.floor(n / 2) - 1), F.lit(0)).cast("int")
+
+
+def acf(df: DataFrame, col: str, nlags: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    """``acf(k) = sum (x_t - m)(x_{t-k} - m) / sum (x_t - m)^2`` for k = 1..nlags, 95 % band 1.96/sqrt(n).
+
+    Without ``nlags`` each series has its own ``default_lags`` of its length.
+    """
     x = reindex(df, col, keys)
     wp = Window.partitionBy(*keys)
+    per_series = nlags is None
+    if per_series:
+        x = materialize(x)
+        longest = x.groupBy(*keys).agg(default_lags(F.count(F.lit(1))).alias("k")).agg(F.max("k")).first()[0]
+        nlags = max(1, int(longest or 0))
     w = wp.orderBy("_t")
     c = x.select(*keys, "_t", (F.col("_v") - F.avg("_v").over(wp)).alias("_c"))
     lagged = c.select(*keys, "_c", *[F.lag("_c", k).over(w).alias(f"_l{k}") for k in range(1, nlags + 1)])
@@ -67,7 +80,10 @@ def acf(df: DataFrame, col: str, nlags: int, keys: Sequence[str] = ()) -> DataFr
                                        for k in range(1, nlags + 1)])
     stack = "stack({}, {}) as (lag, acf)".format(
         nlags, ", ".join(f"{k}, try_divide(s{k}, s0)" for k in range(1, nlags + 1)))
-    return sums.select(*keys, "n", F.expr(stack)).select(
+    out = sums.select(*keys, "n", F.expr(stack))
+    if per_series:
+        out = out.where(F.col("lag") <= default_lags(F.col("n")))
+    return out.select(
         *keys, F.col("lag").cast("int").alias("lag"), "acf", (1.96 / F.sqrt("n")).alias("conf"))
 
 
@@ -119,7 +135,7 @@ def _aic_ols(ssr: float, n: float, k: int) -> float:
     return -2 * llf + 2 * k
 
 
-def adf(df: DataFrame, col: str, keys: Sequence[str] = (), max_lag_cap: int | None = None) -> DataFrame:
+def adf(df: DataFrame, col: str, keys: Sequence[str] = ()) -> DataFrame:
     """Augmented Dickey-Fuller with a constant and AIC lag choice, per series.
 
     Regression of ``dx_j`` on ``[1, x_j, dx_{j-1} .. dx_{j-L}]``. ``L`` is chosen
@@ -142,8 +158,6 @@ def adf(df: DataFrame, col: str, keys: Sequence[str] = (), max_lag_cap: int | No
     base = materialize(base)
     m_all = base.agg(F.max("_ml")).first()[0]
     M = int(m_all if m_all is not None else 0)
-    if max_lag_cap is not None:
-        M = min(M, max_lag_cap)
     M = max(M, 0)
     lagged = base.select("*", *[F.lag("_dx", i).over(w).alias(f"_d{i}") for i in range(1, M + 1)])
     vec = [F.lit(1.0), F.col("_v")] + [F.coalesce(F.col(f"_d{i}"), F.lit(0.0)) for i in range(1, M + 1)] + [F.col("_dx")]

@@ -15,7 +15,8 @@ from panelkit.plans.registry import register, round_doubles
 from panelkit.session import materialize, work_dir
 
 K = [SERIES]
-NLAGS = 20
+#: Lags that the oracle's text spells out; each series reads 10 log10(n) of them, n under 10 million.
+ORACLE_LAGS = 70
 PCS = [f"PC{i}" for i in range(1, N_COMPONENTS + 1)]
 DIFF = f"{Y}_diff"
 
@@ -39,23 +40,24 @@ ACF_SQL = with_ctes(*MF_CTES, f"""dx AS (SELECT series_key, t_idx, {Y} - lag({Y}
                     """x AS (SELECT series_key, v, row_number() OVER (PARTITION BY series_key ORDER BY t_idx) - 1 AS _t FROM dx WHERE v IS NOT NULL)""",
                     """c AS (SELECT series_key, _t, v - avg(v) OVER (PARTITION BY series_key) AS c FROM x)""",
                     "l AS (SELECT series_key, c, " + ", ".join(
-                        f"lag(c, {k}) OVER (PARTITION BY series_key ORDER BY _t) AS l{k}" for k in range(1, NLAGS + 1))
+                        f"lag(c, {k}) OVER (PARTITION BY series_key ORDER BY _t) AS l{k}" for k in range(1, ORACLE_LAGS + 1))
                     + " FROM c)",
                     "s AS (SELECT series_key, count(*) AS n, sum(c * c) AS s0, " + ", ".join(
-                        f"sum(c * l{k}) AS s{k}" for k in range(1, NLAGS + 1)) + " FROM l GROUP BY series_key)") + \
+                        f"sum(c * l{k}) AS s{k}" for k in range(1, ORACLE_LAGS + 1)) + " FROM l GROUP BY series_key)") + \
     "SELECT series_key, CAST(u.lag AS INTEGER) AS lag, round(u.acf, 6) AS acf, round(1.96 / sqrt(n), 6) AS conf " \
     "FROM (SELECT series_key, n, unnest([" + ", ".join(
-        f"{{'lag': {k}, 'acf': s{k} / s0}}" for k in range(1, NLAGS + 1)) + "]) AS u FROM s) q"
+        f"{{'lag': {k}, 'acf': s{k} / s0}}" for k in range(1, ORACLE_LAGS + 1)) + "]) AS u FROM s) q " \
+    "WHERE u.lag <= least(floor(10 * log10(n)), n // 2 - 1)"
 
 
 @register("acf", ACF_SQL, covers="M7")
 def q_acf(spark, sf):
-    return round_doubles(TS.acf(diffed(spark, sf), DIFF, NLAGS, K))
+    return round_doubles(TS.acf(diffed(spark, sf), DIFF, keys=K))
 
 
 @register("pacf", covers="M7")
 def q_pacf(spark, sf):
-    return round_doubles(TS.pacf(TS.acf(diffed(spark, sf), DIFF, NLAGS, K), K))
+    return round_doubles(TS.pacf(TS.acf(diffed(spark, sf), DIFF, keys=K), K))
 
 
 @register("adf", covers="M8")

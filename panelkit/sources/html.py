@@ -44,16 +44,18 @@ def first_table_rows(pages: DataFrame, keys: Sequence[str], html_col: str = "htm
     table = F.regexp_extract(F.col(html_col), TABLE_RE, 0)
     rows = F.regexp_extract_all(table, F.lit(ROW_RE), 0)
     x = (pages.select(*keys, rows.alias("_rows"))
-         .select(*keys, F.try_element_at("_rows", F.lit(1)).alias("_head"),
-                 F.posexplode(F.expr("slice(_rows, 2, greatest(size(_rows) - 1, 0))")).alias("_pos", "_row")))
+         .select(*keys, F.try_element_at("_rows", F.lit(1)).alias("_head"), "_rows"))
     header = F.transform(F.regexp_extract_all(F.col("_head"), F.lit(CELL_RE), 1), _cell_text)
     if rename:
         m = F.create_map(*[F.lit(v) for kv in rename.items() for v in kv])
         header = F.transform(header, lambda h: F.coalesce(m[h], h))
+    # the header is read once for each table, before its rows are parted
+    x = (x.select(*keys, header.alias("header"), "_rows")
+         .select(*keys, "header", F.posexplode(F.expr("slice(_rows, 2, greatest(size(_rows) - 1, 0))")).alias("_pos", "_row")))
     cells = F.transform(F.regexp_extract_all(F.col("_row"), F.lit(CELL_RE), 1), _cell_text)
     # extra cells beyond the header are dropped, short rows pad with NULL
-    padded = F.transform(header, lambda h, i: F.try_element_at(cells, i + 1))
-    x = x.select(*keys, (F.col("_pos") + 1).alias("row_no"), header.alias("header"), padded.alias("cells"))
+    padded = F.transform(F.col("header"), lambda h, i: F.try_element_at(cells, i + 1))
+    x = x.select(*keys, (F.col("_pos") + 1).alias("row_no"), "header", padded.alias("cells"))
     if columns is None:
         return x
     pos = {c: F.array_position(F.col("header"), F.lit(c)) for c in columns}

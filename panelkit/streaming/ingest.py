@@ -23,9 +23,9 @@ from panelkit.sources.snapshots import PARTITION_FIELDS, latest_snapshot, manife
 def ingest_available_now(spark: SparkSession, landing_root: str, record_schema: StructType,
                          mirror_path: str, curated_path: str, manifest_path: str, checkpoint: str,
                          curate: Callable[[DataFrame], DataFrame], floor=SNAPSHOT_FLOOR,
-                         fmt: str = "json", timeout_s: int = 600,
+                         fmt: str = "json",
                          summarize: Callable[[DataFrame], DataFrame] | None = None) -> None:
-    """Process every new landed file once, then stop (``Trigger.AvailableNow``).
+    """Process every new landed file once, then stop (``Trigger.AvailableNow``), however long that takes.
 
     ``summarize`` builds the per-``dt`` manifest (default: the event manifest:
     record count, max document number, max publication date).
@@ -38,8 +38,14 @@ def ingest_available_now(spark: SparkSession, landing_root: str, record_schema:
     stream = reader.load(landing_root)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
+        batch = batch.persist()  # read once: for the mirror and for the dates it touches
+        try:
+            if not batch.isEmpty():
+                apply(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
         # foreachBatch is at-least-once: each batch owns a folder that a retry
         # overwrites, so a replayed batch never duplicates rows
         batch.write.mode("overwrite").partitionBy("dt", "lang").parquet(f"{mirror_path}/batch={batch_id}")
@@ -47,21 +53,14 @@ def ingest_available_now(spark: SparkSession, landing_root: str, record_schema:
         # manifest: recompute only the snapshot dates touched by this batch
         # (semi-join prunes the mirror's partitions) and overwrite just those
         touched = batch.select("dt").distinct()
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            (summarize(landed.join(touched, "dt", "left_semi"))
-             .write.mode("overwrite").partitionBy("dt").parquet(manifest_path))
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        (summarize(landed.join(touched, "dt", "left_semi")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(manifest_path))
         # curated table: rebuilt from the newest snapshot only (partition-pruned read)
         curate(latest_snapshot(landed, floor)).write.mode("overwrite").parquet(curated_path)
 
     q = (stream.writeStream.foreachBatch(on_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
+    q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
