@@ -38,11 +38,7 @@ def week_end(week_start) -> Column:
 
 
 def parse_month_year(month, year) -> Column:
-    """``PARSE_DATE('%m-%Y', CONCAT(Month,'-',Year))``.
-
-    ``concat`` (not ``concat_ws``) so a NULL part gives NULL. An unparsable
-    month raises, as the non-SAFE parse does.
-    """
+    """First day of a month given as two texts; NULL if either is NULL, an error if they name no month."""
     return F.to_date(F.concat(_c(month), F.lit("-"), _c(year)), "M-yyyy")
 
 
@@ -60,8 +56,7 @@ def repair_extra_slash(s) -> Column:
 def parse_poll_date(s, repair: bool = True) -> Column:
     """First layout that parses: ``M/d/yy``, ``M/d/yyyy``, repaired ``M/d/y/yyy``.
 
-    ``repair=False`` keeps the literal behaviour of the studied SQL, whose
-    repair pattern never matches, so the third branch equals the second.
+    Without ``repair`` the third layout gives NULL.
     """
     t = F.trim(_c(s))
     # Each parse is guarded by the digit shape it needs: a failed parse costs

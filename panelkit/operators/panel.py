@@ -63,7 +63,7 @@ def _lit_date(d) -> Column:
 
 def events_by_date(events: DataFrame, date_col: str = "publication_date",
                    keys: Sequence[str] = ()) -> DataFrame:
-    """``COUNT(*) GROUP BY publication_date`` (a NULL date is its own group)."""
+    """Events of each day (a NULL date is its own group)."""
     return (events.groupBy(*keys, F.col(date_col).alias("publication_date"))
             .agg(F.count(F.lit(1)).alias("events_on_date")))
 
@@ -83,7 +83,7 @@ def curate_polls(polls: DataFrame, repair: bool = True) -> DataFrame:
 
 
 def curate_indicators(indicators: DataFrame) -> DataFrame:
-    """``PARSE_DATE('%m-%Y', Month||'-'||Year) AS month_start, * EXCEPT(Month, Year, dt, lang)``."""
+    """The indicators with the first day of their month in place of the month and year texts."""
     rest = [c for c in indicators.columns if c not in ("Month", "Year", "dt", "lang")]
     return indicators.select(parse_month_year("Month", "Year").alias("month_start"), *rest)
 
@@ -107,7 +107,7 @@ def week_counts(events: DataFrame, date_col: str = "publication_date",
 
 
 def week_anchor(weekly: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Sunday of the first event week per key (``DATE_TRUNC(MIN(d), WEEK(SUNDAY))``).
+    """Sunday of the first event week per key.
 
     Takes the already-aggregated weekly counts: the minimum week equals the
     week of the minimum date, and the input is tiny.
@@ -117,7 +117,7 @@ def week_anchor(weekly: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 def date_spine(anchors: DataFrame, as_of, keys: Sequence[str] = (),
                step_days: int = 7, start_col: str = "first_week") -> DataFrame:
-    """``UNNEST(GENERATE_DATE_ARRAY(first_week, as_of, INTERVAL 7 DAY))`` per key.
+    """Every seventh day per key, from its first week to ``as_of``.
 
     Each key row emits its own weeks (``explode``), so the spine is built in
     parallel and never through a cartesian product.
@@ -129,9 +129,19 @@ def date_spine(anchors: DataFrame, as_of, keys: Sequence[str] = (),
     return anchors.select(*keys, F.explode(weeks).alias("week_start"))
 
 
+def last_week(weekly: DataFrame, value_cols: Sequence[str] = ("n_events",)) -> Column:
+    """The last week of any key, as a scalar subquery on the weekly counts.
+
+    It takes the whole row's maximum, so that it plans the same aggregate (and
+    shares its shuffle) as the query around it.
+    """
+    rows = weekly.where(F.col("week_start").isNotNull())
+    return rows.select(F.max(F.struct("week_start", *value_cols))).scalar().getField("week_start")
+
+
 def fill_weeks(weekly: DataFrame, as_of, keys: Sequence[str] = (),
                value_cols: Sequence[str] = ("n_events",)) -> DataFrame:
-    """Spine + left join in one pass: every week from the key's first week to ``as_of``.
+    """Spine + left join in one pass: every week from the key's first week to ``as_of`` (None: the last week of any key).
 
     Equivalent to ``date_spine(week_anchor(weekly)) LEFT JOIN weekly``, but
     without a self-join: each weekly row emits itself followed by the empty
@@ -139,12 +149,13 @@ def fill_weeks(weekly: DataFrame, as_of, keys: Sequence[str] = (),
     events are therefore aggregated and scanned once. The window is
     partitioned by the series keys and holds at most one row per week.
     """
-    end = _lit_date(as_of)
+    end = last_week(weekly, value_cols) if as_of is None else _lit_date(as_of)
     w = Window.partitionBy(*keys).orderBy("week_start")
     stop = F.coalesce(F.date_sub(F.col("_next"), 7), end)
     seq = F.sequence(F.col("week_start"), stop, F.expr("INTERVAL 7 DAYS"))
-    x = (weekly.where(F.col("week_start") <= end)
-         .withColumn("_next", F.lead("week_start").over(w))
+    if as_of is not None:
+        weekly = weekly.where(F.col("week_start") <= end)
+    x = (weekly.withColumn("_next", F.lead("week_start").over(w))
          .select(*keys, *value_cols, F.posexplode(seq).alias("_pos", "_wk")))
     return x.select(*keys, F.col("_wk").alias("week_start"),
                     *[F.when(F.col("_pos") == 0, F.col(c)).alias(c) for c in value_cols])
@@ -162,15 +173,16 @@ def spine_join(weekly: DataFrame, as_of, value_cols: Sequence[str] = ("n_events"
     # the join would infer and push ``week_start IS NOT NULL`` into one branch
     # only; stating it on the shared input keeps both branches identical
     weekly = weekly.where(F.col("week_start").isNotNull())
-    first = weekly.agg(F.min(F.struct("week_start", *value_cols)).alias("_a")).select(
-        F.col("_a.week_start").alias("first_week"))
-    spine = date_spine(first, as_of)
+    row = F.struct("week_start", *value_cols)
+    ends = weekly.agg(F.min(row).alias("_a"), F.max(row).alias("_z")).select(
+        F.col("_a.week_start").alias("first_week"), F.col("_z.week_start").alias("last_week"))
+    spine = date_spine(ends, F.col("last_week") if as_of is None else as_of)
     return spine.join(weekly.select("week_start", *value_cols), "week_start", "left")
 
 
 def week_range_join(spine: DataFrame, points: DataFrame, point_col: str,
                     keys: Sequence[str] = (), how: str = "left") -> DataFrame:
-    """``point BETWEEN week_start AND week_start + 6`` as an equi-join.
+    """Points joined to the week that holds them, as an equi-join.
 
     Sunday weeks tile the calendar without overlap, so the range predicate is
     equivalent to ``sunday_week(point) = week_start``: a hash join instead of
@@ -227,7 +239,7 @@ def poll_month(polls_curated: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 def month_bucket_join(spine: DataFrame, polls_curated: DataFrame,
                       keys: Sequence[str] = (), poll_keys: Sequence[str] = ()) -> DataFrame:
-    """``DATE_TRUNC(period_start, MONTH) = DATE_TRUNC(week_start, MONTH)``, at grain.
+    """Weeks joined to the polls of their month, at grain.
 
     The many-to-many month join is replaced by a join to the per-month
     aggregate, so the output has one row per spine row.
@@ -267,6 +279,9 @@ def weekly_panel(events_curated: DataFrame, polls_curated: DataFrame,
     to the same week before grouping. ``fanout='corrected'`` gives the true
     weekly count. Neither mode materialises the k x m blow-up.
 
+    ``as_of`` ends the spine; with None it ends with the last week that has
+    events, in any series.
+
     ``keys`` makes it a multi-series panel (events carry the keys; polls and
     indicators are shared by month, as in the studied pipeline).
 

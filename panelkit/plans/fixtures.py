@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from panelkit.constants import SNAPSHOT_FLOOR  # noqa: F401  (re-exported for the query modules)
 
-AS_OF = "2001-11-10"      # spine end (the studied query uses CURRENT_DATE)
+AS_OF = "2001-11-10"      # an explicit spine end; the registered queries end with the last event
 RUN_TS = "2001-11-10 12:00:00"
 SERIES = "series_key"
 
@@ -40,6 +40,11 @@ def fx_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_returnflag").alias(SERIES))
 
 
+def last_event_date(spark: SparkSession, sf_dir: str):
+    """The newest publication date: one number, from a scan of that column alone."""
+    return fx_events(spark, sf_dir).agg(F.max("publication_date")).first()[0]
+
+
 def fx_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     d = F.to_date("o_orderdate")
@@ -161,10 +166,13 @@ FX_INDICATORS_SQL = """fx_indicators AS (
         FROM lineitem GROUP BY 1, 2) a)"""
 
 
-def duck_poll_date(c: str) -> str:
-    """DuckDB twin of ``parse_poll_date`` (with repair)."""
+def duck_poll_date(c: str, repair: bool = True) -> str:
+    """DuckDB twin of ``parse_poll_date``."""
     t = f"trim({c})"
-    return (f"COALESCE(CAST(try_strptime({t}, '%m/%d/%y') AS DATE), CAST(try_strptime({t}, '%m/%d/%Y') AS DATE), "
+    plain = f"CAST(try_strptime({t}, '%m/%d/%y') AS DATE), CAST(try_strptime({t}, '%m/%d/%Y') AS DATE)"
+    if not repair:
+        return f"COALESCE({plain})"
+    return (f"COALESCE({plain}, "
             f"CAST(try_strptime(regexp_replace({t}, '^([^/]*/[^/]*/[^/]*)/', '\\1'), '%m/%d/%Y') AS DATE))")
 
 
@@ -172,11 +180,15 @@ def duck_sunday(c: str) -> str:
     return f"(CAST({c} AS DATE) - CAST(dayofweek(CAST({c} AS DATE)) AS INTEGER))"
 
 
-POLLS_SORT_SQL = f"""polls_sort AS (
-  SELECT {duck_poll_date('start_date')} AS period_start, {duck_poll_date('end_date')} AS period_end,
+def polls_sort_sql(repair: bool = True) -> str:
+    return f"""polls_sort AS (
+  SELECT {duck_poll_date('start_date', repair)} AS period_start, {duck_poll_date('end_date', repair)} AS period_end,
          poll_id, approving, disapproving, unsure_or_no_data, president
   FROM fx_polls WHERE start_date IS NOT NULL OR end_date IS NOT NULL)"""
 
+
+POLLS_SORT_SQL = polls_sort_sql()
+
 INDICATORS_SORT_SQL = """indicators_sort AS (
   SELECT CAST(strptime(Month || '-' || Year, '%m-%Y') AS DATE) AS month_start, * EXCLUDE (Month, Year)
   FROM fx_indicators)"""
@@ -187,7 +199,8 @@ EVENTS_SORT_SQL = """events_sort AS (
 SPINE_SQL = f"""anchors AS (
   SELECT series_key, {duck_sunday('min(publication_date)')} AS first_week FROM events_sort GROUP BY series_key),
 week_array AS (
-  SELECT series_key, CAST(unnest(generate_series(CAST(first_week AS TIMESTAMP), TIMESTAMP '{AS_OF}', INTERVAL 7 DAY)) AS DATE) AS week_start
+  SELECT series_key, CAST(unnest(generate_series(CAST(first_week AS TIMESTAMP),
+    CAST((SELECT max(publication_date) FROM events_sort) AS TIMESTAMP), INTERVAL 7 DAY)) AS DATE) AS week_start
   FROM anchors)"""
 
 
@@ -196,29 +209,25 @@ def with_ctes(*ctes: str) -> str:
 
 
 # ------------------------------------------------------------- snapshots
-# (dt, exclusive cutoff on publication_date or None for all rows). The oldest
-# is below the floor; the newest is a smaller restatement, so picking the
-# wrong snapshot changes the answer.
-SNAPSHOTS = [("2025-01-18", None), ("2025-02-01", None), ("2025-02-08", "2001-01-01")]
+# (dt, days by which the snapshot restates the publication dates). The oldest is
+# below the floor; the newest restates every event, so picking the wrong
+# snapshot changes the answer.
+SNAPSHOTS = [("2025-01-18", 0), ("2025-02-01", 0), ("2025-02-08", 7)]
 
 
 def fx_event_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event copied into each snapshot that contains it (<= 3 copies)."""
+    """Every event in every snapshot (3 copies), its date as the snapshot states it."""
     import datetime as dt
     ev = fx_events(spark, sf_dir)
-    arr = F.array(*[F.struct(F.lit(dt.date.fromisoformat(d)).alias("dt"),
-                             F.lit(dt.date.fromisoformat(c) if c else None).cast("date").alias("cut"))
-                    for d, c in SNAPSHOTS])
-    keep = F.filter(arr, lambda s: s["cut"].isNull() | (F.col("publication_date") < s["cut"]))
-    return (ev.withColumn("_s", F.explode(keep))
-            .select("document_number", "person", "publication_date", SERIES,
-                    F.col("_s.dt").alias("dt"), F.lit("en").alias("lang")))
+    arr = F.array(*[F.struct(F.lit(dt.date.fromisoformat(d)).alias("dt"), F.lit(n).alias("days")) for d, n in SNAPSHOTS])
+    return (ev.withColumn("_s", F.explode(arr))
+            .select("document_number", "person", F.date_add("publication_date", F.col("_s.days")).alias("publication_date"),
+                    SERIES, F.col("_s.dt").alias("dt"), F.lit("en").alias("lang")))
 
 
 SNAPSHOTS_SQL = "snaps AS (\n" + "\n  UNION ALL\n".join(
-    f"  SELECT *, DATE '{d}' AS dt, 'en' AS lang FROM fx_events"
-    + (f" WHERE publication_date < DATE '{c}'" if c else "")
-    for d, c in SNAPSHOTS) + ")"
+    f"  SELECT * REPLACE (publication_date + {n} AS publication_date), DATE '{d}' AS dt, 'en' AS lang FROM fx_events"
+    for d, n in SNAPSHOTS) + ")"
 
 # ---------------------------------------------------------- scraped pages
 POLL_HEADER = ["Start Date", "End Date", "Approving", "Disapproving", "Unsure/No Data"]

@@ -50,7 +50,7 @@ ACF_SQL = with_ctes(*MF_CTES, f"""dx AS (SELECT series_key, t_idx, {Y} - lag({Y}
     "WHERE u.lag <= least(floor(10 * log10(n)), n // 2 - 1)"
 
 
-@register("acf", ACF_SQL, covers="M7")
+@register("acf", ACF_SQL, covers="M7 F7")
 def q_acf(spark, sf):
     return round_doubles(TS.acf(diffed(spark, sf), DIFF, keys=K))
 

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 from panelkit.functions.cleaning import na_to_null
 from panelkit.operators import panel as P
 from panelkit.plans import fixtures as FX
-from panelkit.plans.fixtures import (AS_OF, EVENTS_SORT_SQL, FX_EVENTS_SQL,
+from panelkit.plans.fixtures import (EVENTS_SORT_SQL, FX_EVENTS_SQL,
                                      FX_INDICATORS_SQL, FX_POLLS_SQL,
                                      INDICATORS_SORT_SQL, POLLS_SORT_SQL,
                                      RUN_TS, SERIES, SPINE_SQL, with_ctes)
@@ -33,14 +33,15 @@ def indicators_sorted(spark, sf):
 
 def spine(spark, sf):
     weekly = P.week_counts(events_sorted(spark, sf), keys=K, count_col="events_on_date")
-    return P.date_spine(P.week_anchor(weekly, K), AS_OF, K)
+    return P.date_spine(P.week_anchor(weekly, K), FX.last_event_date(spark, sf), K)
 
 
 def panel(spark, sf, fanout="reference"):
     """The panel straight from raw events: one partial aggregate per (series,
     week) replaces the per-date table plus a second aggregate (same counts)."""
     return P.weekly_panel(FX.fx_events(spark, sf), polls_sorted(spark, sf),
-                          indicators_sorted(spark, sf), AS_OF, RUN_TS, keys=K, fanout=fanout)
+                          indicators_sorted(spark, sf), FX.last_event_date(spark, sf), RUN_TS,
+                          keys=K, fanout=fanout)
 
 
 _STORED: dict[tuple[str, str], str] = {}
@@ -61,7 +62,7 @@ def stored_panel(spark, sf):
         expected = StructType.fromDDL(f"{SERIES} STRING, " + P.PANEL_SCHEMA_DDL)
         S.append_run(panel(spark, sf), path, expected)
         _STORED[key] = path
-    return S.latest_run(spark.read.parquet(path))
+    return S.read_latest_run(spark, path)
 
 
 EV = with_ctes(FX_EVENTS_SQL, EVENTS_SORT_SQL)
@@ -69,7 +70,7 @@ SP = with_ctes(FX_EVENTS_SQL, EVENTS_SORT_SQL, SPINE_SQL)
 
 
 @register("events_by_date", EV + "SELECT series_key, publication_date, events_on_date FROM events_sort",
-          covers="A1 S12 O1")
+          covers="A1 O1")
 def q_events_by_date(spark, sf):
     return events_sorted(spark, sf)
 
@@ -97,6 +98,13 @@ def q_poll_dates(spark, sf):
     return polls_sorted(spark, sf)
 
 
+@register("poll_dates_literal", with_ctes(FX_POLLS_SQL, FX.polls_sort_sql(repair=False)) + "SELECT * FROM polls_sort",
+          covers="D2 (unrepaired)")
+def q_poll_dates_literal(spark, sf):
+    """The third date layout stays NULL, as in the studied parsing."""
+    return P.curate_polls(FX.fx_polls(spark, sf), repair=False)
+
+
 @register("na_to_null", with_ctes(FX_INDICATORS_SQL, INDICATORS_SORT_SQL)
           + "SELECT month_start, " + ", ".join(f"NULLIF({c}, 'NA') AS {c}" for c in P.INDICATORS_NA)
           + " FROM indicators_sort", covers="C2")
@@ -165,102 +173,82 @@ def q_indicator_month_join(spark, sf):
     return j.select(SERIES, "week_start", *P.INDICATORS)
 
 
-def _literal_panel_sql(corrected: bool, rounded: bool = True) -> str:
-    return with_ctes(*PANEL_BASE_CTES) + panel_body(corrected, rounded)
+#: The days of each spine week with their event counts.
+WEEK_DAYS_SQL = """week_days AS (
+  SELECT w.series_key, w.week_start, o.events_on_date
+  FROM (SELECT *, CAST(unnest(range(7)) AS INTEGER) AS k FROM week_array) w
+  JOIN events_sort o ON o.series_key = w.series_key AND o.publication_date = w.week_start + w.k)"""
 
-
-PANEL_BASE_CTES = [FX_EVENTS_SQL, EVENTS_SORT_SQL, SPINE_SQL, FX_POLLS_SQL, POLLS_SORT_SQL,
+PANEL_BASE_CTES = [FX_EVENTS_SQL, EVENTS_SORT_SQL, SPINE_SQL, WEEK_DAYS_SQL, FX_POLLS_SQL, POLLS_SORT_SQL,
                    FX_INDICATORS_SQL, INDICATORS_SORT_SQL]
 
 
-def panel_body(corrected: bool, rounded: bool = True) -> str:
-    """The studied query, literally: three left joins to the spine, then GROUP BY."""
-    ind_sel = ",\n  ".join(
-        f"IF(i.{c} = 'NA', NULL, i.{c}) AS {c}" if c in P.INDICATORS_NA else f"i.{c}"
-        for c in P.INDICATORS)
-    if corrected:
-        events = ("(SELECT s.series_key, s.week_start, SUM(COALESCE(o.events_on_date, 0)) AS n FROM week_array s "
-                  "LEFT JOIN events_sort o ON o.series_key = s.series_key AND o.publication_date BETWEEN s.week_start "
-                  "AND s.week_start + 6 GROUP BY 1, 2)")
-        body = f"""SELECT w.series_key, w.week_start,
-  round(AVG(TRY_CAST(a.approving AS DOUBLE)), 6) AS approving,
-  round(AVG(TRY_CAST(a.disapproving AS DOUBLE)), 6) AS disapproving,
-  round(AVG(TRY_CAST(a.unsure_or_no_data AS DOUBLE)), 6) AS unsure_or_no_data,
-  {ind_sel},
-  CAST(ANY_VALUE(e.n) AS BIGINT) AS orders_outcome_var
-FROM week_array w
-LEFT JOIN {events} e ON e.series_key = w.series_key AND e.week_start = w.week_start
-LEFT JOIN polls_sort a ON date_trunc('month', a.period_start) = date_trunc('month', w.week_start)
-LEFT JOIN indicators_sort i ON i.month_start = date_trunc('month', w.week_start)
-WHERE i.ConstructionSpending IS NOT NULL
-GROUP BY w.series_key, w.week_start, {", ".join("i." + c for c in P.INDICATORS)}"""
-    else:
-        body = f"""SELECT w.series_key, w.week_start,
-  round(AVG(TRY_CAST(a.approving AS DOUBLE)), 6) AS approving,
-  round(AVG(TRY_CAST(a.disapproving AS DOUBLE)), 6) AS disapproving,
-  round(AVG(TRY_CAST(a.unsure_or_no_data AS DOUBLE)), 6) AS unsure_or_no_data,
-  {ind_sel},
-  CAST(SUM(COALESCE(o.events_on_date, 0)) AS BIGINT) AS orders_outcome_var
-FROM week_array w
-LEFT JOIN events_sort o ON o.series_key = w.series_key
-  AND o.publication_date BETWEEN w.week_start AND w.week_start + 6
-LEFT JOIN polls_sort a ON date_trunc('month', a.period_start) = date_trunc('month', w.week_start)
-LEFT JOIN indicators_sort i ON i.month_start = date_trunc('month', w.week_start)
-WHERE i.ConstructionSpending IS NOT NULL
-GROUP BY w.series_key, w.week_start, {", ".join("i." + c for c in P.INDICATORS)}"""
-    if not rounded:
-        for c in P.POLL_VALUES:
-            body = body.replace(f"round(AVG(TRY_CAST(a.{c} AS DOUBLE)), 6)", f"AVG(TRY_CAST(a.{c} AS DOUBLE))")
-    return body
-
-
-@register("weekly_panel", _literal_panel_sql(False), covers="J4 P3 P4 A3 A4 D4 D5 D7 C2 C3 F3 O2")
+def panel_body(scaled: bool, rounded: bool = True, keyed: bool = True) -> str:
+    """The panel by its meaning: each figure of a spine week is looked up by a scalar subquery.
+
+    Seven days of events, the means of the month's polls, the month's indicators; ``scaled`` multiplies the
+    events by the month's polls, if there are any.
+    """
+    month = "last_day(p.period_start) = last_day(w.week_start)"
+    same = "d.series_key = w.series_key AND " if keyed else ""
+    fig = [("round({}, 6)" if rounded else "{}").format(
+        f"(SELECT avg(TRY_CAST(p.{c} AS DOUBLE)) FROM polls_sort p WHERE {month})") + f" AS {c}" for c in P.POLL_VALUES]
+    fig += [f"NULLIF(i.{c}, 'NA') AS {c}" if c in P.INDICATORS_NA else f"i.{c}" for c in P.INDICATORS]
+    total = f"(SELECT coalesce(sum(d.events_on_date), 0) FROM week_days d WHERE {same}d.week_start = w.week_start)"
+    if scaled:
+        total += f" * greatest((SELECT count(*) FROM polls_sort p WHERE {month}), 1)"
+    fig.append(f"CAST({total} AS BIGINT) AS {P.OUTCOME}")
+    return ("SELECT " + ("w.series_key, " if keyed else "") + "w.week_start,\n  " + ",\n  ".join(fig)
+            + f"\nFROM week_array w JOIN indicators_sort i ON last_day(i.month_start) = last_day(w.week_start)"
+            + f"\nWHERE i.{P.PRESENCE_COLUMN} IS NOT NULL")
+
+
+def panel_sql(scaled: bool = True) -> str:
+    return with_ctes(*PANEL_BASE_CTES) + panel_body(scaled)
+
+
+@register("weekly_panel", panel_sql(), covers="J4 P3 P4 A3 A4 D4 D5 D7 C2 C3 F3 O2")
 def q_weekly_panel(spark, sf):
     return round_doubles(panel(spark, sf).drop("run_date"))
 
 
-@register("weekly_panel_corrected", _literal_panel_sql(True), covers="J4(corrected)")
+@register("weekly_panel_corrected", panel_sql(scaled=False), covers="J4(corrected)")
 def q_weekly_panel_corrected(spark, sf):
     return round_doubles(panel(spark, sf, "corrected").drop("run_date"))
 
 
-def _literal_single_sql() -> str:
-    """The studied query for one series, literally (all events, one spine)."""
-    ind_sel = ",\n  ".join(
-        f"IF(i.{c} = 'NA', NULL, i.{c}) AS {c}" if c in P.INDICATORS_NA else f"i.{c}"
-        for c in P.INDICATORS)
-    ctes = [FX_EVENTS_SQL, FX_POLLS_SQL, POLLS_SORT_SQL, FX_INDICATORS_SQL, INDICATORS_SORT_SQL,
-            "events_all AS (SELECT publication_date, COUNT(*) AS events_on_date FROM fx_events GROUP BY publication_date)",
-            f"""week_array AS (SELECT CAST(unnest(generate_series(CAST((SELECT {FX.duck_sunday('min(publication_date)')}
-    FROM events_all) AS TIMESTAMP), TIMESTAMP '{AS_OF}', INTERVAL 7 DAY)) AS DATE) AS week_start)"""]
-    return with_ctes(*ctes) + f"""SELECT w.week_start,
-  round(AVG(TRY_CAST(a.approving AS DOUBLE)), 6) AS approving,
-  round(AVG(TRY_CAST(a.disapproving AS DOUBLE)), 6) AS disapproving,
-  round(AVG(TRY_CAST(a.unsure_or_no_data AS DOUBLE)), 6) AS unsure_or_no_data,
-  {ind_sel},
-  CAST(SUM(COALESCE(o.events_on_date, 0)) AS BIGINT) AS orders_outcome_var
-FROM week_array w
-LEFT JOIN events_all o ON o.publication_date BETWEEN w.week_start AND w.week_start + 6
-LEFT JOIN polls_sort a ON date_trunc('month', a.period_start) = date_trunc('month', w.week_start)
-LEFT JOIN indicators_sort i ON i.month_start = date_trunc('month', w.week_start)
-WHERE i.ConstructionSpending IS NOT NULL
-GROUP BY w.week_start, {", ".join("i." + c for c in P.INDICATORS)}"""
-
-
-@register("weekly_panel_single", _literal_single_sql(), covers="J4 (one series, as studied)")
-def q_weekly_panel_single(spark, sf):
-    p = P.weekly_panel(FX.fx_events(spark, sf), polls_sorted(spark, sf), indicators_sorted(spark, sf),
-                       AS_OF, RUN_TS)
+@register("weekly_panel_literal", with_ctes(*[FX.polls_sort_sql(repair=False) if c is POLLS_SORT_SQL else c
+                                              for c in PANEL_BASE_CTES]) + panel_body(True), covers="J4 D2 (unrepaired)")
+def q_weekly_panel_literal(spark, sf):
+    """The panel with unrepaired poll dates."""
+    p = P.weekly_panel(FX.fx_events(spark, sf), P.curate_polls(FX.fx_polls(spark, sf), repair=False),
+                       indicators_sorted(spark, sf), FX.last_event_date(spark, sf), RUN_TS, keys=K)
     return round_doubles(p.drop("run_date"))
 
 
-EVENTS_AS_OF = "2024-02-04"
+#: One series: all events, one spine.
+SINGLE_CTES = [FX_EVENTS_SQL, FX_POLLS_SQL, POLLS_SORT_SQL, FX_INDICATORS_SQL, INDICATORS_SORT_SQL, f"""week_array AS (
+  SELECT CAST(unnest(generate_series(CAST({FX.duck_sunday("min(publication_date)")} AS TIMESTAMP),
+                                     CAST(max(publication_date) AS TIMESTAMP), INTERVAL 7 DAY)) AS DATE) AS week_start
+  FROM fx_events)""", """week_days AS (
+  SELECT w.week_start, d.events_on_date
+  FROM (SELECT *, CAST(unnest(range(7)) AS INTEGER) AS k FROM week_array) w
+  JOIN (SELECT publication_date, count(*) AS events_on_date FROM fx_events GROUP BY 1) d
+    ON d.publication_date = w.week_start + w.k)"""]
+
+
+@register("weekly_panel_single", with_ctes(*SINGLE_CTES) + panel_body(True, keyed=False), covers="J4 (one series, as studied)")
+def q_weekly_panel_single(spark, sf):
+    p = P.weekly_panel(FX.fx_events(spark, sf), polls_sorted(spark, sf), indicators_sorted(spark, sf),
+                       None, RUN_TS)
+    return round_doubles(p.drop("run_date"))
 
 
 @register("events_weekly", f"""WITH ev AS (SELECT event_type, CAST(ts AS DATE) AS d FROM events WHERE ts IS NOT NULL),
 wk AS (SELECT event_type, {FX.duck_sunday('d')} AS week_start, COUNT(*) AS n FROM ev GROUP BY 1, 2),
-sp AS (SELECT event_type, CAST(unnest(generate_series(CAST(min(week_start) AS TIMESTAMP), TIMESTAMP '{EVENTS_AS_OF}',
-       INTERVAL 7 DAY)) AS DATE) AS week_start FROM wk GROUP BY event_type)
+sp AS (SELECT event_type, CAST(unnest(generate_series(CAST(min(week_start) AS TIMESTAMP),
+       CAST((SELECT max(week_start) FROM wk) AS TIMESTAMP), INTERVAL 7 DAY)) AS DATE) AS week_start
+       FROM wk GROUP BY event_type)
 SELECT sp.event_type, sp.week_start, CAST(COALESCE(wk.n, 0) AS BIGINT) AS n_events
 FROM sp LEFT JOIN wk ON wk.event_type = sp.event_type AND wk.week_start = sp.week_start""",
           covers="A1 D3 D6 J1 A3 (clickstream events)")
@@ -269,6 +257,6 @@ def q_events_weekly(spark, sf):
     timestamped ``events`` table (one partial aggregate, one window by type)."""
     ev = FX.table(spark, sf, "events").select("event_type", F.to_date("ts").alias("d"))
     weekly = P.week_counts(ev, "d", ["event_type"])
-    filled = P.fill_weeks(weekly, EVENTS_AS_OF, ["event_type"])
+    filled = P.fill_weeks(weekly, None, ["event_type"])
     return filled.select("event_type", "week_start",
                          F.coalesce("n_events", F.lit(0)).cast("bigint").alias("n_events"))

@@ -33,7 +33,7 @@ def interpolated(spark, sf, leading="null"):
 
 
 # ------------------------------------------------------------------ SQL side
-MF_CTES = [*PANEL_BASE_CTES, "panel AS (\n" + panel_body(False, rounded=False) + ")",
+MF_CTES = [*PANEL_BASE_CTES, "panel AS (\n" + panel_body(True, rounded=False) + ")",
            "mf AS (SELECT series_key, week_start, "
            "CAST(row_number() OVER (PARTITION BY series_key ORDER BY week_start) - 1 AS INTEGER) AS t_idx, "
            + ", ".join(f"TRY_CAST({c} AS DOUBLE) AS {c}" for c in X)
@@ -139,7 +139,7 @@ def q_collinear_pairs(spark, sf):
 
 
 @register("difference", with_ctes(*MF_CTES) + f"""SELECT series_key, week_start, t_idx, {Y},
-  {Y} - lag({Y}, 1) OVER (PARTITION BY series_key ORDER BY t_idx) AS {Y}_diff FROM mf""", covers="P7 F7")
+  {Y} - lag({Y}, 1) OVER (PARTITION BY series_key ORDER BY t_idx) AS {Y}_diff FROM mf""", covers="P7")
 def q_difference(spark, sf):
     return round_doubles(R.difference(frame(spark, sf), Y, K).select(SERIES, "week_start", R.T, Y, f"{Y}_diff"))
 

@@ -9,7 +9,7 @@ from panelkit.operators import panel as P
 from panelkit.plans import fixtures as FX
 from panelkit.plans.fixtures import (EVENTS_SORT_SQL, FX_EVENTS_SQL, FX_POLLS_SQL, SERIES,
                                      SNAPSHOT_FLOOR, SNAPSHOTS_SQL, with_ctes)
-from panelkit.plans.q_panel import _literal_panel_sql, events_sorted, panel
+from panelkit.plans.q_panel import events_sorted, panel, panel_sql
 from panelkit.plans.registry import register, round_doubles
 from panelkit.session import work_dir
 from panelkit.sources import snapshots as S
@@ -38,14 +38,14 @@ def q_partitioned_roundtrip(spark, sf):
     schema; the newest-snapshot filter prunes to one partition."""
     root = work_dir(spark, "events_raw")
     S.land(FX.fx_event_snapshots(spark, sf), root, fmt="json")
-    back = S.read_snapshots(spark, root, EVENT_RECORD, fmt="json")
-    return P.events_by_date(S.latest_snapshot(back, SNAPSHOT_FLOOR), keys=[SERIES])
+    newest = S.read_latest_snapshot(spark, root, EVENT_RECORD, fmt="json", floor=SNAPSHOT_FLOOR)
+    return P.events_by_date(newest, keys=[SERIES])
 
 
 RUNS = ["2001-11-03 09:00:00", "2001-11-10 06:00:00", FX.RUN_TS]
 
 
-@register("latest_run", _literal_panel_sql(False), covers="S9 S10 S11 F8 P1")
+@register("latest_run", panel_sql(), covers="S9 S10 S11 S12 F8 P1")
 def q_latest_run(spark, sf):
     """Append three runs of the panel (create-if-absent, partitioned by run day)
     and read back only the newest run (two of them share its day)."""
@@ -56,7 +56,7 @@ def q_latest_run(spark, sf):
     expected = StructType.fromDDL(f"{SERIES} STRING, " + P.PANEL_SCHEMA_DDL)
     for ts in RUNS:
         S.append_run(stored.withColumn("run_date", F.lit(ts).cast("timestamp_ntz")), path, expected)
-    return round_doubles(S.latest_run(spark.read.parquet(path)))
+    return round_doubles(S.read_latest_run(spark, path))
 
 
 SNAPSHOT_PICK_SQL = """WITH avail AS (SELECT DISTINCT l_returnflag AS source, CAST(l_shipdate AS DATE) AS snapshot_date FROM lineitem),
@@ -112,7 +112,7 @@ HTML_SQL = with_ctes(FX_POLLS_SQL) + """SELECT president, NULLIF(start_date, '')
 FROM fx_polls"""
 
 
-@register("html_table_rows", HTML_SQL, covers="S6 P5 S7")
+@register("html_table_rows", HTML_SQL, covers="S6 P5")
 def q_html_table_rows(spark, sf):
     pages = FX.fx_poll_pages(spark, sf)
     cols = list(FX.POLL_RENAME.values())
@@ -148,7 +148,7 @@ def q_events_desc(spark, sf):
     return events_sorted(spark, sf).orderBy(F.col("publication_date").desc())
 
 
-@register("panel_head", _literal_panel_sql(False).rstrip() + "\nORDER BY w.week_start, w.series_key LIMIT 5",
+@register("panel_head", panel_sql() + "\nORDER BY w.week_start, w.series_key LIMIT 5",
           covers="O4 O2 O3")
 def q_panel_head(spark, sf):
     return round_doubles(panel(spark, sf).drop("run_date").orderBy("week_start", SERIES).limit(5))
@@ -191,12 +191,11 @@ def q_csv_snapshot_roundtrip(spark, sf):
     polls = FX.fx_polls(spark, sf).select(*[F.col(c).cast("string") for c in POLL_RAW.fieldNames()])
     S.land(polls.select("*", F.lit("2025-01-18").cast("date").alias("dt"), F.lit("en").alias("lang")), root, fmt="csv")
     S.land(polls.select("*", F.lit("2025-02-08").cast("date").alias("dt"), F.lit("en").alias("lang")), root, fmt="csv")
-    back = S.read_snapshots(spark, root, POLL_RAW, fmt="csv")
     # an empty CSV field reads back as NULL; the raw '' sentinel is therefore NULL here
-    return S.latest_snapshot(back, SNAPSHOT_FLOOR).drop("dt", "lang")
+    return S.read_latest_snapshot(spark, root, POLL_RAW, "csv", SNAPSHOT_FLOOR).drop("dt", "lang")
 
 
-@register("panel_csv_extract", _literal_panel_sql(False), covers="S14 D12 O3")
+@register("panel_csv_extract", panel_sql(), covers="S14 D12 O3")
 def q_panel_csv_extract(spark, sf):
     """Write the panel as a CSV extract with header, read it back with the fixed
     panel schema, parse dates and sort by week (the exploration notebook's input)."""

@@ -2,9 +2,10 @@
 
 Layout: ``<root>/dt=YYYY-MM-DD/lang=en/part-*`` (Hive style). Reads pass an
 explicit schema so ``dt`` is a DATE from partition discovery and nothing is
-inferred. "Newest snapshot" and "newest run" filters are written as scalar
-subqueries on partition columns, which Spark evaluates first and then uses
-for partition pruning: only the newest partition's files are read.
+inferred. For a stored root the newest snapshot or run day is taken from the
+folder listing and becomes a literal partition filter, so only its files are
+read (``read_latest_snapshot``, ``read_latest_run``). For any other DataFrame it
+is a scalar subquery over the date column (``latest_snapshot``, ``latest_run``).
 """
 
 from __future__ import annotations
@@ -62,6 +63,45 @@ def read_snapshots(spark: SparkSession, root: str, schema: StructType, fmt: str
 
 # ------------------------------------------------------------ newest picks
 
+def partition_dates(spark: SparkSession, root: str, column: str = "dt", under: str = "") -> list[_dt.date]:
+    """Dates of the ``column=`` folders of a written root: a folder listing, no file is opened.
+
+    ``under`` is a glob for folders in between. Folders that name no date are
+    left out; a root that is missing or empty gives no dates. One entry per
+    snapshot or run day, however many files these hold.
+    """
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(
+        "/".join([root.rstrip("/"), *([under] if under else []), f"{column}=*"]))
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    dates = set()
+    for status in fs.globStatus(pattern) or []:
+        try:
+            dates.add(_dt.date.fromisoformat(status.getPath().getName().partition("=")[2]))
+        except ValueError:  # the folder of NULL
+            continue
+    return sorted(dates)
+
+
+def newest_after(dates: Sequence[_dt.date], floor=None) -> Column:
+    """The last date strictly after ``floor`` as a literal; NULL, which no row equals, if there is none."""
+    if isinstance(floor, str):
+        floor = _dt.date.fromisoformat(floor)
+    return F.lit(max((d for d in dates if floor is None or d > floor), default=None)).cast("date")
+
+
+def read_latest_snapshot(spark: SparkSession, root: str, schema: StructType, fmt: str = "json",
+                         floor=SNAPSHOT_FLOOR, multiline: bool = False) -> DataFrame:
+    """The newest landed snapshot after ``floor``: its date comes from the listing, only its files are read."""
+    newest = newest_after(partition_dates(spark, root), floor)
+    return read_snapshots(spark, root, schema, fmt, multiline).where(F.col("dt") == newest)
+
+
+def read_latest_run(spark: SparkSession, path: str, run_col: str = "run_date", day_col: str = "run_day") -> DataFrame:
+    """The newest run of a table written by ``append_run``: only the newest day's files are read."""
+    day = newest_after(partition_dates(spark, path, day_col))
+    return latest_run(spark.read.parquet(path).where(F.col(day_col) == day), run_col, None).drop(day_col)
+
+
 def latest_snapshot(df: DataFrame, floor=SNAPSHOT_FLOOR, dt_col: str = "dt") -> DataFrame:
     """Rows of the newest snapshot whose date is strictly after ``floor``.
 
@@ -139,9 +179,8 @@ LONG_DATE_PREFIX = r"^\d{1,2}/\d{1,2}/\d{4}"
 def latest_raw_date(df: DataFrame, raw_col: str = "start_date", keys: Sequence[str] = ()) -> DataFrame:
     """Latest well-formed ``M/d/yyyy`` raw date, returned as the original text.
 
-    Mirrors ``max(d for d in col if re.match(...), key=strptime)``: a prefix
-    match filters, the parsed date orders, the raw string is returned and also
-    given with slashes turned to dashes for file labels. Prefix matches with
+    Texts that begin like a date are ordered by the date they parse to; the text
+    itself is returned, and once more with dashes for file labels. Prefix matches with
     trailing junk fail the parse and are counted, not raised.
     """
     raw = F.col(raw_col)
@@ -172,9 +211,18 @@ def check_schema(df: DataFrame, expected: StructType) -> DataFrame:
 
 def append_run(df: DataFrame, path: str, expected: StructType | None = None,
                run_col: str = "run_date", day_col: str = "run_day") -> None:
-    """Append one complete run, partitioned by the run's day (create-if-absent)."""
+    """Append one complete run, partitioned by the run's day (create-if-absent).
+
+    The run must have the columns and types of the table on disk, if there is one.
+    """
     if expected is not None:
         df = check_schema(df, expected)
+    if partition_dates(df.sparkSession, path, day_col):
+        stored = df.sparkSession.read.parquet(path).drop(day_col).schema
+        extra = sorted(set(df.columns) - set(stored.names))
+        if extra:
+            raise SchemaMismatch(f"not in the stored table: {', '.join(extra)}")
+        df = check_schema(df, stored)
     (df.withColumn(day_col, F.to_date(F.col(run_col)))
        .write.mode("append").partitionBy(day_col).parquet(path))
 

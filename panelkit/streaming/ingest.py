@@ -14,10 +14,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from panelkit.constants import SNAPSHOT_FLOOR
-from panelkit.sources.snapshots import PARTITION_FIELDS, latest_snapshot, manifest
+from panelkit.sources.snapshots import PARTITION_FIELDS, manifest, newest_after, partition_dates
 
 
 def ingest_available_now(spark: SparkSession, landing_root: str, record_schema: StructType,
@@ -55,8 +56,9 @@ def ingest_available_now(spark: SparkSession, landing_root: str, record_schema:
         touched = batch.select("dt").distinct()
         (summarize(landed.join(touched, "dt", "left_semi")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(manifest_path))
-        # curated table: rebuilt from the newest snapshot only (partition-pruned read)
-        curate(latest_snapshot(landed, floor)).write.mode("overwrite").parquet(curated_path)
+        # curated table: rebuilt from the newest snapshot only, its date known from the folder listing
+        newest = newest_after(partition_dates(spark, mirror_path, "dt", under="batch=*"), floor)
+        curate(landed.where(F.col("dt") == newest)).write.mode("overwrite").parquet(curated_path)
 
     q = (stream.writeStream.foreachBatch(on_batch)
          .option("checkpointLocation", checkpoint)

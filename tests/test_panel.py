@@ -98,3 +98,17 @@ def test_single_series_panel_scans_events_once(spark, sf):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert plan.count("lineitem.parquet") == 2 and "ReusedExchange" in plan  # events once, indicators once
+
+
+def test_spine_ends_with_the_last_event_of_any_series(spark):
+    ev = spark.createDataFrame([("a", d(2025, 1, 6)), ("a", d(2025, 1, 20)), ("b", d(2025, 1, 7)), ("b", None)],
+                               "k string, publication_date date")
+    out = P.fill_weeks(P.week_counts(ev, keys=["k"]), None, ["k"])
+    weeks = [d(2025, 1, 5), d(2025, 1, 12), d(2025, 1, 19)]
+    assert sorted((r.k, r.week_start, r.n_events) for r in out.collect()) == [
+        *[("a", w, n) for w, n in zip(weeks, (1, None, 1))], *[("b", w, n) for w, n in zip(weeks, (1, None, None))]]
+    one = P.spine_join(P.week_counts(ev), None).collect()
+    assert sorted((r.week_start, r.n_events) for r in one) == list(zip(weeks, (2, None, 1)))
+    none = ev.where("k = 'c'")
+    assert P.fill_weeks(P.week_counts(none, keys=["k"]), None, ["k"]).count() == 0
+    assert P.spine_join(P.week_counts(none), None).count() == 0

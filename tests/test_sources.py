@@ -111,3 +111,34 @@ def test_csv_header_order_mismatch_fails_loudly(spark):
     ok = StructType([StructField("b", StringType()), StructField("a", StringType())])
     r = S.read_snapshots(spark, root, ok, fmt="csv").first()
     assert (r.a, r.b) == ("2", "1")
+
+
+def test_newest_snapshot_is_found_without_reading_files(spark):
+    """The date comes from the folder listing: no subquery over the files, NULL dates left out."""
+    from pyspark.sql.types import IntegerType, StructField, StructType
+    schema = StructType([StructField("v", IntegerType())])
+    for fmt in ("parquet", "json", "csv"):
+        root = work_dir(spark, "t_newest")
+        df = spark.createDataFrame([(1, d(2025, 1, 18), "en"), (2, d(2025, 2, 1), "en"), (3, d(2025, 2, 8), "en"),
+                                    (9, None, "en")], "v int, dt date, lang string")
+        S.land(df, root, fmt=fmt)
+        assert S.partition_dates(spark, root) == [d(2025, 1, 18), d(2025, 2, 1), d(2025, 2, 8)]
+        q = S.read_latest_snapshot(spark, root, schema, fmt, "2025-01-20")
+        assert [(r.v, r.dt) for r in q.collect()] == [(3, d(2025, 2, 8))]
+        plan = q._jdf.queryExecution().executedPlan().toString()
+        assert "Subquery" not in plan and "PartitionFilters: [isnotnull(dt" in plan
+        assert S.read_latest_snapshot(spark, root, schema, fmt, "2025-02-08").count() == 0
+    assert S.partition_dates(spark, work_dir(spark, "t_none")) == []
+
+
+def test_newest_run_and_stored_schema(spark):
+    import pytest
+    path = work_dir(spark, "t_runs")
+    for v, ts in ((1, "2025-02-01 09:00:00"), (2, "2025-02-08 06:00:00"), (3, "2025-02-08 12:00:00")):
+        S.append_run(spark.createDataFrame([(v,)], "v int").withColumn(
+            "run_date", F.lit(ts).cast("timestamp_ntz")), path)
+    assert [tuple(r) for r in S.read_latest_run(spark, path).collect()] == [(3,)]
+    run = F.lit("2025-02-09 00:00:00").cast("timestamp_ntz").alias("run_date")
+    for other in ("cast(1 AS bigint) AS v", "1 AS v, 2 AS w", "1 AS w"):
+        with pytest.raises(S.SchemaMismatch):
+            S.append_run(spark.sql(f"SELECT {other}").select("*", run), path)
