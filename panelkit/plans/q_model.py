@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from panelkit.operators import prep as R
 from panelkit.operators import seasonal as SE
 from panelkit.operators import tsstats as TS
+from panelkit.plans import oracles_model as OM
 from panelkit.plans.fixtures import FX_EVENTS_SQL, RUN_TS, SERIES, with_ctes
 from panelkit.plans.q_panel import events_sorted
 from panelkit.plans.q_multi import N_COMPONENTS, scores
@@ -36,18 +37,20 @@ def grid(spark, sf, mf=None):
     return materialize(SE.seasonal_arx_grid(mf.where(F.col("split") == "train"), Y, PCS, K))
 
 
-ACF_SQL = with_ctes(*MF_CTES, f"""dx AS (SELECT series_key, t_idx, {Y} - lag({Y}) OVER (PARTITION BY series_key ORDER BY t_idx) AS v FROM mf)""",
-                    """x AS (SELECT series_key, v, row_number() OVER (PARTITION BY series_key ORDER BY t_idx) - 1 AS _t FROM dx WHERE v IS NOT NULL)""",
-                    """c AS (SELECT series_key, _t, v - avg(v) OVER (PARTITION BY series_key) AS c FROM x)""",
-                    "l AS (SELECT series_key, c, " + ", ".join(
-                        f"lag(c, {k}) OVER (PARTITION BY series_key ORDER BY _t) AS l{k}" for k in range(1, ORACLE_LAGS + 1))
-                    + " FROM c)",
-                    "s AS (SELECT series_key, count(*) AS n, sum(c * c) AS s0, " + ", ".join(
-                        f"sum(c * l{k}) AS s{k}" for k in range(1, ORACLE_LAGS + 1)) + " FROM l GROUP BY series_key)") + \
-    "SELECT series_key, CAST(u.lag AS INTEGER) AS lag, round(u.acf, 6) AS acf, round(1.96 / sqrt(n), 6) AS conf " \
-    "FROM (SELECT series_key, n, unnest([" + ", ".join(
-        f"{{'lag': {k}, 'acf': s{k} / s0}}" for k in range(1, ORACLE_LAGS + 1)) + "]) AS u FROM s) q " \
-    "WHERE u.lag <= least(floor(10 * log10(n)), n // 2 - 1)"
+DX_CTE = f"dx AS (SELECT series_key, t_idx, {Y} - lag({Y}) OVER (PARTITION BY series_key ORDER BY t_idx) AS v FROM mf)"
+ACF_CTES = [*MF_CTES, DX_CTE,
+            """x AS (SELECT series_key, v, row_number() OVER (PARTITION BY series_key ORDER BY t_idx) - 1 AS _t FROM dx WHERE v IS NOT NULL)""",
+            """c AS (SELECT series_key, _t, v - avg(v) OVER (PARTITION BY series_key) AS c FROM x)""",
+            "l AS (SELECT series_key, c, " + ", ".join(
+                f"lag(c, {k}) OVER (PARTITION BY series_key ORDER BY _t) AS l{k}" for k in range(1, ORACLE_LAGS + 1))
+            + " FROM c)",
+            "s AS (SELECT series_key, count(*) AS n, sum(c * c) AS s0, " + ", ".join(
+                f"sum(c * l{k}) AS s{k}" for k in range(1, ORACLE_LAGS + 1)) + " FROM l GROUP BY series_key)",
+            "ac AS (SELECT series_key, CAST(u.lag AS INTEGER) AS lag, u.acf AS acf, 1.96 / sqrt(n) AS conf "
+            "FROM (SELECT series_key, n, unnest([" + ", ".join(
+                f"{{'lag': {k}, 'acf': s{k} / s0}}" for k in range(1, ORACLE_LAGS + 1)) + "]) AS u FROM s) q "
+            "WHERE u.lag <= least(floor(10 * log10(n)), n // 2 - 1))"]
+ACF_SQL = with_ctes(*ACF_CTES) + "SELECT series_key, lag, round(acf, 6) AS acf, round(conf, 6) AS conf FROM ac"
 
 
 @register("acf", ACF_SQL, covers="M7 F7")
@@ -55,12 +58,12 @@ def q_acf(spark, sf):
     return round_doubles(TS.acf(diffed(spark, sf), DIFF, keys=K))
 
 
-@register("pacf", covers="M7")
+@register("pacf", OM.recursive(with_ctes(*ACF_CTES, *OM.PACF_CTES)) + OM.PACF_SELECT, covers="M7")
 def q_pacf(spark, sf):
     return round_doubles(TS.pacf(TS.acf(diffed(spark, sf), DIFF, keys=K), K))
 
 
-@register("adf", covers="M8")
+@register("adf", OM.recursive(with_ctes(*MF_CTES, DX_CTE, *OM.ADF_CTES)) + OM.ADF_SELECT, covers="M8")
 def q_adf(spark, sf):
     return round_doubles(TS.adf(diffed(spark, sf), DIFF, K))
 

@@ -7,6 +7,7 @@ from itertools import combinations
 from panelkit.operators import panel as P
 from panelkit.operators import prep as R
 from panelkit.operators import quality as Q
+from panelkit.plans import oracles_model as OM
 from panelkit.plans.fixtures import SERIES, with_ctes
 from panelkit.plans.q_panel import PANEL_BASE_CTES, panel_body, stored_panel
 from panelkit.plans.registry import register, round_doubles
@@ -182,6 +183,7 @@ def q_chrono_split(spark, sf):
     return R.chrono_split(frame(spark, sf).select(SERIES, "week_start", R.T), K)
 
 
-@register("interpolate_spline", covers="P12(spline)")
+@register("interpolate_spline", OM.recursive(with_ctes(*OB_CTES, *OM.spline_ctes(X))) + OM.spline_select(X, Y),
+          covers="P12(spline)")
 def q_interpolate_spline(spark, sf):
     return round_doubles(R.interpolate_spline(blanked(spark, sf), X, K))
