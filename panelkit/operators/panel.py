@@ -194,35 +194,52 @@ def week_range_join(spine: DataFrame, points: DataFrame, point_col: str,
 
 def bucketed_range_join(points: DataFrame, point_col: str, intervals: DataFrame,
                         lo_col: str, hi_col: str, bucket_days: int = 7,
-                        keys: Sequence[str] = (), how: str = "inner") -> DataFrame:
+                        keys: Sequence[str] = (), how: str = "inner", splits: int | None = None) -> DataFrame:
     """General ``lo <= point <= hi`` join for overlapping intervals.
 
     Each interval is exploded to the fixed-width day buckets it covers, each
     point gets its single bucket; equi-join on ``(keys, bucket)`` then re-check
     the exact bounds. A matching pair meets in exactly one bucket (the
     point's), so no de-duplication is needed and no pair is dropped: long
-    intervals simply emit more bucket rows. Intervals with a NULL bound match
-    nothing. ``how='left'`` keeps intervals without points.
+    intervals simply emit more bucket rows. Choose ``bucket_days`` near the
+    usual interval length. Intervals with a NULL bound match nothing.
+    ``how='left'`` keeps each interval without points once.
+
+    A bucket's points are dealt by their hash to ``splits`` parts and its
+    intervals go to each part, so that one busy bucket is many tasks' work.
+    The default is 1 with keys and 16 without, where the buckets are few.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"how must be inner or left, not {how}")
+    keys = list(keys)
     w = int(bucket_days)
+    n = splits or (1 if keys else 16)
     epoch = F.lit(_dt.date(1970, 1, 1))
 
     def bucket(c):
         return F.floor(F.datediff(c, epoch) / w).cast("long")
 
     lo, hi = F.col(lo_col), F.col(hi_col)
-    iv = intervals.withColumn(
-        "_bucket",
-        F.explode_outer(F.when(lo.isNotNull() & hi.isNotNull() & (lo <= hi),
-                               F.sequence(bucket(lo), bucket(hi)))))
+    meets = lo.isNotNull() & hi.isNotNull() & (lo <= hi)
+    iv = intervals.where(meets).withColumn("_bucket", F.explode(F.sequence(bucket(lo), bucket(hi))))
     pt = points.where(F.col(point_col).isNotNull()).withColumn("_bucket", bucket(F.col(point_col)))
-    cond = [iv[k] == pt[k] for k in keys] + [iv["_bucket"] == pt["_bucket"],
-                                             pt[point_col] >= iv[lo_col], pt[point_col] <= iv[hi_col]]
-    out = iv.join(pt, cond, how)
-    drop_pt = [pt[k] for k in keys]
-    for c in drop_pt:
-        out = out.drop(c)
-    return out.drop("_bucket")
+    if n > 1:
+        iv = iv.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+        hashed = [f.name for f in points.schema.fields
+                  if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+        pt = pt.withColumn("_part", F.pmod(F.xxhash64(*hashed), F.lit(n)).cast("int"))
+    on = [*keys, "_bucket", *(["_part"] if n > 1 else [])]
+    cond = [iv[k] == pt[k] for k in on] + [pt[point_col] >= iv[lo_col], pt[point_col] <= iv[hi_col]]
+    out = iv.join(pt, cond, "inner")
+    for k in on:
+        out = out.drop(pt[k])
+    out = out.drop("_bucket", "_part")
+    if how == "left":
+        # equal intervals have equal points, so an interval is found by all of its values
+        found = iv.join(pt, cond, "left_semi").drop("_bucket", "_part").distinct()
+        same = [intervals[c].eqNullSafe(found[c]) for c in intervals.columns]
+        out = out.unionByName(intervals.join(found, same, "left_anti"), allowMissingColumns=True)
+    return out
 
 
 def poll_month(polls_curated: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import DataFrame
@@ -31,36 +30,20 @@ def gap_report(df: DataFrame, keys: Sequence[str] = (), week_col: str = "week_st
             .withColumn("missing_weeks", F.col("expected_weeks") - F.col("n_weeks")))
 
 
-def corr_matrix(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (),
-                pairs_per_pass: int = 34) -> DataFrame:
+def corr_matrix(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Pairwise Pearson correlation (pairwise-complete rows) for every i < j pair.
 
-    Each aggregate pass computes up to ``pairs_per_pass`` pairs per key
-    (partial aggregation, no shuffle of raw rows) and ``stack`` unpivots them
-    to ``(var_x, var_y, corr)``. Several moderate passes over the panel-grain
-    frame generate much smaller code than one pass with hundreds of
-    aggregates, and cost little since the frame is small and checkpointed.
+    Each panel row is unpivoted to its pairs of values, a fixed number, and one
+    aggregate with map-side combine runs over (series, pair): one read of the
+    frame, small generated code, parallel over series and pairs. NULL, not an
+    ANSI division error or NaN, when either side is constant.
     """
-    pairs = list(combinations(cols, 2))
-    step = max(int(pairs_per_pass), 1)
-    parts = []
-    for start in range(0, len(pairs), step):
-        chunk = pairs[start:start + step]
-        wide = df.groupBy(*keys).agg(*[_safe_corr(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(chunk)])
-        stack = "stack({}, {}) as (var_x, var_y, corr)".format(
-            len(chunk), ", ".join(f"'{a}', '{b}', _c{i}" for i, (a, b) in enumerate(chunk)))
-        parts.append(wide.select(*keys, F.expr(stack)))
-    return reduce(lambda a, b: a.unionByName(b), parts)
-
-
-def _safe_corr(a: str, b: str):
-    """Pearson correlation over rows where both are present; NULL (not an
-    ANSI divide-by-zero error, not NaN) when either side is constant."""
-    ca, cb = F.col(a), F.col(b)
-    both = ca.isNotNull() & cb.isNotNull()
-    sa = F.stddev_samp(F.when(both, ca))
-    sb = F.stddev_samp(F.when(both, cb))
-    return F.try_divide(F.covar_samp(ca, cb), sa * sb)
+    names = [F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"), F.col(a).cast("double").alias("x"),
+                      F.col(b).cast("double").alias("y")) for a, b in combinations(cols, 2)]
+    long = df.select(*keys, F.explode(F.array(*names)).alias("_p")).select(*keys, "_p.*")
+    both = F.col("x").isNotNull() & F.col("y").isNotNull()
+    spread = F.stddev_samp(F.when(both, F.col("x"))) * F.stddev_samp(F.when(both, F.col("y")))
+    return long.groupBy(*keys, "var_x", "var_y").agg(F.try_divide(F.covar_samp("x", "y"), spread).alias("corr"))
 
 
 def collinear_pairs(corr: DataFrame, threshold: float = COLLINEAR_THRESHOLD) -> DataFrame:

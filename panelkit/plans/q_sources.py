@@ -205,3 +205,37 @@ def q_panel_csv_extract(spark, sf):
     back = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
             .option("dateFormat", "yyyy-MM-dd").csv(path))
     return round_doubles(back.orderBy(SERIES, "week_start"))
+
+
+
+INGEST_SOURCES_SQL = with_ctes(FX_EVENTS_SQL, SNAPSHOTS_SQL, FX_POLLS_SQL, FX.POLLS_SORT_SQL, FX.FX_INDICATORS_SQL,
+                               FX.INDICATORS_SORT_SQL) + f"""SELECT 'events' AS source, publication_date AS day, COUNT(*) AS n_records
+FROM snaps WHERE dt = (SELECT max(dt) FROM snaps WHERE dt > DATE '{SNAPSHOT_FLOOR}') GROUP BY ALL
+UNION ALL SELECT 'polls', period_start, COUNT(*) FROM polls_sort GROUP BY ALL
+UNION ALL SELECT 'indicators', month_start, COUNT(*) FROM indicators_sort GROUP BY ALL"""
+
+
+@register("ingest_sources", INGEST_SOURCES_SQL, covers="S16 §2.12")
+def q_ingest_sources(spark, sf):
+    """One trigger for the three sources in order (event JSON, poll CSV, indicator CSV), each landed with an
+    older snapshot too; a second trigger finds nothing new. Curated records by source and day."""
+    from panelkit.streaming.ingest import Source, ingest_sources
+    base = work_dir(spark, "sources")
+    text = lambda df: df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    polls = text(FX.fx_polls(spark, sf).select(*POLL_RAW.fieldNames()))
+    indicators = text(FX.fx_indicators(spark, sf))
+    S.land(FX.fx_event_snapshots(spark, sf), f"{base}/landing/events")
+    for name, df in (("polls", polls), ("indicators", indicators)):
+        days = F.explode(F.array(*[F.lit(d).cast("date") for d in ("2025-01-18", "2025-02-08")])).alias("dt")
+        S.land(df.select("*", days, F.lit("en").alias("lang")), f"{base}/landing/{name}", fmt="csv")
+    sources = [Source("events", EVENT_RECORD, lambda df: P.events_by_date(df, keys=[SERIES])),
+               Source("polls", POLL_RAW, P.curate_polls, "csv"),
+               Source("indicators", indicators.schema, P.curate_indicators, "csv")]
+    for _ in range(2):
+        paths = ingest_sources(spark, sources, f"{base}/landing", f"{base}/out")
+    day = {"events": ("publication_date", F.sum("events_on_date")), "polls": ("period_start", F.count(F.lit(1))),
+           "indicators": ("month_start", F.count(F.lit(1)))}
+    parts = [spark.read.parquet(paths[name]).groupBy(F.col(c).alias("day"))
+             .agg(n.cast("bigint").alias("n_records")).select(F.lit(name).alias("source"), "day", "n_records")
+             for name, (c, n) in day.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

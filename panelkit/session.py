@@ -8,8 +8,10 @@ create one under the system temp folder.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -39,9 +41,34 @@ def get_session(master: str | None = None, app: str = "panelkit",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+#: The application that has this package on its workers, and the archive sent there.
+_SHIPPED: dict[str, str] = {}
+
+
+def ship_package(spark: SparkSession) -> str:
+    """Send this package's source to the Python workers, which import it in grouped-map functions.
+
+    Spark distributes the archive itself (``addPyFile``), once for each application. Not needed where the
+    package is installed on every machine.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        here = Path(__file__).resolve().parent
+        if here.is_dir():
+            stage = Path(tempfile.mkdtemp(prefix="panelkit-ship-"))
+            shutil.copytree(here, stage / "src" / here.name, ignore=shutil.ignore_patterns("__pycache__"))
+            archive = shutil.make_archive(str(stage / here.name), "zip", stage / "src")
+            spark.sparkContext.addPyFile(archive)
+            _SHIPPED[app] = archive
+        else:  # already running from an archive
+            _SHIPPED[app] = str(here.parent)
+    return _SHIPPED[app]
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -11,7 +11,8 @@ job carried no data; here the trigger is the arrival of files.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,3 +67,31 @@ def ingest_available_now(spark: SparkSession, landing_root: str, record_schema:
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+
+
+@dataclass(frozen=True)
+class Source:
+    """One landed source: its record schema, format, and how its newest snapshot is curated and summarised."""
+
+    name: str
+    schema: StructType
+    curate: Callable[[DataFrame], DataFrame]
+    fmt: str = "json"
+    summarize: Callable[[DataFrame], DataFrame] = lambda df: df.groupBy("dt").agg(F.count(F.lit(1)).alias("n_records"))
+
+
+def ingest_sources(spark: SparkSession, sources: Sequence[Source], landing_root: str, out_root: str,
+                   floor=SNAPSHOT_FLOOR) -> dict[str, str]:
+    """Ingest every source in the stated order, as one trigger does; the curated table's path by source.
+
+    Each source lands under ``<landing_root>/<name>`` and keeps its own mirror,
+    manifest and checkpoint under ``<out_root>/<name>``. A source that fails
+    raises after the ones before it are complete; the next run takes up from there.
+    """
+    curated = {}
+    for src in sources:
+        base = f"{out_root}/{src.name}"
+        ingest_available_now(spark, f"{landing_root}/{src.name}", src.schema, f"{base}/mirror", f"{base}/curated",
+                             f"{base}/manifest", f"{base}/_checkpoint", src.curate, floor, src.fmt, src.summarize)
+        curated[src.name] = f"{base}/curated"
+    return curated

@@ -66,6 +66,18 @@ def test_bucketed_range_join_matches_brute_force(spark):
     assert got == exp and len(got) == 19
 
 
+def test_bucketed_range_join_left_keeps_each_interval_once(spark):
+    pts = spark.createDataFrame([(i, d(2025, 1, 1) + dt.timedelta(days=i % 5)) for i in range(200)], "pid int, p date")
+    iv = spark.createDataFrame([(0, d(2025, 1, 3), d(2025, 2, 20)), (1, d(2025, 6, 1), d(2025, 8, 1)),
+                                (2, None, d(2025, 1, 5)), (1, d(2025, 6, 1), d(2025, 8, 1))],
+                               "iid int, lo date, hi date")
+    key = lambda r: (r.iid, str(r.lo), -1 if r.pid is None else r.pid)
+    exp = sorted(map(key, iv.join(pts, (pts.p >= iv.lo) & (pts.p <= iv.hi), "left").collect()))
+    for splits in (1, 3, None):
+        got = P.bucketed_range_join(pts, "p", iv, "lo", "hi", 7, how="left", splits=splits).collect()
+        assert sorted(map(key, got)) == exp
+
+
 def test_panel_plan_has_no_nested_loop_or_cartesian(spark, sf):
     from panelkit.plans import q_panel
     plan = q_panel.panel(spark, sf)._jdf.queryExecution().executedPlan().toString()
