@@ -7,7 +7,8 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from panelkit.constants import PCA_VARIANCE_TARGET
+from panelkit.constants import CONFIDENCE_Z, PCA_VARIANCE_TARGET, SEASON, TRAIN_SHARE
+from panelkit.operators import seasonal as SE
 from panelkit.operators import tsstats as TS
 
 
@@ -221,3 +222,123 @@ def spline_select(cols: list[str], outcome: str) -> str:
   round(ob.{outcome}, 6) AS {outcome}, ob.is_outlier
 FROM ob JOIN (SELECT series_key, week_start, {wide} FROM filled GROUP BY ALL) w
   ON w.series_key = ob.series_key AND w.week_start = ob.week_start"""
+
+
+# ------------------------------------------------------------------ seasonal grid
+#: Lags of the long autoregression, and the terms of the candidates (name, lag) in the order of the cross-products.
+LONG_LAGS = [*range(1, SE.LONG_AR + 1), SEASON, SEASON + 1]
+TERMS = [(f"{kind}{lag}", lag) for kind in "ue" for lag in (1, SEASON, SEASON + 1)]
+
+
+def _complete(cols: list[str]) -> str:
+    return " AND ".join(f"{c} IS NOT NULL" for c in cols)
+
+
+def grid_ctes(features: list[str], k: int, outcome: str) -> list[str]:
+    """From ``z`` and ``comp``: ``cand``, one row for each series and candidate.
+
+    A series under one differencing is a group of its own; its key is the struct ``series_key``.
+    """
+    xs = [f"PC{i}" for i in range(1, k + 1)]
+    ws = [f"w_{c}" for c in [*xs, "y"]]
+    scores = ", ".join(" + ".join(f"(z.{f} - c{c}.mu[{i}]) * c{c}.v[{i}]" for i, f in enumerate(features, 1))
+                       + f" AS PC{c}" for c in range(1, k + 1))
+    joins = " ".join(f"JOIN comp c{c} ON c{c}.series_key = z.series_key AND c{c}.component = {c}" for c in range(1, k + 1))
+    win = "OVER (PARTITION BY series_key ORDER BY t_idx)"
+
+    def differenced(c: str) -> str:
+        lag = lambda n: f"lag({c}, {n}) {win}"
+        d, sd = "series_key.d", "series_key.sd"
+        return (f"{c} - CASE WHEN {d} = 1 THEN {lag(1)} ELSE 0 END - CASE WHEN {sd} = 1 THEN {lag(SEASON)} ELSE 0 END"
+                f" + CASE WHEN {d} = 1 AND {sd} = 1 THEN {lag(SEASON + 1)} ELSE 0 END AS w_{c}")
+
+    lags = [f"l{n}" for n in LONG_LAGS]
+    terms = [t for t, _ in TERMS]
+    need = len(terms) + k + 1
+    chosen = [(p, q, sp, sq, [n for n, on in enumerate((p, sp, p and sp, q, sq, q and sq), 1) if on])
+              for p in (0, 1) for q in (0, 1) for sp in (0, 1) for sq in (0, 1)]
+    combos = ", ".join(f"({p}, {q}, {sp}, {sq}, {cols}::BIGINT[])" for p, q, sp, sq, cols in chosen)
+
+    def poly(first: int, sign: int) -> str:
+        """Coefficients of the chosen terms first .. first + 2 at their lags, cut after the last lag."""
+        at = [f"WHEN i = {lag} THEN {sign} * coalesce(b[list_position(cols, {n})], 0)"
+              for n, (_, lag) in list(enumerate(TERMS, 1))[first - 1:first + 2]]
+        deg = " ".join(f"WHEN list_contains(cols, {n}) THEN {lag}"
+                       for n, (_, lag) in reversed(list(enumerate(TERMS, 1))[first - 1:first + 2]))
+        return f"[CASE {' '.join(at)} ELSE 0.0 END for i in range(1, 1 + CASE {deg} ELSE 0 END)]"
+
+    return [
+        f"sc0 AS (SELECT z.series_key, z.t_idx, z.{outcome} AS y, {scores} FROM z {joins})",
+        f"""tr AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY series_key) AS n FROM sc0) q
+    WHERE t_idx < round_even({TRAIN_SHARE} * n, 0))""",
+        f"""dd AS (SELECT {{'key': series_key, 'd': d, 'sd': sd}} AS series_key, t_idx, y, {', '.join(xs)}
+    FROM tr, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) o(d, sd))""",
+        f"dw AS MATERIALIZED (SELECT series_key, t_idx, {', '.join(differenced(c) for c in [*xs, 'y'])} FROM dd)",
+        _gram("g0", f"SELECT series_key, [{', '.join(ws)}] AS z FROM dw WHERE {_complete(ws)}"),
+        _sweep("s0", "g0", str(k)),
+        f"""n0 AS (SELECT series_key, count(*) AS n0 FROM dw WHERE {_complete(ws)} GROUP BY 1)""",
+        f"""reg AS MATERIALIZED (SELECT s0.series_key, [g[i][m] for i in range(1, {k + 1})] AS beta,
+    [sqrt(greatest(g[m][m] / (n0 - {k}) * g[i][i], 0)) for i in range(1, {k + 1})] AS se
+    FROM s0 JOIN n0 ON n0.series_key = s0.series_key WHERE k = {k})""",
+        f"""us AS MATERIALIZED (SELECT dw.series_key, t_idx, w_y - ({' + '.join(f'w_{x} * beta[{i}]' for i, x in enumerate(xs, 1))}) AS u
+    FROM dw JOIN reg ON reg.series_key = dw.series_key)""",
+        f"ul AS MATERIALIZED (SELECT *, {', '.join(f'lag(u, {n}) {win} AS l{n}' for n in LONG_LAGS)} FROM us)",
+        _gram("g1", f"SELECT series_key, [{', '.join(lags)}, u] AS z FROM ul WHERE {_complete([*lags, 'u'])}"),
+        _sweep("s1", "g1", str(len(lags))),
+        f"""es AS (SELECT ul.series_key, t_idx, u, u - ({' + '.join(f'{c} * g[{i}][m]' for i, c in enumerate(lags, 1))}) AS e
+    FROM ul JOIN s1 ON s1.series_key = ul.series_key AND k = {len(lags)})""",
+        f"zs AS (SELECT series_key, t_idx, u, {', '.join(f'lag({t[0]}, {n}) {win} AS {t}' for t, n in TERMS)} FROM es)",
+        f"""own AS (SELECT *, count(*) OVER (PARTITION BY series_key) AS own FROM zs WHERE {_complete([*terms, 'u'])})""",
+        f"""shared AS MATERIALIZED (SELECT * FROM (
+    SELECT *, count(*) OVER (PARTITION BY series_key.key, t_idx) AS here FROM own WHERE own > {need}) q
+    WHERE here = (SELECT count(DISTINCT o.series_key) FROM own o WHERE o.own > {need} AND o.series_key.key = q.series_key.key))""",
+        _gram("g2", f"SELECT series_key, [{', '.join(terms)}, u] AS z FROM shared"),
+        "n2 AS (SELECT series_key, count(*) AS n FROM shared GROUP BY 1)",
+        f"""sub AS (SELECT {{'key': g2.series_key, 'p': p, 'q': q, 'sp': sp, 'sq': sq, 'n': n, 'cols': cols}} AS series_key,
+    [[g[i][j] for j in list_append(cols, {len(terms) + 1})] for i in list_append(cols, {len(terms) + 1})] AS g
+    FROM g2 JOIN n2 ON n2.series_key = g2.series_key, (VALUES {combos}) o(p, q, sp, sq, cols))""",
+        _sweep("s2", "sub", "len(g) - 1"),
+        """fitted AS MATERIALIZED (SELECT series_key AS id, series_key.cols AS cols, series_key.n AS n, g[m][m] AS ssr,
+    [g[i][m] for i in range(1, m)] AS b, [g[i][i] for i in range(1, m)] AS inv FROM s2 WHERE k = stop)""",
+        # all roots are outside the unit circle if each order's last coefficient, stepping the order down, is under one
+        f"""down AS (
+    SELECT id, kind, a, true AS ok FROM (SELECT id, 'ar' AS kind, {poly(1, -1)} AS a FROM fitted
+                                         UNION ALL SELECT id, 'ma', {poly(4, 1)} FROM fitted) q
+    UNION ALL
+    SELECT id, kind, [(a[j] - a[len(a)] * a[len(a) - j]) / (1 - a[len(a)] * a[len(a)]) for j in range(1, len(a))],
+           abs(a[len(a)]) < 1
+    FROM down WHERE ok AND len(a) > 0)""",
+        "roots AS (SELECT id, kind, bool_and(ok) AS ok FROM down GROUP BY ALL)",
+        f"""cand AS MATERIALIZED (
+    SELECT f.id.key.key AS series_key, f.id.key AS grp, f.id.p AS p, f.id.key.d AS d, f.id.q AS q, f.id.sp AS sp,
+           f.id.key.sd AS sd, f.id.sq AS sq, n * ln(2 * pi() * ssr / n) + n + 2 * (len(cols) + {k + 1}) AS aic,
+           ssr / n AS sigma2, n, a.ok AS stationary, m.ok AS invertible, cols, b,
+           [sqrt(greatest(ssr / greatest(n - len(cols), 1) * v, 0)) for v in inv] AS se
+    FROM fitted f JOIN roots a ON a.id = f.id AND a.kind = 'ar' JOIN roots m ON m.id = f.id AND m.kind = 'ma')""",
+        """pos AS MATERIALIZED (SELECT *, (p * 4 + d * 2 + q) * 8 + sp * 4 + sd * 2 + sq AS grid_pos FROM cand)""",
+        """won AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY aic, grid_pos) AS place
+    FROM pos WHERE stationary AND invertible) q WHERE place = 1)"""]
+
+
+_ORDERS = ", ".join(f"CAST({c} AS INTEGER) AS {c}" for c in ("grid_pos", "p", "d", "q", "sp", "sd", "sq")) \
+    + f", CAST({SEASON} AS INTEGER) AS s"
+GRID_SELECT = f"""SELECT series_key, {_ORDERS}, round(aic, 6) AS aic, round(sigma2, 2) AS sigma2, n AS n_eff, stationary,
+  invertible, CAST(NULL AS VARCHAR) AS error FROM pos"""
+BEST_SELECT = f"SELECT series_key, {_ORDERS}, round(aic, 6) AS aic FROM won"
+
+
+def coef_select(k: int) -> str:
+    """Terms of the chosen model; the normal distribution by the same fixed polynomial (Abramowitz-Stegun 7.1.26)."""
+    names = "[" + ", ".join(f"'{t}'" for t, _ in TERMS) + "]"
+    erf = "(1 - r * (0.254829592 + r * (-0.284496736 + r * (1.421413741 + r * (-1.453152027 + r * 1.061405429)))) " \
+          "* exp(-zs * zs / 2))"
+    return f"""SELECT series_key, term, round(coef, 6) AS coef, round(std_err, 6) AS std_err, round(zv, 6) AS z,
+  {rounded(f"2 * (1 - 0.5 * (1 + {erf}))")} AS p_value,
+  round(coef - {CONFIDENCE_Z} * std_err, 6) AS ci_lo, round(coef + {CONFIDENCE_Z} * std_err, 6) AS ci_hi
+FROM (SELECT *, coef / std_err AS zv, abs(coef / std_err) AS zs,
+             1 / (1 + 0.3275911 * abs(coef / std_err) / sqrt(2)) AS r
+      FROM (SELECT w.series_key, 'PC' || i AS term, beta[i] AS coef, reg.se[i] AS std_err
+            FROM won w JOIN reg ON reg.series_key = w.grp, unnest(range(1, {k + 1})) u(i)
+            UNION ALL
+            SELECT series_key, {names}[cols[i]], b[i], se[i]
+            FROM (SELECT *, unnest(range(1, len(cols) + 1)) AS i FROM won) q) t) v"""

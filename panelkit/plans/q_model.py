@@ -10,7 +10,7 @@ from panelkit.operators import tsstats as TS
 from panelkit.plans import oracles_model as OM
 from panelkit.plans.fixtures import FX_EVENTS_SQL, RUN_TS, SERIES, with_ctes
 from panelkit.plans.q_panel import events_sorted
-from panelkit.plans.q_multi import N_COMPONENTS, scores
+from panelkit.plans.q_multi import FEATURES, N_COMPONENTS, Z_CTES, scores
 from panelkit.plans.q_prep import MF_CTES, Y, frame
 from panelkit.plans.registry import register, round_doubles
 from panelkit.session import materialize, work_dir
@@ -79,20 +79,25 @@ def q_candidate_grid(spark, sf):
     return SE.candidate_grid(spark, series=series, keys=K)
 
 
-@register("seasonal_arx_grid", covers="M10")
+GRID_WITH = OM.recursive(with_ctes(*Z_CTES, *OM.pca_ctes(FEATURES), *OM.grid_ctes(FEATURES, N_COMPONENTS, Y)))
+
+
+@register("seasonal_arx_grid", GRID_WITH + OM.GRID_SELECT, covers="M10")
 def q_seasonal_arx_grid(spark, sf):
+    """All candidates; the residual variance, millions here, to 2 digits (a double holds 15 to 16 in all)."""
     g = grid(spark, sf)
-    return round_doubles(g.select(SERIES, "grid_pos", "p", "d", "q", "sp", "sd", "sq", "s", "aic", "sigma2",
+    return round_doubles(g.select(SERIES, "grid_pos", "p", "d", "q", "sp", "sd", "sq", "s", "aic",
+                                  F.round("sigma2", 2).alias("sigma2"),
                                   "n_eff", "stationary", "invertible", "error"))
 
 
-@register("best_model", covers="M11 A14")
+@register("best_model", GRID_WITH + OM.BEST_SELECT, covers="M11 A14")
 def q_best_model(spark, sf):
     b = SE.best_model(grid(spark, sf), K)
     return round_doubles(b.select(SERIES, "grid_pos", "p", "d", "q", "sp", "sd", "sq", "s", "aic"))
 
 
-@register("coef_table", covers="M12")
+@register("coef_table", GRID_WITH + OM.coef_select(N_COMPONENTS), covers="M12")
 def q_coef_table(spark, sf):
     return round_doubles(SE.coef_table(SE.best_model(grid(spark, sf), K), PCS, K))
 
