@@ -23,13 +23,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import text_or_empty
+from panelkit.llm.common import broadcast_if_small, text_or_empty
+from panelkit.session import materialize
 
 #: Scores from here on count as toxic.
 CUT = 0.3
-#: The fit reads at most this many labelled rows of each class, and none with longer texts than this.
+#: The weights are learned from at most this many labelled rows of each class, dealt over the languages.
 SAMPLE_PER_CLASS = 1500
+#: A clean text longer than SAMPLE_CHARS is learned from a passage of that length, a toxic one too once the whole
+#: long toxic texts have LONG_CHARS together. Thresholds are taken from whole texts.
 SAMPLE_CHARS = 20_000
+LONG_CHARS = 10_000_000
+#: Width of a bin of logits in the counts that the thresholds are taken from.
+BIN = 1 / 64
 
 BUCKETS = 1 << 15
 DIM = 12
@@ -41,9 +47,10 @@ PASSES = 9_000
 BATCH = 32
 RATE = 0.15
 SEED = 7
-#: Under this F1 on the held-back rows, the threshold is at least that of all sampled rows.
+#: Under this F1 on the rows that the weights have not seen, the threshold is at least that of all rows.
 TRUSTED = 0.8
-#: A language takes its own threshold if its held-back rows have this many of each class.
+#: A language takes its own threshold if it has this many unseen rows of each class. With fewer labelled rows in all
+#: it is not told apart.
 LEAST_ROWS = 5
 
 #: Bytes of text read at a time.
@@ -309,22 +316,155 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Train on a bounded, hash-ordered sample of labelled rows that are not held out.
+def _marks(labels: DataFrame) -> DataFrame:
+    """``doc_id, toxic`` of the rows a fit may see. With several labels one that says toxic counts; null ones do not."""
+    return (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(~held_out())
+            .groupBy("doc_id").agg((F.max(F.col("toxic").cast("int")) == 1).cast("int").alias("toxic")))
+
+
+def shares(counts: dict[str, int], total: int) -> dict[str, int]:
+    """``total`` rows dealt evenly over groups; what a small group leaves goes to the larger ones."""
+    out, left = {}, total
+    for k, (name, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        out[name] = min(n, max(1, left // (len(counts) - k)))
+        left = max(0, left - out[name])
+    return out
+
+
+def _sample(docs: DataFrame, marks: DataFrame) -> tuple[list, list[str]]:
+    """Rows (doc_id, text, toxic, lang) to learn from, and the languages that are told apart.
+
+    Of each class SAMPLE_PER_CLASS rows, dealt over the languages, of texts of any length. Copies of a row count once.
+    """
+    order = F.xxhash64("doc_id", "text_hash")
+    texts = docs.select("doc_id", text_or_empty().alias("text"), F.col("lang").cast("string").alias("lang"))
+    known = materialize(
+        texts.select("doc_id", F.xxhash64("text").alias("text_hash"), F.length("text").alias("chars"), "lang")
+        .groupBy("doc_id", "text_hash", "chars").agg(F.min("lang").alias("lang")).join(marks, "doc_id")
+        .withColumn("stratum", F.concat(F.col("toxic").cast("string"), F.coalesce("lang", F.lit("")))))
+    counts = known.groupBy("stratum", "toxic", "lang").count().collect()
+    of_lang: dict[str, int] = {}
+    for r in counts:
+        if r.lang is not None:
+            of_lang[r.lang] = of_lang.get(r.lang, 0) + r["count"]
+    strata: list[dict[str, int]] = [{}, {}]
+    for r in counts:
+        strata[r.toxic][r.stratum] = strata[r.toxic].get(r.stratum, 0) + r["count"]
+    quota = shares(strata[0], SAMPLE_PER_CLASS) | shares(strata[1], SAMPLE_PER_CLASS)
+    if not quota:
+        return [], []
+    # rows with small hashes, somewhat more than are needed; their number does not grow with the table
+    limits = [(name, min(1.0, (2 * quota[name] + 50) / n)) for part in strata for name, n in part.items()]
+    limits = docs.sparkSession.createDataFrame(limits, "stratum string, share double")
+    near = (known.withColumn("h", order).join(F.broadcast(limits), "stratum")
+            .where(F.pmod(F.col("h"), F.lit(1 << 30)) < F.col("share") * (1 << 30))
+            .select("doc_id", "text_hash", "chars", "toxic", "lang", "stratum", "h").collect())
+    picked, long = [], 0
+    for r in sorted(near, key=lambda r: (r.h % (1 << 30), r.h, r.doc_id, r.text_hash)):
+        if quota[r.stratum] > 0:
+            quota[r.stratum] -= 1
+            whole = r.chars <= SAMPLE_CHARS
+            if not whole and r.toxic and long + r.chars <= LONG_CHARS:
+                whole, long = True, long + r.chars
+            room = max(1, r.chars - SAMPLE_CHARS + 1)
+            picked.append((r.doc_id, r.text_hash, r.chars, r.toxic, r.lang, 1 if whole else 1 + r.h % room,
+                           r.chars if whole else SAMPLE_CHARS))
+    kind = {f.name: f.dataType.simpleString() for f in known.schema}
+    chosen = docs.sparkSession.createDataFrame(
+        picked, f"doc_id {kind['doc_id']}, text_hash long, chars int, toxic int, own string, at int, take int")
+    rows = (texts.select("doc_id", "text", F.xxhash64("text").alias("text_hash"), F.length("text").alias("chars"))
+            .join(F.broadcast(chosen), ["doc_id", "text_hash", "chars"])
+            .select("doc_id", F.expr("substring(text, at, take)").alias("text"), "toxic", F.col("own").alias("lang"))
+            .distinct().collect())
+    return (sorted(rows, key=lambda r: (crc32(str(r.doc_id).encode()), r.doc_id, r.text)),
+            sorted(name for name, n in of_lang.items() if n >= LEAST_ROWS))
+
+
+def _learn(docs: DataFrame, marks: DataFrame) -> tuple[Model, list]:
+    """The model with thresholds from its sample, and the doc_ids its weights have seen."""
+    sample, names = _sample(docs, marks)
+    own = set(names)
+    model = train([r.text.encode() for r in sample], [r.toxic for r in sample],
+                  [r.lang if r.lang in own else None for r in sample])
+    held = np.arange(len(sample)) % 5 == 0
+    rest = {r.toxic for r, h in zip(sample, held) if not h}
+    return model, [r.doc_id for r, h in zip(sample, held) if len(rest) < 2 or not h]
+
+
+def _raw_column(model: Model) -> Column:
+    """Uncalibrated logit and place of the guessed language of the text."""
+    @F.pandas_udf("z double, k int")
+    def raw(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        reader = Reader()
+        for texts in batches:
+            z, k = logits(model, texts.tolist(), reader) if len(texts) else (np.zeros(0), np.zeros(0))
+            yield pd.DataFrame({"z": z.astype("float64"), "k": k.astype("int32")})
+
+    return raw(text_or_empty().cast("binary"))
+
+
+def _raw(docs: DataFrame, model: Model) -> DataFrame:
+    return docs.select("doc_id", _raw_column(model).alias("r")).select("doc_id", "r.z", "r.k")
 
-    Per class at most SAMPLE_PER_CLASS rows, of texts of at most SAMPLE_CHARS characters. A doc_id with
-    several labels counts as toxic if one says so; null labels are ignored.
+
+def counted_cut(at: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> float:
+    """``threshold`` for counts of rows at ascending values."""
+    hits = toxic.sum() - np.concatenate([[0], np.cumsum(toxic)])
+    picked = hits + clean.sum() - np.concatenate([[0], np.cumsum(clean)])
+    f1 = np.round(2 * hits / np.maximum(picked + toxic.sum(), 1e-9), 9)
+    edges = np.concatenate([[at[0] - 1], at, [at[-1] + 1]])
+    best = np.lexsort((-np.arange(len(f1)), np.diff(edges), f1))[-1]
+    return float((edges[best] + edges[best + 1]) / 2)
+
+
+def calibrate(model: Model, raw: DataFrame, marks: DataFrame, seen: list) -> Model:
+    """Set the thresholds from all labelled rows of ``raw`` (doc_id, z, k), by counts of logits in bins.
+
+    Rows that the weights have learned from score better than they should. They count through the unseen rows
+    of their class and language, which are weighted up to the number of all. Copies of a row count once.
     """
-    marks = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(~held_out())
-             .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
-    order = (F.xxhash64("doc_id"), F.col("doc_id"))
-    ids = marks.where("toxic = 1").orderBy(*order).limit(SAMPLE_PER_CLASS).unionByName(
-        marks.where("toxic = 0").orderBy(*order).limit(SAMPLE_PER_CLASS))
-    rows = (docs.select("doc_id", text_or_empty().alias("text"), F.col("lang").cast("string").alias("lang"))
-            .where(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(ids), "doc_id"))
-    sample = sorted(rows.orderBy(*order, "text").limit(2 * SAMPLE_PER_CLASS).collect(),
-                    key=lambda r: (crc32(str(r.doc_id).encode()), r.doc_id, r.text))
-    return train([r.text.encode() for r in sample], [int(r.toxic == 1) for r in sample], [r.lang for r in sample])
+    if not model.out.any():  # one class only
+        return model
+    kind = marks.schema["doc_id"].dataType.simpleString()
+    known = marks.join(F.broadcast(marks.sparkSession.createDataFrame([(x,) for x in set(seen)], f"doc_id {kind}")
+                                   .withColumn("seen", F.lit(True))), "doc_id", "left")
+    rows = (raw.distinct().join(known, "doc_id")
+            .groupBy("k", "toxic", F.coalesce("seen", F.lit(False)).alias("seen"),
+                     F.floor(F.col("z") / F.lit(BIN)).alias("bin")).count().collect())
+    bins = sorted({r.bin for r in rows})
+    at = {b: i for i, b in enumerate(bins)}
+    values = (np.array(bins) + 0.5) * BIN
+    n_lang = max(1, len(model.langs))
+    counts = np.zeros((2, n_lang, 2, len(bins)))  # seen, language, class, bin
+    for r in rows:
+        counts[int(r.seen), r.k, r.toxic, at[r.bin]] += r["count"]
+    unseen, every = counts[0], counts.sum(axis=0)
+    n = unseen.sum(axis=2)
+    fair = unseen * (every.sum(axis=2) / np.maximum(n, 1))[:, :, None]
+    at_cut = np.log(CUT / (1 - CUT))
+    total = unseen.sum(axis=0) * (every.sum(axis=(0, 2)) / np.maximum(n.sum(axis=0), 1))[:, None]
+    if n.sum(axis=0).min() < LEAST_ROWS:
+        total = every.sum(axis=0)
+    cut = counted_cut(values, total[1], total[0])
+    hits, picked = total[1][values > cut].sum(), total[:, values > cut].sum()
+    if 2 * hits < TRUSTED * (picked + total[1].sum()):  # too little learned: spare clean rows
+        cut = max(cut, counted_cut(values, every[:, 1].sum(axis=0), every[:, 0].sum(axis=0)))
+    model.shift[:] = at_cut - cut
+    for k in range(n_lang):
+        if n[k].min() >= LEAST_ROWS:
+            own = fair[k].sum(axis=0) > 0
+            model.shift[k] = at_cut - counted_cut(values[own], fair[k][1][own], fair[k][0][own])
+    return model
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """Weights from a bounded sample, thresholds from all labelled rows that are not held out."""
+    marks = materialize(_marks(labels))
+    model, seen = _learn(docs, marks)
+    small = broadcast_if_small(marks)
+    if small is marks:  # many labels: all texts are scored where they lie and only the scores are sent
+        return calibrate(model, _raw(docs, model), marks, seen)
+    return calibrate(model, _raw(docs.join(small.select("doc_id"), "doc_id", "left_semi"), model), marks, seen)
 
 
 def score_column(model: Model, name: str = "text") -> Column:
@@ -344,8 +484,13 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     A null or empty text gets the score of no words. Repeated rows each give a row; a null doc_id is not
     held out; an empty table gives no rows. Labels, lang, source and doc_id are no inputs of a score.
     """
-    model = fit(docs, labels)
-    rows = docs.select("doc_id", held_out().alias("held_out"), score_column(model).alias("score"))
+    marks = materialize(_marks(labels))
+    model, seen = _learn(docs, marks)
+    raw = materialize(_raw(docs, model))
+    model = calibrate(model, raw, marks, seen)
+    shift = F.element_at(F.array(*[F.lit(float(x)) for x in model.shift]), F.col("k") + 1)
+    z = F.greatest(F.least(F.col("z") + shift, F.lit(30.0)), F.lit(-30.0))
+    rows = raw.select("doc_id", held_out().alias("held_out"), (1 / (1 + F.exp(-z))).alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
 
 
