@@ -23,6 +23,10 @@ LEARNED = "assistant"
 #: Control strings of common templates: what parts the sign before the mark from the rest.
 CONTROLS = (("<", "|"), ("<", "/s>"), ("<", "s>"), ("[", "INST]"), ("[", "/INST]"), ("<", "<SYS>>"), ("<", "</SYS>>"))
 TURNS = "array<struct<role string, text string>>"
+#: Spark's variant holds no string over 20,000,000 characters and no record over 128 MB: a conversation whose turns
+#: take more than this (UTF-8 bytes, and TURN_BYTES for each turn) is not sent through it.
+RECORD_BYTES = 16_000_000
+TURN_BYTES = 64
 
 
 @dataclass(frozen=True)
@@ -87,18 +91,24 @@ def shape(v: Column) -> Column:
     return F.regexp_replace(F.schema_of_variant(v), r"\b(?!OBJECT\b|ARRAY\b)[A-Z]+(\([0-9, ]*\))?(?=[,>]|$)", "_")
 
 
-def canonical(df: DataFrame, record: str) -> DataFrame:
+def canonical(df: DataFrame, record: str, typed: str | None = None) -> DataFrame:
     """Add ``layout`` (the mapping's name) and ``turns`` for a column of JSON text.
 
     Records that are null, no JSON, or of no declared layout get null in both; nothing is dropped. A null
-    role or text becomes empty. Other columns pass unchanged, but for the two added names.
+    role or text becomes empty. Other columns pass unchanged, but for the two added names. ``typed`` names a
+    column with the shape and turns of a record that was built from rows (see ``records_of_turns``); they count
+    where the record has no variant.
     """
     v, mark = F.col("__variant"), F.col("__mark")
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for m in MAPPINGS:
         layout = F.when(mark == m.fingerprint, F.lit(m.name)).otherwise(layout)
         turns = F.when(mark == m.fingerprint, m.turns(v).cast(TURNS)).otherwise(turns)
-    return (df.withColumn("__variant", F.try_parse_json(record)).withColumn("__mark", F.xxhash64(shape(v)))
+    found = F.xxhash64(shape(v))
+    if typed:
+        turns = F.when(v.isNull(), F.col(typed)["turns"].cast(TURNS)).otherwise(turns)
+        found = F.when(v.isNull(), F.xxhash64(F.col(typed)["shape"])).otherwise(found)
+    return (df.withColumn("__variant", F.try_parse_json(record)).withColumn("__mark", found)
             .withColumn("layout", layout).withColumn("turns", turns).drop("__variant", "__mark"))
 
 
@@ -154,32 +164,41 @@ def read_loss(text: Column, mask: Column) -> Column:
         F.substring(p, m["skip"] + 1 - len(BEGIN), m["take"]))), "")
 
 
-def format_records(df: DataFrame, record: str) -> DataFrame:
+def format_records(df: DataFrame, record: str, typed: str | None = None) -> DataFrame:
     """``canonical`` with ``formatted`` and ``loss_mask`` added; null where no layout fits."""
-    return canonical(df, record).withColumn("formatted", formatted(F.col("turns"))) \
+    return canonical(df, record, typed).withColumn("formatted", formatted(F.col("turns"))) \
         .withColumn("loss_mask", loss_mask(F.col("turns")))
 
 
 def records_of_turns(rows: DataFrame) -> DataFrame:
-    """``conv_id, record`` from rows by turn (conv_id, turn, role, text).
+    """``conv_id, record, typed`` from rows by turn (conv_id, turn, role, text).
 
     A user's and an assistant's turn become a prompt record, with a system's turn before them a system prompt
     record, all others a list of messages. Turns are in the order of turn, then role and text; null turns
     come first; a null role or text counts as empty, and a null conv_id as an id of its own. Repeated rows
-    are turns of their own. One conversation is one record, so its turns meet in one row.
+    are turns of their own. One conversation is one record, so its turns meet in one row. A conversation over
+    RECORD_BYTES has no JSON record; ``typed`` has the shape and turns of every one.
     """
     message = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"),
                        F.coalesce("text", F.lit("")).alias("text"))
     turns = (rows.select("conv_id", F.col("turn"), F.col("role").cast("string"), F.col("text").cast("string"))
              .groupBy("conv_id").agg(F.array_sort(F.collect_list(message)).alias("m"))
-             .select("conv_id", "m", F.array_join(F.transform("m", lambda t: t["role"]), "\n").alias("roles")))
+             .select("conv_id", "m", F.when(F.size("m") <= 3, F.array_join(F.transform("m", lambda t: t["role"]), "\n"))
+                     .otherwise("").alias("roles")))
     m = F.col("m")
-    return turns.select("conv_id", F.when(F.col("roles") == "user\nassistant", F.to_json(F.struct(
+    size = F.aggregate(m, F.lit(0).cast("long"), lambda n, t: n + TURN_BYTES + F.octet_length(t["role"])
+                       + F.octet_length(t["text"]))
+    kind = (F.when(F.col("roles") == "user\nassistant", "prompt")
+            .when(F.col("roles") == "system\nuser\nassistant", "system prompt").otherwise("messages"))
+    shapes = F.create_map(*[F.lit(x) for s in MAPPINGS for x in (s.name, s.shape)])
+    typed = F.struct(shapes[kind].alias("shape"), F.transform(m, lambda t: F.struct(t["role"], t["text"])).alias("turns"))
+    record = (F.when(size > RECORD_BYTES, F.lit(None).cast("string")).when(F.col("roles") == "user\nassistant", F.to_json(F.struct(
         m[0]["text"].alias("prompt"), m[1]["text"].alias("response"))))
         .when(F.col("roles") == "system\nuser\nassistant", F.to_json(F.struct(
             F.get(m, 1)["text"].alias("prompt"), F.get(m, 2)["text"].alias("response"), m[0]["text"].alias("system"))))
         .otherwise(F.to_json(F.struct(F.transform(m, lambda t: F.struct(
-            t["text"].alias("content"), t["role"].alias("role"))).alias("messages")))).alias("record"))
+            t["text"].alias("content"), t["role"].alias("role"))).alias("messages")))))
+    return turns.select("conv_id", record.alias("record"), typed.alias("typed"))
 
 
 def digest(df: DataFrame) -> DataFrame:

@@ -138,7 +138,7 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
                                   F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said)
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    return chat.digest(chat.format_records(chat.records_of_turns(rows), "record"))
+    return chat.digest(chat.format_records(chat.records_of_turns(rows), "record", "typed"))
 
 
 _LISTED_SQL = ", ".join(f"'{w}'" for w in urlfilter.LISTED_WORDS)
