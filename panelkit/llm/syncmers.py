@@ -3,12 +3,12 @@
 A run of ``K`` code points is a closed syncmer if the smallest hash among its
 inner runs of ``S`` stands at its first or last place. The choice depends on
 nothing outside the run, so an unchanged passage has the same anchors wherever it
-stands. The fingerprint keeps the ``ANCHORS`` distinct syncmers with the
-smallest hashes, each with the place where it first occurs; it is read from the whole
-text, in blocks. A text too short for a syncmer is its own anchor.
+stands. The fingerprint keeps every syncmer whose hash is under ``LIMIT``, with all its places, so it grows with
+the text; a text with few of them also keeps those with the next smallest hashes, ``ANCHORS`` distinct ones in all.
+It is read from the whole text, in blocks. A text too short for a syncmer is its own anchor.
 
 Two fingerprints are compared by position: of the anchors they share among the
-smallest hashes of both, the longest sequence in the same order in both texts counts.
+hashes that both are complete for, the longest sequence in the same order in both texts counts.
 """
 
 from __future__ import annotations
@@ -28,6 +28,10 @@ from panelkit.session import materialize
 
 K, S = 12, 5
 ANCHORS = 64
+#: One in eight syncmers has a hash under this.
+LIMIT = 1 << 61
+#: A hash with more pairs of places than this is paired only place by place, from the front and from the back.
+PAIRS = 64
 SEED = 42
 #: Code points hashed at a time.
 BLOCK = 1 << 20
@@ -71,36 +75,68 @@ def closed_syncmers(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fingerprint(text: str) -> np.ndarray:
-    """The anchors of a text in the order of their hashes (an array of place and hash)."""
+    """The anchors of a text in the order of their hashes, then places (an array of place and hash)."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     hashes, places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    kept: list[tuple[np.ndarray, np.ndarray]] = []
     for at in range(0, max(1, len(codes) - K + 1), BLOCK):
         here, found = closed_syncmers(codes[at:at + BLOCK + K - 1])
-        hashes, first = np.unique(np.concatenate([hashes, found]), return_index=True)
-        places = np.concatenate([places, here + at])[first][:ANCHORS]
-        hashes = hashes[:ANCHORS]
+        under = found < LIMIT
+        kept.append((found[under], here[under] + at))
+        hashes, places = np.concatenate([hashes, found[~under]]), np.concatenate([places, here[~under] + at])
+        least = np.unique(hashes)
+        if len(least) > ANCHORS:  # the first ones of the others, as many as may be needed
+            inside = hashes <= least[ANCHORS - 1]
+            hashes, places = hashes[inside], places[inside]
+    room = ANCHORS - len(np.unique(np.concatenate([h for h, _ in kept])))
+    least = np.unique(hashes)
+    inside = hashes <= least[min(room, len(least)) - 1] if room > 0 and len(least) else np.zeros(len(hashes), bool)
+    hashes = np.concatenate([*(h for h, _ in kept), hashes[inside]])
+    places = np.concatenate([*(p for _, p in kept), places[inside]])
     if len(codes) and not len(hashes):
-        hashes, places = np.array([xxh64_intdigest(text.encode("utf-8", "surrogatepass"), SEED)], np.uint64), [0]
+        hashes, places = np.array([xxh64_intdigest(text.encode("utf-8", "surrogatepass"), SEED)], np.uint64), np.zeros(1)
+    order = np.lexsort((places, hashes))
     out = np.empty(len(hashes), _ANCHOR)
-    out["place"], out["hash"] = places, hashes
+    out["place"], out["hash"] = places[order], hashes[order]
     return out
 
 
+def _complete(mark: np.ndarray) -> int:
+    """Up to this hash a fingerprint has all syncmers of its text."""
+    n = len(np.unique(mark["hash"]))
+    return (1 << 64) - 1 if n < ANCHORS else max(LIMIT - 1, int(mark["hash"][-1]) if n == ANCHORS else 0)
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """From 0 to 1: twice the share of common anchors in the same order (Dice), estimated from the smallest hashes."""
+    """From 0 to 1: twice the share of common anchors in the same order (Dice), over all places of the anchors.
+
+    A hash of more than PAIRS pairs of places is paired by its order only: of very repetitive texts that
+    differ, the sequence found can be shorter than the longest one.
+    """
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    both, at_a, at_b = np.intersect1d(a["hash"], b["hash"], assume_unique=True, return_indices=True)
-    union = len(a) + len(b) - len(both)
-    if union > ANCHORS:
-        # only the smallest hashes of the union are known to be complete in both
-        limit = np.partition(np.concatenate([a["hash"], np.setdiff1d(b["hash"], both, assume_unique=True)])
-                             .astype(np.uint64), ANCHORS - 1)[ANCHORS - 1]
-        inside = both <= limit
-        at_a, at_b, union = at_a[inside], at_b[inside], ANCHORS
-    order = np.lexsort((b["place"][at_b], a["place"][at_a]))
+    limit = min(_complete(a), _complete(b))
+    (ha, pa_), (hb, pb) = ((m["hash"].astype(np.uint64), m["place"].astype(np.int64)) for m in (a, b))
+    (ha, pa_), (hb, pb) = ((h[h <= limit], p[h <= limit]) for h, p in ((ha, pa_), (hb, pb)))
+    (ua, fa, ca), (ub, fb, cb) = (np.unique(h, return_index=True, return_counts=True) for h in (ha, hb))
+    _, ia, ib = np.intersect1d(ua, ub, assume_unique=True, return_indices=True)
+    fa, ca, fb, cb = fa[ia], ca[ia], fb[ib], cb[ib]
+    union = len(ha) + len(hb) - int(np.minimum(ca, cb).sum())
+    if not union:
+        return 0.0
+    one = (ca == 1) & (cb == 1)
+    left, right = [pa_[fa[one]]], [pb[fb[one]]]
+    for f, n, g, m in zip(fa[~one].tolist(), ca[~one].tolist(), fb[~one].tolist(), cb[~one].tolist()):
+        x, y, k = pa_[f:f + n], pb[g:g + m], min(n, m)
+        if n * m <= PAIRS:
+            left.append(np.repeat(x, m))
+            right.append(np.tile(y, n))
+        else:
+            left.extend([x[:k], x[-k:]])
+            right.extend([y[:k], y[-k:]])
+    x, y = np.concatenate(left), np.concatenate(right)
     tails: list[int] = []
-    for p in b["place"][at_b][order].tolist():
+    for p in y[np.lexsort((-y, x))].tolist():
         k = bisect_left(tails, p)
         tails[k:k + 1] = [p]
     share = len(tails) / union
