@@ -200,7 +200,8 @@ def fit(docs: DataFrame) -> Model:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     picked = None
     for name in sorted(names):
-        one = rows.where(F.col("lang") == name).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
+        # copies of an id count once
+        one = rows.where(F.col("lang") == name).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
         picked = one if picked is None else picked.unionByName(one)
     if picked is None:
         return train({})
@@ -208,8 +209,7 @@ def fit(docs: DataFrame) -> Model:
     room = F.greatest(F.length("text") - SAMPLE_LETTERS, F.lit(0)) + 1
     passage = F.substring(F.col("text"), (F.pmod(F.xxhash64("doc_id"), room) + 1).cast("int"), F.lit(SAMPLE_LETTERS))
     texts = (docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(picked.distinct()), "doc_id")
-             .select("doc_id", "lang", passage.alias("text")).distinct()
-             .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(SAMPLE_ROWS * len(names)).collect())
+             .groupBy("doc_id", "lang").agg(F.min(passage).alias("text")).collect())
     samples: dict[str, list[str]] = {}
     for r in sorted(texts, key=lambda r: (crc32(str(r.doc_id).encode()), r.doc_id, r.text)):
         if any(c.isalpha() for c in r.text):

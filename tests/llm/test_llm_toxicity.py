@@ -1,10 +1,13 @@
 """Toxicity: thresholds of small languages, sampling and repeated rows."""
 
 import random
+from zlib import crc32
 
 import numpy as np
 
-from panelkit.llm import toxicity
+from pyspark.sql import functions as F
+
+from panelkit.llm import langid, toxicity
 
 SCHEMA = "doc_id long, text string, lang string"
 MARK = {"en": "vequ", "xx": "zorba"}
@@ -49,3 +52,19 @@ def test_thresholds_count_all_rows():
     assert toxicity.counted_cut(z, np.array([0, 0, 1, 1, 8]), np.array([5, 3, 1, 1, 0])) < 0
     assert toxicity.counted_cut(z, np.array([0, 0, 1, 1, 8]), np.array([500, 300, 100, 100, 0])) > 1
     assert toxicity.shares({"a": 3, "b": 1000, "c": 40}, 100) == {"a": 3, "c": 40, "b": 57}
+
+
+def test_repeated_ids_leave_the_others_in_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_PER_CLASS", 20)
+    monkeypatch.setattr(langid, "SAMPLE_ROWS", 20)
+    docs, labels, _ = corpus(spark, [("en", 1, 100), ("en", 0, 100)])
+    rows = docs.orderBy(F.xxhash64("doc_id")).collect()
+    hot = next(r for r in rows if r.doc_id < 100 and crc32(str(r.doc_id).encode()) % 4 != 2
+               and crc32(str(r.doc_id).encode()) % 5)
+    docs = docs.union(spark.createDataFrame([hot] * 400, SCHEMA))
+    sample, _ = toxicity._sample(docs, toxicity._marks(labels))
+    assert len({r.doc_id for r in sample}) == len(sample) == 40
+    seen = []
+    monkeypatch.setattr(langid, "train", seen.append)
+    langid.fit(docs)
+    assert len(seen[0]["en"]) == len(set(seen[0]["en"])) == 20
