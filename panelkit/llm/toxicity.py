@@ -72,35 +72,73 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.concatenate([np.ones(1, np.uint64), np.full(n - 1, base, np.uint64)]).cumprod(dtype=np.uint64)
 
 
+def _bucket(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(BASE)
+    return 1 + ((h >> np.uint64(32)) % np.uint64(BUCKETS - 1)).astype(np.int64)
+
+
 class Reader:
     """Hashes the words of texts."""
 
     def __init__(self):
         self.up = self.down = np.ones(1, np.uint64)
 
-    def words(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Each word's start and its buckets: the whole word, then its prefixes (0, which has no weight, if too short)."""
-        n = len(data)
+    def powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if n + 1 > len(self.up):
             self.up, self.down = _powers(BASE, n + 1), _powers(INVERSE, n + 1)
+        return self.up[:n], self.down
+
+    @staticmethod
+    def lower(data: np.ndarray) -> np.ndarray:
         low = LETTER[data]
         # an upper-case Latin-1 letter is 0xC3 and 0x80 to 0x9E, its lower case 0x20 more
         after = np.flatnonzero(data[:-1] == 0xC3) + 1
         low[after] |= np.where(low[after] < 0x9F, 0x20, 0).astype(np.uint8)
+        return low
+
+    def words(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each word's start and its buckets: the whole word, then its prefixes (0, which has no weight, if too short)."""
+        up, down = self.powers(len(data))
+        low = self.lower(data)
         inside = np.concatenate([[False], low > 0, [False]])
         edge = np.flatnonzero(inside[1:] != inside[:-1])
         start, end = edge[::2], edge[1::2]
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(low * self.up[:n], dtype=np.uint64)])
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(low * up, dtype=np.uint64)])
         out = np.zeros((len(start), N_HASH), np.int64)
         for col, k in enumerate((0, *PREFIXES)):
             at = np.flatnonzero(end - start > k) if k else np.arange(len(start))
             a = start[at]
-            h = (sums[a + k if k else end[at]] - sums[a]) * self.down[a] + np.uint64(k)
-            h ^= h >> np.uint64(29)
-            h *= np.uint64(BASE)
-            out[at, col] = 1 + ((h >> np.uint64(32)) % np.uint64(BUCKETS - 1)).astype(np.int64)
+            out[at, col] = _bucket((sums[a + k if k else end[at]] - sums[a]) * down[a] + np.uint64(k))
         return start, out
 
+    def parts(self, text: bytes) -> Iterator[np.ndarray]:
+        """Buckets of the words of a long text, some at a time. It is cut between words only."""
+        data, at = np.frombuffer(text, np.uint8), 0
+        while at < len(data):
+            gaps = np.flatnonzero(LETTER[data[at:at + BLOCK]] == 0)
+            if len(gaps) or at + BLOCK >= len(data):
+                end = at + (int(gaps[-1]) + 1 if len(gaps) and at + BLOCK < len(data) else BLOCK)
+                yield self.words(data[at:end])[1]
+            else:  # a word longer than a block
+                end = at + BLOCK
+                while end < len(data) and LETTER[data[end]]:
+                    gaps = np.flatnonzero(LETTER[data[end:end + BLOCK]] == 0)
+                    end += int(gaps[0]) if len(gaps) else min(BLOCK, len(data) - end)
+                yield self.long_word(data[at:end])
+            at = end
+
+    def long_word(self, data: np.ndarray) -> np.ndarray:
+        """What ``words`` gives for a single word, in memory of a block."""
+        out = self.words(data[:BLOCK // 2])[1]  # the prefixes
+        total, power = 0, 1
+        for at in range(0, len(data), BLOCK):
+            before = min(at, 1)  # a letter's case is told by the byte before
+            low = self.lower(data[at - before:at + BLOCK])[before:]
+            total += power * int(np.sum(low * self.powers(len(low))[0], dtype=np.uint64))
+            power = power * pow(BASE, len(low), 1 << 64) % (1 << 64)
+        out[0, 0] = _bucket(np.array([total % (1 << 64)], np.uint64))[0]
+        return out
+
     def read(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Buckets of all words, each text followed by PAD rows of no word, and the row where each text starts."""
         lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
@@ -125,27 +163,34 @@ class Model:
     shift: np.ndarray
 
 
-def _blocks(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
-    """Texts in groups of about BLOCK bytes; (index of the first, texts). A longer text comes as overlapping pieces."""
+def _blocks(texts: list[bytes], reader: Reader) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
+    """Texts in groups of about BLOCK bytes: index of the first, rows of words, where each text starts, places to use.
+
+    A longer text comes in parts, each beginning with the last PAD words of the part before. The last PAD places
+    of a part are left to the next one, so that all parts together have the places of the whole text.
+    """
     group, size, first = [], 0, 0
     for i, text in enumerate(texts):
         if len(text) > 2 * BLOCK:
             if group:
-                yield first, group
-            words, step = text.split(), BLOCK // 8
-            for at in range(0, max(1, len(words)), step):
-                piece = b" ".join(words[at:at + step + PAD])
-                # words without a space can be very long; they are hashed by parts
-                yield from ((i, [piece[k:k + 2 * BLOCK]]) for k in range(0, max(1, len(piece)), 2 * BLOCK))
+                yield first, *(rows := reader.read(group)), len(rows[0])
+            carry = np.zeros((0, N_HASH), np.int64)
+            for found in reader.parts(text):
+                carry = np.concatenate([carry, found])
+                if len(carry) > PAD:
+                    yield i, carry, np.zeros(1, np.int64), len(carry) - PAD
+                    carry = carry[-PAD:]
+            rows = np.concatenate([carry, np.zeros((PAD, N_HASH), np.int64)])
+            yield i, rows, np.zeros(1, np.int64), len(rows)
             group, size, first = [], 0, i + 1
             continue
         group.append(text)
         size += len(text)
         if size > BLOCK:
-            yield first, group
+            yield first, *(rows := reader.read(group)), len(rows[0])
             group, size, first = [], 0, i + 1
     if group:
-        yield first, group
+        yield first, *(rows := reader.read(group)), len(rows[0])
 
 
 def logits(model: Model, texts: list[bytes], reader: Reader) -> tuple[np.ndarray, np.ndarray]:
@@ -153,21 +198,23 @@ def logits(model: Model, texts: list[bytes], reader: Reader) -> tuple[np.ndarray
     n_tap, n_lang = len(TAPS) * FILTERS, len(model.langs)
     pooled = np.full((len(texts), len(WIDTHS) * FILTERS), -np.inf, np.float32)
     votes = np.zeros((len(texts), n_lang), np.float64)
-    for first, group in _blocks(texts):
-        buckets, starts = reader.read(group)
+    for first, buckets, starts, n in _blocks(texts, reader):
         share = model.table[buckets[:, 0]]
         for k in range(1, N_HASH):
             share += model.table[buckets[:, k]]
         filters = np.empty((len(share), len(WIDTHS) * FILTERS), np.float32)
-        for n, w in enumerate(WIDTHS):
-            own = filters[:, n * FILTERS:(n + 1) * FILTERS]
+        for at, w in enumerate(WIDTHS):
+            own = filters[:, at * FILTERS:(at + 1) * FILTERS]
             own[:] = model.bias[w]
             for k, (width, j) in enumerate(TAPS):
                 if width == w:
                     own[:len(share) - j] += share[j:, k * FILTERS:(k + 1) * FILTERS]
-        rows = slice(first, first + len(group))
-        pooled[rows] = np.maximum(pooled[rows], np.maximum.reduceat(filters, starts, axis=0))
-        votes[rows] += np.add.reduceat(share[:, n_tap:], starts, axis=0, dtype=np.float64)
+        if n == len(share):  # from the rows of no word a filter must not reach into the next text
+            for back in range(1, PAD + 1):
+                filters[np.append(starts[1:], n) - back] = np.concatenate([model.bias[w] for w in WIDTHS])
+        rows = slice(first, first + len(starts))
+        pooled[rows] = np.maximum(pooled[rows], np.maximum.reduceat(filters[:n], starts, axis=0))
+        votes[rows] += np.add.reduceat(share[:n, n_tap:], starts, axis=0, dtype=np.float64)
     z = np.maximum(pooled, 0).astype(np.float64) @ model.out + model.out_bias
     return z, votes.argmax(axis=1) if n_lang else np.zeros(len(texts), np.int64)
 

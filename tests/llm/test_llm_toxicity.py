@@ -68,3 +68,19 @@ def test_repeated_ids_leave_the_others_in_the_sample(spark, monkeypatch):
     monkeypatch.setattr(langid, "train", seen.append)
     langid.fit(docs)
     assert len(seen[0]["en"]) == len(set(seen[0]["en"])) == 20
+
+
+def test_long_texts_score_as_a_whole(monkeypatch):
+    """A text of parts has the logit and votes of the whole text, wherever the parts are cut."""
+    rng = random.Random(1)
+    words = ["".join(rng.choice("abcdefghÀé,文") for _ in range(rng.randrange(1, 40))) for _ in range(400)]
+    texts = [",".join(words).encode(), ("x" * 5000 + " " + " ".join(words)).encode(), ("É文" * 900).encode(),
+             b"a b", b",,," * 900]
+    rows = [(f"good{i} thing vequ bad word", 1) if i % 2 else (f"good{i} fine text bad", 0) for i in range(60)]
+    model = toxicity.train([t.encode() for t, _ in rows], [y for _, y in rows], ["x", "y"] * 30)
+    model.table[1:] = np.random.default_rng(0).normal(size=model.table[1:].shape)  # every word counts
+    whole = toxicity.logits(model, texts, toxicity.Reader())
+    for size in (60, 61, 257):
+        monkeypatch.setattr(toxicity, "BLOCK", size)
+        parts = toxicity.logits(model, texts, toxicity.Reader())
+        assert np.allclose(parts[0], whole[0], atol=1e-5) and (parts[1] == whole[1]).all()
