@@ -29,3 +29,20 @@ def flatten_pages(pages: DataFrame, json_col: str, record: StructType, keep: tup
 def flatten_page_files(df: DataFrame) -> DataFrame:
     """Pages read with ``spark.read.schema(page_schema(rec)).json(path, multiLine=True)``."""
     return df.select(F.explode("results").alias("_r")).select("_r.*")
+
+
+def rejected_pages(pages: DataFrame, json_col: str, record: StructType, keep: tuple = ()) -> DataFrame:
+    """The pages that give ``flatten_pages`` no results array: ``keep`` and the ``reason``, one row per page.
+
+    An empty array is no reason. Count the rows by ``keep`` beside the manifest of the records.
+    """
+    body = F.col(json_col)
+    reason = (F.when(body.isNull(), "no body").when(F.try_parse_json(body).isNull(), "no JSON")
+              .otherwise("no results array"))
+    return (pages.where(F.from_json(body, page_schema(record))["results"].isNull())
+            .select(*keep, reason.alias("reason")))
+
+
+def rejected_page_files(df: DataFrame) -> DataFrame:
+    """The ``file_path`` of each page that gives ``flatten_page_files`` no results array (``df`` as read)."""
+    return df.where(F.col("results").isNull()).select("_metadata.file_path")
