@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import (bpe, chat, exact_dedup, langid, mixing, simhash, syncmers, toxicity, unigram,
-                          urlfilter)
+from panelkit.llm import (bpe, chat, divergence, exact_dedup, langid, mixing, simhash, syncmers, toxicity, unigram,
+                          urlfilter, whitening)
 from panelkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,3 +183,41 @@ def op1_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_language_id")
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_source_divergence", rf"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM w GROUP BY ALL
+      HAVING count(DISTINCT r) >= {divergence.LEAST_DOCS}),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS terms, sum(total) AS lang_n FROM k GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(terms, 0)::HUGEINT AS terms, coalesce(lang_n, 0)::HUGEINT AS lang_n,
+             coalesce(group_n, 0)::HUGEINT AS group_n
+      FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN v USING (lang)
+      LEFT JOIN (SELECT lang, source, sum(n) AS group_n FROM c GROUP BY ALL) USING (lang, source)),
+x AS (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n,
+             1 + {divergence.UNIT}::HUGEINT * (coalesce(n, 0) + 2) // (group_n + 2 * terms) AS p,
+             1 + {divergence.UNIT}::HUGEINT * (total + 2) // (lang_n + 2 * terms) AS q
+      FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+      FROM x a JOIN x b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM x WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= {divergence.TOP_TERMS}""")
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
