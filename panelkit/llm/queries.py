@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import (bpe, chat, divergence, exact_dedup, langid, mixing, simhash, syncmers, toxicity, unigram,
-                          urlfilter, whitening)
+from panelkit.llm import (bpe, chat, divergence, exact_dedup, langid, license_rules, licenses, mixing, simhash, syncmers,
+                          toxicity, unigram, urlfilter, whitening)
 from panelkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -190,6 +190,50 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+_RULE_ROWS_SQL = ", ".join(f"({r.number}, {r.tier}, '{r.label}', ' {r.word} ', '{r.pattern}')" for r in license_rules.RULES)
+_BASE_ROWS_SQL = ", ".join(f"({i}, 1, '{label}', ' license ', ' {phrase.replace(' ', '  ')} ')"
+                           for i, (phrase, label) in enumerate(licenses.BASE))
+#: Places of the matches of a table of rules; a word of ``doubled`` has two blanks of its own.
+_PLACES_SQL = """
+{name}_m AS (SELECT r, tier, number, label, regexp_extract_all(doubled, pattern) AS found,
+                    regexp_split_to_array(doubled, pattern) AS pieces
+             FROM d JOIN {name}_rules ON contains(doubled, word) AND regexp_matches(doubled, pattern)),
+{name}_w AS (SELECT r, tier, number, label,
+                    list_transform(found, lambda s: (length(s) - length(replace(s, ' ', ''))) // 2) AS own,
+                    list_transform(pieces, lambda s: (length(s) - length(replace(s, ' ', ''))) // 2) AS gap
+             FROM {name}_m),
+{name}_i AS (SELECT *, unnest(range(1, len(own) + 1)) AS i FROM {name}_w),
+{name} AS (SELECT r, tier, number, label, own[i] AS size,
+                  (list_sum(gap[1:i]) + coalesce(list_sum(own[1:i - 1]), 0))::BIGINT AS first FROM {name}_i)"""
+
+
+@query("op12_license_scan", rf"""
+WITH n AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           trim(regexp_replace(coalesce(text, ''), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+', ' ', 'g')) AS line
+    FROM documents),
+d AS (SELECT *, ' ' || replace(translate(line, '{licenses.UPPER}', '{licenses.LOWER}'), ' ', '  ') || ' ' AS doubled FROM n),
+base_rules(number, tier, label, word, pattern) AS (VALUES {_BASE_ROWS_SQL}),
+rule_rules(number, tier, label, word, pattern) AS (VALUES {_RULE_ROWS_SQL}),
+{_PLACES_SQL.format(name="base")},
+{_PLACES_SQL.format(name="rule")},
+kept AS (
+    SELECT * FROM rule a WHERE NOT EXISTS (
+        SELECT 1 FROM rule b WHERE b.r = a.r AND b.first <= a.first AND b.first + b.size >= a.first + a.size
+        AND b.tier <= a.tier AND (b.first < a.first OR b.size > a.size OR b.tier < a.tier OR b.number < a.number))),
+b AS (SELECT r, count(*) AS n_base, min(first) AS first_word, max(first) AS last_word,
+             list_sort(list_distinct(list(label))) AS labels FROM base GROUP BY r),
+k AS (SELECT r, list(label) AS labels, min(tier) AS tier FROM kept GROUP BY r)
+SELECT doc_id, CASE WHEN line = '' THEN 0 ELSE length(line) - length(replace(line, ' ', '')) + 1 END::BIGINT AS n_words,
+       coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(array_to_string(b.labels, ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(b.labels, k.labels))), ','), '') AS labels,
+       greatest(CASE WHEN n_base > 0 THEN {licenses.BASE_SCORE} ELSE 0 END,
+                coalesce({list(licenses.TIER_SCORES)}[k.tier], 0))::DOUBLE AS score
+FROM d LEFT JOIN b USING (r) LEFT JOIN k USING (r)""")
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 @query("op13_source_divergence", rf"""
 WITH d AS (
     SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
