@@ -176,25 +176,26 @@ def records_of_turns(rows: DataFrame) -> DataFrame:
     A user's and an assistant's turn become a prompt record, with a system's turn before them a system prompt
     record, all others a list of messages. Turns are in the order of turn, then role and text; null turns
     come first; a null role or text counts as empty, and a null conv_id as an id of its own. Repeated rows
-    are turns of their own. One conversation is one record, so its turns meet in one row. A conversation over
+    are turns of their own, and rows with equal conv_id are one conversation. One conversation is one record, so its turns meet in one row. A conversation over
     RECORD_BYTES has no JSON record; ``typed`` has the shape and turns of every one.
     """
     message = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"),
                        F.coalesce("text", F.lit("")).alias("text"))
     turns = (rows.select("conv_id", F.col("turn"), F.col("role").cast("string"), F.col("text").cast("string"))
              .groupBy("conv_id").agg(F.array_sort(F.collect_list(message)).alias("m"))
-             .select("conv_id", "m", F.when(F.size("m") <= 3, F.array_join(F.transform("m", lambda t: t["role"]), "\n"))
-                     .otherwise("").alias("roles")))
+             .select("conv_id", "m", F.when(F.size("m") <= 3, F.transform("m", lambda t: t["role"])).alias("roles")))
     m = F.col("m")
+    # whole lists are compared: a role may hold any sign, line breaks included
+    pair, triple = (F.coalesce(F.col("roles") == F.array(*map(F.lit, names)), F.lit(False))
+                    for names in (("user", "assistant"), ("system", "user", "assistant")))
     size = F.aggregate(m, F.lit(0).cast("long"), lambda n, t: n + TURN_BYTES + F.octet_length(t["role"])
                        + F.octet_length(t["text"]))
-    kind = (F.when(F.col("roles") == "user\nassistant", "prompt")
-            .when(F.col("roles") == "system\nuser\nassistant", "system prompt").otherwise("messages"))
+    kind = F.when(pair, "prompt").when(triple, "system prompt").otherwise("messages")
     shapes = F.create_map(*[F.lit(x) for s in MAPPINGS for x in (s.name, s.shape)])
     typed = F.struct(shapes[kind].alias("shape"), F.transform(m, lambda t: F.struct(t["role"], t["text"])).alias("turns"))
-    record = (F.when(size > RECORD_BYTES, F.lit(None).cast("string")).when(F.col("roles") == "user\nassistant", F.to_json(F.struct(
-        m[0]["text"].alias("prompt"), m[1]["text"].alias("response"))))
-        .when(F.col("roles") == "system\nuser\nassistant", F.to_json(F.struct(
+    record = (F.when(size > RECORD_BYTES, F.lit(None).cast("string")).when(pair, F.to_json(F.struct(
+        m[0]["text"].alias("prompt"), F.get(m, 1)["text"].alias("response"))))
+        .when(triple, F.to_json(F.struct(
             F.get(m, 1)["text"].alias("prompt"), F.get(m, 2)["text"].alias("response"), m[0]["text"].alias("system"))))
         .otherwise(F.to_json(F.struct(F.transform(m, lambda t: F.struct(
             t["text"].alias("content"), t["role"].alias("role"))).alias("messages")))))

@@ -129,8 +129,8 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
            AS loss_sha256,
        sum(length(r) + length(x) + {len(chat.BEGIN) + len(chat.END) + 2})::BIGINT AS formatted_chars,
-       CASE string_agg(role, ' ' ORDER BY turn NULLS FIRST, role, text)
-            WHEN 'user assistant' THEN 'prompt' WHEN 'system user assistant' THEN 'system prompt'
+       CASE list(role ORDER BY turn NULLS FIRST, role, text)
+            WHEN ['user', 'assistant'] THEN 'prompt' WHEN ['system', 'user', 'assistant'] THEN 'system prompt'
             ELSE 'messages' END AS layout
 FROM t GROUP BY conv_id""")
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,3 +32,20 @@ def test_typed_turns_give_what_records_give(spark, monkeypatch):
     want = run(rows)
     monkeypatch.setattr(chat, "RECORD_BYTES", 0)
     assert run(rows) == want and all(r.layout for r in want)
+
+
+def test_roles_with_any_signs(spark):
+    import hashlib
+    said = [(1, ["user\nassistant"]), (2, ["system\nuser", "assistant"]), (3, ["system\nuser\nassistant"]),
+            (4, ["user assistant"]), (5, ["user", "assistant"]), (6, ["system", "user", "assistant"]), (7, ["user\n", "assistant"]),
+            (8, ["", ""]), (9, ["system", "user\nassistant"])]
+    rows = [(c, i, role, f"text {i}") for c, roles in said for i, role in enumerate(roles)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = {r.conv_id: r for r in chat.digest(chat.format_records(chat.records_of_turns(df), "record", "typed")).collect()}
+    for c, roles in said:
+        whole = "".join(f"{role}\ntext {i}\n" for i, role in enumerate(roles))
+        learned = "".join(f"text {i}" for i, role in enumerate(roles) if role == "assistant")
+        layout = {5: "prompt", 6: "system prompt"}.get(c, "messages")
+        assert (out[c].n_turns, out[c].layout) == (len(roles), layout)
+        assert out[c].turns_sha256 == hashlib.sha256(whole.encode()).hexdigest()
+        assert (out[c].loss_chars, out[c].loss_sha256) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
