@@ -230,22 +230,27 @@ SNAPSHOTS_SQL = "snaps AS (\n" + "\n  UNION ALL\n".join(
     for d, n in SNAPSHOTS) + ")"
 
 # ---------------------------------------------------------- scraped pages
-POLL_HEADER = ["Start Date", "End Date", "Approving", "Disapproving", "Unsure/No Data"]
+POLL_HEADER = ["Start Date", "End Date", "Approving", "Disapproving", "Unsure/No Data", "Notes"]
 POLL_RENAME = {"Start Date": "start_date", "End Date": "end_date", "Approving": "approving",
-               "Disapproving": "disapproving", "Unsure/No Data": "unsure_or_no_data"}
+               "Disapproving": "disapproving", "Unsure/No Data": "unsure_or_no_data", "Notes": "notes"}
+NOTES_EVERY = 16  # every so many poll ids the notes cell holds a table of its own
 PAGE_ROWS = 512   # poll rows per generated page (bounded page size)
 
 
 def fx_poll_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Polls rendered as HTML pages: one page per (president, block of poll ids).
 
-    Each page holds a header row, at most ``PAGE_ROWS`` data rows and a second
-    (decoy) table; raw web pages from ``pages`` (no tables) are added too.
+    Each page holds a header row, at most ``PAGE_ROWS`` data rows (some with a
+    table inside a cell) and a second (decoy) table; raw web pages from
+    ``pages`` (no tables) are added too.
     """
     polls = fx_polls(spark, sf_dir)
     vals = ["start_date", "end_date", "approving", "disapproving", "unsure_or_no_data"]
     row = F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), F.coalesce(F.col(c), F.lit("")), F.lit("</td>"))
-                                    for c in vals], F.lit("</tr>"))
+                                    for c in vals],
+                   F.when(F.col("poll_id") % NOTES_EVERY == 0, F.lit(
+                       "<td>see<table><tr><td>a</td></tr><tr><td>b</td></tr></table></td>")).otherwise(F.lit("<td></td>")),
+                   F.lit("</tr>"))
     head = "<tr>" + "".join(f"<th>{h}</th>" for h in POLL_HEADER) + "</tr>"
     grouped = (polls.select("president", F.floor(F.col("poll_id") / PAGE_ROWS).alias("page_no"),
                             "poll_id", row.alias("tr"))
@@ -278,3 +283,13 @@ def fx_api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     env = F.struct(F.count(F.lit(1)).cast("string").alias("count"), recs.alias("results"),
                    F.concat(F.lit("page="), (F.col("page") + 1).cast("string")).alias("next_page_url"))
     return ev.groupBy("page").agg(F.to_json(env).alias("body"))
+
+
+def fx_api_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All API pages, and what else an endpoint may answer, from every row of ``pages``: its HTML, an envelope that
+    names an error, or nothing at all."""
+    k3 = F.col("page_id") % 3
+    other = F.when(k3 == 0, F.col("html")).when(k3 == 1, F.to_json(F.struct(F.col("url").alias("error"))))
+    good = fx_api_pages(spark, sf_dir).select(F.col("page").cast("string").alias("page"), "body")
+    return good.unionByName(table(spark, sf_dir, "pages").select(
+        F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("page"), other.alias("body")))

@@ -13,8 +13,11 @@ from panelkit.plans.q_panel import events_sorted, panel, panel_sql
 from panelkit.plans.registry import register, round_doubles
 from panelkit.session import work_dir
 from panelkit.sources import snapshots as S
+from panelkit.sources import api_pages as A
+from panelkit.sources import html as H
 from panelkit.sources.api_pages import flatten_pages
 from panelkit.sources.html import first_table_rows
+from panelkit.sources.outcomes import land_parsed
 
 EVENT_RECORD = StructType([StructField("document_number", StringType()),
                            StructField("person", StringType()),
@@ -108,8 +111,9 @@ def q_poll_manifest(spark, sf):
 
 HTML_SQL = with_ctes(FX_POLLS_SQL) + """SELECT president, NULLIF(start_date, '') AS start_date, NULLIF(end_date, '') AS end_date,
   NULLIF(approving, '') AS approving, NULLIF(disapproving, '') AS disapproving,
-  NULLIF(unsure_or_no_data, '') AS unsure_or_no_data
-FROM fx_polls"""
+  NULLIF(unsure_or_no_data, '') AS unsure_or_no_data,
+  CASE WHEN poll_id % {every} = 0 THEN 'see a b' END AS notes
+FROM fx_polls""".replace("{every}", str(FX.NOTES_EVERY))
 
 
 @register("html_table_rows", HTML_SQL, covers="S6 P5")
@@ -134,6 +138,43 @@ def q_union_by_name(spark, sf):
     return a.unionByName(b, allowMissingColumns=True)
 
 
+#: Of each kind of page: how many rows of the fixture's table it has, its rejects with their reasons.
+REJECTS_SQL = """rejected AS (
+  SELECT 'api' AS source, 'p' || CAST(page_id AS VARCHAR) AS page,
+         CASE page_id % 3 WHEN 0 THEN 'no JSON' WHEN 1 THEN 'no results array' ELSE 'no body' END AS reason FROM pages
+  UNION ALL SELECT 'polls', url || '#-1', 'no table' FROM pages)"""
+
+
+def landed_pages(spark, sf):
+    """Both kinds of pages, each parsed and written once: records, rejects and counts of the same pass."""
+    api = A.parse_pages(FX.fx_api_responses(spark, sf), "body", EVENT_RECORD, ("page",))
+    key = F.concat("president", F.lit("#"), F.col("page_no").cast("string")).alias("page")
+    polls = H.parse_tables(FX.fx_poll_pages(spark, sf).select(key, "html"), ["page"], rename=FX.POLL_RENAME)
+    return {"api": land_parsed(api, work_dir(spark, "api_parsed"), A.first_of_page()),
+            "polls": land_parsed(polls, work_dir(spark, "polls_parsed"), H.first_of_page())}
+
+
+@register("page_rejects", with_ctes(REJECTS_SQL) + "SELECT source, page, reason FROM rejected", covers="S1 S6 (rejects)")
+def q_page_rejects(spark, sf):
+    parts = [landed.rejects(spark, ["page"]).select(F.lit(name).alias("source"), "page", "reason")
+             for name, landed in landed_pages(spark, sf).items()]
+    return parts[0].unionByName(parts[1])
+
+
+@register("page_manifest", with_ctes(REJECTS_SQL) + f"""SELECT 'api' AS source,
+  (SELECT count(DISTINCT l_orderkey // {FX.API_BLOCK}) FROM lineitem) + count(*) AS n_pages,
+  (SELECT count(*) FROM lineitem) AS n_records, 0::BIGINT AS n_empty, count(*) AS n_rejected
+FROM rejected WHERE source = 'api'
+UNION ALL
+SELECT 'polls', (SELECT count(DISTINCT (o_orderpriority, o_orderkey // {FX.PAGE_ROWS})) FROM orders) + count(*),
+  (SELECT count(*) FROM orders), 0, count(*)
+FROM rejected WHERE source = 'polls'""", covers="S1 S6 S15 (page counts)")
+def q_page_manifest(spark, sf):
+    """Pages, records, empty pages and rejects of each kind of page, counted while the parse was written."""
+    rows = [(name, p.n_pages, p.n_records, p.n_empty, p.n_rejected) for name, p in landed_pages(spark, sf).items()]
+    return spark.createDataFrame(rows, "source string, n_pages long, n_records long, n_empty long, n_rejected long")
+
+
 API_SQL = with_ctes(FX_EVENTS_SQL) + "SELECT document_number, person, publication_date, series_key FROM fx_events"
 
 

@@ -12,7 +12,8 @@ SF001 = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from panelkit.session import get_session
-    s = get_session("local[*]", app="panelkit-tests", shuffle_partitions=8)
+    s = get_session("local[*]", app="panelkit-tests", shuffle_partitions=8,
+                    extra={"spark.driver.memory": "6g"})
     if not s.conf.get("spark.checkpoint.dir", None):
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="panelkit-test-ckpt-"))
     yield s
