@@ -201,7 +201,7 @@ def q_ingest_available_now(spark, sf):
     """Land two snapshots, ingest incrementally; land a late older snapshot,
     ingest again (and once more with nothing new): the curated table is the
     newest snapshot's per-date counts throughout."""
-    from panelkit.streaming.ingest import ingest_available_now
+    from panelkit.streaming.ingest import ingest_available_now, read_curated
     base = work_dir(spark, "stream")
     landing, mirror, curated = f"{base}/landing", f"{base}/mirror", f"{base}/curated"
     man, ckpt = f"{base}/manifest", f"{base}/_checkpoint"
@@ -212,7 +212,22 @@ def q_ingest_available_now(spark, sf):
     S.land(snaps.where(F.col("dt") == F.lit("2025-02-01").cast("date")), landing, fmt="json")
     ingest_available_now(spark, landing, EVENT_RECORD, mirror, curated, man, ckpt, curate, SNAPSHOT_FLOOR)
     ingest_available_now(spark, landing, EVENT_RECORD, mirror, curated, man, ckpt, curate, SNAPSHOT_FLOOR)
-    return spark.read.parquet(curated)
+    return read_curated(spark, curated)
+
+
+@register("ingest_manifest", MANIFEST_SQL, covers="S15 S16 A13")
+def q_ingest_manifest(spark, sf):
+    """Every snapshot lands in two parts, ingested one after the other: the manifest is merged from the batches'
+    parts and equals that of the whole."""
+    from panelkit.streaming.ingest import ingest_available_now, read_manifest
+    base = work_dir(spark, "stream_manifest")
+    snaps = FX.fx_event_snapshots(spark, sf)
+    late = F.month("publication_date") > 6
+    for part in (snaps.where(~late), snaps.where(late)):
+        S.land(part, f"{base}/landing", fmt="json")
+        ingest_available_now(spark, f"{base}/landing", EVENT_RECORD, f"{base}/mirror", f"{base}/curated", f"{base}/manifest",
+                             f"{base}/_checkpoint", lambda df: P.events_by_date(df, keys=[SERIES]), SNAPSHOT_FLOOR)
+    return read_manifest(spark, f"{base}/manifest")
 
 
 POLL_RAW = StructType([StructField(c, StringType()) for c in
@@ -260,7 +275,7 @@ UNION ALL SELECT 'indicators', month_start, COUNT(*) FROM indicators_sort GROUP
 def q_ingest_sources(spark, sf):
     """One trigger for the three sources in order (event JSON, poll CSV, indicator CSV), each landed with an
     older snapshot too; a second trigger finds nothing new. Curated records by source and day."""
-    from panelkit.streaming.ingest import Source, ingest_sources
+    from panelkit.streaming.ingest import Source, ingest_sources, read_curated
     base = work_dir(spark, "sources")
     text = lambda df: df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
     polls = text(FX.fx_polls(spark, sf).select(*POLL_RAW.fieldNames()))
@@ -276,7 +291,7 @@ def q_ingest_sources(spark, sf):
         paths = ingest_sources(spark, sources, f"{base}/landing", f"{base}/out")
     day = {"events": ("publication_date", F.sum("events_on_date")), "polls": ("period_start", F.count(F.lit(1))),
            "indicators": ("month_start", F.count(F.lit(1)))}
-    parts = [spark.read.parquet(paths[name]).groupBy(F.col(c).alias("day"))
+    parts = [read_curated(spark, paths[name]).groupBy(F.col(c).alias("day"))
              .agg(n.cast("bigint").alias("n_records")).select(F.lit(name).alias("source"), "day", "n_records")
              for name, (c, n) in day.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -82,11 +82,16 @@ def partition_dates(spark: SparkSession, root: str, column: str = "dt", under: s
     return sorted(dates)
 
 
-def newest_after(dates: Sequence[_dt.date], floor=None) -> Column:
-    """The last date strictly after ``floor`` as a literal; NULL, which no row equals, if there is none."""
+def last_after(dates: Sequence[_dt.date], floor=None) -> _dt.date | None:
+    """The last date strictly after ``floor``."""
     if isinstance(floor, str):
         floor = _dt.date.fromisoformat(floor)
-    return F.lit(max((d for d in dates if floor is None or d > floor), default=None)).cast("date")
+    return max((d for d in dates if floor is None or d > floor), default=None)
+
+
+def newest_after(dates: Sequence[_dt.date], floor=None) -> Column:
+    """``last_after`` as a literal; NULL, which no row equals, if there is none."""
+    return F.lit(last_after(dates, floor)).cast("date")
 
 
 def read_latest_snapshot(spark: SparkSession, root: str, schema: StructType, fmt: str = "json",
@@ -158,19 +163,34 @@ def snapshot_pick_as_of(available: DataFrame, as_of, date_col: str = "snapshot_d
 
 # ---------------------------------------------------------------- manifest
 
-def manifest(df: DataFrame, keys: Sequence[str] = ("dt",), number_col: str = "document_number",
-             date_col: str = "publication_date") -> DataFrame:
-    """Per snapshot: record count, max document number, max date, rejects, file label."""
+def manifest_part(df: DataFrame, keys: Sequence[str] = ("dt",), number_col: str = "document_number",
+                  date_col: str = "publication_date") -> DataFrame:
+    """What the manifest needs of some records, per snapshot; parts of the same snapshot can be merged."""
     num = F.col(number_col).try_cast("bigint")
     return (df.groupBy(*keys)
             .agg(F.count(F.lit(1)).alias("n_records"),
                  F.max(num).alias("max_number"),
                  F.count_if(F.col(number_col).isNotNull() & num.isNull()).alias("n_bad_numbers"),
                  F.count_if(F.col(number_col).isNull()).alias("n_null_numbers"),
-                 F.max(date_col).alias("max_date"))
-            .withColumn("label", F.concat_ws("_", F.col("n_records").cast("string"),
-                                             F.col("max_number").cast("string"),
-                                             date_label("max_date", "yyyyMMdd"))))
+                 F.max(date_col).alias("max_date")))
+
+
+def merge_parts(parts: DataFrame, keys: Sequence[str] = ("dt",)) -> DataFrame:
+    """One part per snapshot from several: counts (``n_``) add up, the largest value of the others stays."""
+    values = [c for c in parts.columns if c not in keys]
+    return parts.groupBy(*keys).agg(*[(F.sum if c.startswith("n_") else F.max)(c).alias(c) for c in values])
+
+
+def manifest_label(parts: DataFrame) -> DataFrame:
+    """The manifest of merged parts: with the file label."""
+    return parts.withColumn("label", F.concat_ws("_", F.col("n_records").cast("string"),
+                                                 F.col("max_number").cast("string"), date_label("max_date", "yyyyMMdd")))
+
+
+def manifest(df: DataFrame, keys: Sequence[str] = ("dt",), number_col: str = "document_number",
+             date_col: str = "publication_date") -> DataFrame:
+    """Per snapshot: record count, max document number, max date, rejects, file label."""
+    return manifest_label(manifest_part(df, keys, number_col, date_col))
 
 
 LONG_DATE_PREFIX = r"^\d{1,2}/\d{1,2}/\d{4}"
