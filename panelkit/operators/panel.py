@@ -149,6 +149,8 @@ def fill_weeks(weekly: DataFrame, as_of, keys: Sequence[str] = (),
     events are therefore aggregated and scanned once. The window is
     partitioned by the series keys and holds at most one row per week.
     """
+    if as_of is None:  # the filter of ``last_week`` here too: equal plans share one shuffle of the weekly counts
+        weekly = weekly.where(F.col("week_start").isNotNull())
     end = last_week(weekly, value_cols) if as_of is None else _lit_date(as_of)
     w = Window.partitionBy(*keys).orderBy("week_start")
     stop = F.coalesce(F.date_sub(F.col("_next"), 7), end)
@@ -192,9 +194,26 @@ def week_range_join(spine: DataFrame, points: DataFrame, point_col: str,
     return spine.join(p, [*keys, "week_start"], how)
 
 
+#: A bucket of more points than this is split, and so is none that holds less than this share of all points.
+POINTS_PER_PART = 1_000_000
+LEAST_SHARE = 10_000
+
+
+def bucket_parts(points: DataFrame, on: Sequence[str], points_per_part: int = POINTS_PER_PART) -> DataFrame:
+    """``on`` and ``_parts`` of the buckets that need splitting, from the count of their points.
+
+    A split bucket has over a 10,000th (``LEAST_SHARE``) of all points, so there are fewer than 10,000 of them,
+    however large the table; that bound makes it safe to broadcast the result.
+    """
+    counts = points.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    most = F.greatest(F.lit(points_per_part), F.ceil(counts.select(F.sum("_n")).scalar() / LEAST_SHARE))
+    return counts.where(F.col("_n") > most).select(*on, F.ceil(F.col("_n") / most).cast("int").alias("_parts"))
+
+
 def bucketed_range_join(points: DataFrame, point_col: str, intervals: DataFrame,
                         lo_col: str, hi_col: str, bucket_days: int = 7,
-                        keys: Sequence[str] = (), how: str = "inner", splits: int | None = None) -> DataFrame:
+                        keys: Sequence[str] = (), how: str = "inner",
+                        points_per_part: int = POINTS_PER_PART) -> DataFrame:
     """General ``lo <= point <= hi`` join for overlapping intervals.
 
     Each interval is exploded to the fixed-width day buckets it covers, each
@@ -205,15 +224,16 @@ def bucketed_range_join(points: DataFrame, point_col: str, intervals: DataFrame,
     usual interval length. Intervals with a NULL bound match nothing.
     ``how='left'`` keeps each interval without points once.
 
-    A bucket's points are dealt by their hash to ``splits`` parts and its
-    intervals go to each part, so that one busy bucket is many tasks' work.
-    The default is 1 with keys and 16 without, where the buckets are few.
+    A bucket with many points is many tasks' work: its points are counted
+    first, dealt by their hash to parts of about ``points_per_part``, and its
+    intervals go to each part. Other buckets, and so most intervals, are not
+    copied. Equal points share a part; give them as one row with a count. A
+    bucket with many intervals is split by Spark's skew join.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how}")
-    keys = list(keys)
     w = int(bucket_days)
-    n = splits or (1 if keys else 16)
+    on = [*keys, "_bucket"]
     epoch = F.lit(_dt.date(1970, 1, 1))
 
     def bucket(c):
@@ -221,24 +241,29 @@ def bucketed_range_join(points: DataFrame, point_col: str, intervals: DataFrame,
 
     lo, hi = F.col(lo_col), F.col(hi_col)
     meets = lo.isNotNull() & hi.isNotNull() & (lo <= hi)
-    iv = intervals.where(meets).withColumn("_bucket", F.explode(F.sequence(bucket(lo), bucket(hi))))
     pt = points.where(F.col(point_col).isNotNull()).withColumn("_bucket", bucket(F.col(point_col)))
-    if n > 1:
-        iv = iv.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-        hashed = [f.name for f in points.schema.fields
-                  if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
-        pt = pt.withColumn("_part", F.pmod(F.xxhash64(*hashed), F.lit(n)).cast("int"))
-    on = [*keys, "_bucket", *(["_part"] if n > 1 else [])]
+    parts = F.broadcast(bucket_parts(pt, on, points_per_part))
+    hashed = [f.name for f in points.schema.fields
+              if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    n = F.coalesce("_parts", F.lit(1))
+    pt = pt.join(parts, on, "left").withColumn("_part", F.pmod(F.xxhash64(*hashed), n).cast("int")).drop("_parts")
+    iv = (intervals.where(meets).withColumn("_bucket", F.explode(F.sequence(bucket(lo), bucket(hi))))
+          .join(parts, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), n - 1))).drop("_parts"))
+    on.append("_part")
     cond = [iv[k] == pt[k] for k in on] + [pt[point_col] >= iv[lo_col], pt[point_col] <= iv[hi_col]]
     out = iv.join(pt, cond, "inner")
     for k in on:
         out = out.drop(pt[k])
     out = out.drop("_bucket", "_part")
     if how == "left":
-        # equal intervals have equal points, so an interval is found by all of its values
-        found = iv.join(pt, cond, "left_semi").drop("_bucket", "_part").distinct()
-        same = [intervals[c].eqNullSafe(found[c]) for c in intervals.columns]
-        out = out.unionByName(intervals.join(found, same, "left_anti"), allowMissingColumns=True)
+        # an interval has no points if none of its copies has; equal intervals, which have equal points, go together
+        alone = iv.join(pt, cond, "left_anti").groupBy(*intervals.columns, "_bucket", "_part").agg(F.count(F.lit(1)).alias("_n"))
+        alone = alone.join(parts, on[:-1], "left").groupBy(*intervals.columns).agg(
+            F.sum(1 / n).alias("_covered"), F.max("_n").alias("_times"))
+        whole = F.abs(F.col("_covered") - (bucket(hi) - bucket(lo) + 1)) < 0.5 / POINTS_PER_PART
+        none = alone.where(whole).select(*intervals.columns, F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))).alias("_i"))
+        out = out.unionByName(none.drop("_i"), allowMissingColumns=True) \
+                 .unionByName(intervals.where(~F.coalesce(meets, F.lit(False))), allowMissingColumns=True)
     return out
 
 

@@ -292,113 +292,102 @@ def _phi_col(z):
     return 0.5 * (1.0 + erf)
 
 
+def _product(poly: dict[int, Column], lag: int, on: Column) -> dict[int, Column]:
+    """A lag polynomial (coefficient by lag) times ``1 - on B^lag``."""
+    out = dict(poly)
+    for k, c in poly.items():
+        out[k + lag] = out.get(k + lag, F.lit(0.0)) - on * c
+    return out
+
+
+def psi_variance(poly: dict[int, Column], theta: dict[int, Column], steps: Column) -> Column:
+    """Running sums of the squared psi weights, one for each step ahead.
+
+    psi weights are the coefficients of theta / poly: a fold in which each reads the ones before it.
+    """
+    def one(state: Column, h: Column) -> Column:
+        psi = F.lit(0.0)
+        for k, c in theta.items():
+            psi = psi + F.when(h == k, c).otherwise(0.0)
+        for k, c in poly.items():
+            if k:
+                psi = psi - c * F.when(h >= k, F.get(state["psi"], h - k)).otherwise(0.0)
+        return F.struct(F.array_append(state["psi"], psi).alias("psi"))
+
+    none = F.array().cast("array<double>")
+    psi = F.aggregate(F.sequence(F.lit(0), steps - 1), F.struct(none.alias("psi")), one, lambda x: x["psi"])
+    add = lambda sums, v: F.array_append(sums, v * v + F.coalesce(F.try_element_at(sums, F.lit(-1)), F.lit(0.0)))
+    return F.when(steps > 0, F.aggregate(psi, none, add)).otherwise(none)
+
+
 def forecast(frame: DataFrame, best: DataFrame, y: str, xcols: Sequence[str], keys: Sequence[str] = (),
              split_col: str = "split", s: int = SEASON, z: float = CONFIDENCE_Z) -> DataFrame:
     """Multi-step forecast of the test span from the end of train, with a 95 % interval.
 
-    Per series (one group = one series' weekly rows, bounded by the calendar)
-    the error recursion runs over train, then forward with future
-    innovations zero; the interval uses psi-weights of the full
-    (differenced) ARMA polynomial.
+    A series' weekly rows (bounded by the calendar) are one ordered array, and the error recursion is a fold over
+    it: over train, then forward with future innovations zero. The interval uses psi-weights of the full
+    (differenced) ARMA polynomial. All of it are column expressions. A series without a model keeps its weeks,
+    without a forecast; NaN counts as missing.
     """
     keys, xcols = list(keys), list(xcols)
-    params = best.select(*keys, "d", "sd", "coefs", "sigma2", *[f"b_{c}" for c in xcols])
-    j = attach(frame.select(*keys, T, "week_start", y, *xcols, split_col), params, keys, "inner")
-    schema = _keys_schema(j, keys) + "week_start date, t_idx int, predicted double, ci_lo double, ci_hi double"
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(T)
-        if pd.isna(pdf["d"].iloc[0]):  # no model: the weeks are kept, without a forecast
-            out = pdf[pdf[split_col] != "train"][[*keys, "week_start", T]].rename(columns={T: "t_idx"})
-            return out.assign(predicted=None, ci_lo=None, ci_hi=None)
-        d, D = int(pdf["d"].iloc[0]), int(pdf["sd"].iloc[0])
-        coefs = pdf["coefs"].iloc[0] or {}
-        coefs = dict(coefs) if not isinstance(coefs, dict) else coefs
-        s2 = float(pdf["sigma2"].iloc[0])
-        b = np.array([float(pdf[f"b_{c}"].iloc[0]) for c in xcols])
-        yv = pdf[y].to_numpy(dtype=float)
-        X = pdf[xcols].to_numpy(dtype=float)
-        train = (pdf[split_col] == "train").to_numpy()
-        n = len(yv)
-        n_tr = int(train.sum())
-        lag_terms = {"u1": 1, f"u{s}": s, f"u{s + 1}": s + 1}
-        ma_terms = {"e1": 1, f"e{s}": s, f"e{s + 1}": s + 1}
-
-        def dif(v, t):
-            out = v[t]
-            for lag, c in ((1, d), (s, D), (s + 1, d * D)):
-                if c:
-                    if t - lag < 0:
-                        return float("nan")
-                    out = out - v[t - lag] if lag != s + 1 else out + v[t - lag]
-            return out
-
-        yy = yv.copy()
-        yy[n_tr:] = np.nan
-        w = np.array([dif(yy, t) for t in range(n)])
-        xw = np.array([[dif(X[:, i], t) for i in range(len(xcols))] for t in range(n)]) if len(xcols) else np.zeros((n, 0))
-        u = w - (xw @ b if len(xcols) else 0.0)
-        e = np.zeros(n)
-        uh = u.copy()
-        for t in range(n):
-            ar = sum(coefs.get(nm, 0.0) * (uh[t - k] if t - k >= 0 and uh[t - k] == uh[t - k] else 0.0)
-                     for nm, k in lag_terms.items())
-            ma = sum(coefs.get(nm, 0.0) * (e[t - k] if t - k >= 0 else 0.0) for nm, k in ma_terms.items())
-            if t < n_tr:
-                if u[t] == u[t]:
-                    e[t] = u[t] - ar - ma
-                else:  # lost to differencing: no information
-                    uh[t] = 0.0
-                    e[t] = 0.0
-            else:
-                uh[t] = ar + ma
-                e[t] = 0.0
-        # integrate forecasts back to levels
-        yh = yv.copy()
-        for t in range(n_tr, n):
-            lvl = (xw[t] @ b if len(xcols) else 0.0) + uh[t]
-            for lag, c, sign in ((1, d, 1.0), (s, D, 1.0), (s + 1, d * D, -1.0)):
-                if c and t - lag >= 0:
-                    lvl += sign * yh[t - lag]
-            yh[t] = lvl
-        # psi weights of phi(B)(1-B)^d(1-B^s)^D and theta(B)
-        H = n - n_tr
-        deg = s + 2
-        phi = np.zeros(deg + 1)
-        phi[0] = 1.0
-        for nm, k in lag_terms.items():
-            phi[k] -= coefs.get(nm, 0.0)
-        full = phi.copy()
-        for lag, c in ((1, d), (s, D)):
-            if c:
-                f2 = np.zeros(len(full) + lag)
-                f2[:len(full)] += full
-                f2[lag:] -= full
-                full = f2
-        theta = np.zeros(deg + 1)
-        theta[0] = 1.0
-        for nm, k in ma_terms.items():
-            theta[k] += coefs.get(nm, 0.0)
-        psi = np.zeros(max(H, 1))
-        for h in range(len(psi)):
-            v = theta[h] if h < len(theta) else 0.0
-            for i in range(1, min(h, len(full) - 1) + 1):
-                v -= full[i] * psi[h - i]
-            psi[h] = v if h > 0 else 1.0
-        var = s2 * np.cumsum(psi ** 2)
-        rows = []
-        def fin(v):  # NULL, never NaN or infinity, in the output
-            return float(v) if math.isfinite(v) else None
-
-        for h, t in enumerate(range(n_tr, n)):
-            half = z * math.sqrt(var[h]) if math.isfinite(s2) and var[h] >= 0 else float("nan")
-            rows.append({**{k: pdf[k].iloc[0] for k in keys}, "week_start": pdf["week_start"].iloc[t],
-                         "t_idx": int(pdf[T].iloc[t]), "predicted": fin(yh[t]),
-                         "ci_lo": fin(yh[t] - half), "ci_hi": fin(yh[t] + half)})
-        return pd.DataFrame(rows, columns=[*keys, "week_start", "t_idx", "predicted", "ci_lo", "ci_hi"])
-
-    g = j.groupBy(*keys) if keys else j.withColumn("_g", F.lit(0)).groupBy("_g")
-    return g.applyInPandas(run, schema)
+    number = lambda c: F.when(~F.isnan(c), F.col(c).cast("double"))
+    row = F.struct(F.col(T).alias("t"), "week_start", number(y).alias("_y"),
+                   *[number(c).alias(f"_x{i}") for i, c in enumerate(xcols)], (F.col(split_col) == "train").alias("_train"))
+    series = frame.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("_rows"))
+    names = {"u": [(f"u{k}", k) for k in (1, s, s + 1)], "e": [(f"e{k}", k) for k in (1, s, s + 1)]}
+    coef = {n: F.coalesce(F.col("coefs")[n], F.lit(0.0)).alias(f"_{n}") for part in names.values() for n, _ in part}
+    params = best.select(*keys, F.col("d").alias("_d"), F.col("sd").alias("_sd"), F.col("sigma2").alias("_s2"),
+                         *coef.values(), *[F.col(f"b_{c}").alias(f"_b{i}") for i, c in enumerate(xcols)])
+    j = attach(series, params, keys, "inner")
+    r, d, sd = F.col("_rows"), F.col("_d"), F.col("_sd")
+    back = ((1, d, 1), (s, sd, 1), (s + 1, d * sd, -1))
+
+    def differenced(name: str, i: Column) -> Column:
+        out = F.get(r, i)[name]
+        for lag, on, sign in back:
+            out = out - sign * F.when(on == 1, F.get(r, i - lag)[name]).otherwise(0.0)
+        return out
+
+    def prepared(x: Column, i: Column) -> Column:
+        drift = F.lit(0.0)
+        for k in range(len(xcols)):
+            drift = drift + differenced(f"_x{k}", i) * F.col(f"_b{k}")
+        return F.struct(i.alias("i"), x["t"].alias("t"), x["week_start"].alias("week_start"), x["_train"].alias("train"),
+                        x["_y"].alias("y"), drift.alias("drift"), F.when(x["_train"], differenced("_y", i)).alias("w"))
+
+    def step(state: Column, x: Column) -> Column:
+        def part(kind: str, of: str) -> Column:
+            total = F.lit(0.0)
+            for name, lag in names[kind]:
+                total = total + F.col(f"_{name}") * F.when(x["i"] >= lag, F.get(state[of], x["i"] - lag)).otherwise(0.0)
+            return total
+
+        expected, u = part("u", "u") + part("e", "e"), x["w"] - x["drift"]
+        shown = F.when(x["train"], F.coalesce(u, F.lit(0.0))).otherwise(expected)
+        error = F.when(x["train"] & u.isNotNull(), u - expected).otherwise(0.0)
+        level = x["drift"] + expected
+        for lag, on, sign in back:  # from differences back to levels
+            level = level + sign * F.when((on == 1) & (x["i"] >= lag), F.get(state["y"], x["i"] - lag)).otherwise(0.0)
+        return F.struct(F.array_append(state["u"], shown).alias("u"), F.array_append(state["e"], error).alias("e"),
+                        F.array_append(state["y"], F.when(x["train"], x["y"]).otherwise(level)).alias("y"))
+
+    none = F.array().cast("array<double>")
+    poly = {0: F.lit(1.0), **{k: -F.col(f"_{n}") for n, k in names["u"]}}
+    poly = _product(_product(poly, 1, d), s, sd)
+    theta = {0: F.lit(1.0), **{k: F.col(f"_{n}") for n, k in names["e"]}}
+    x = j.withColumn("_steps", F.transform(r, prepared))
+    ahead = F.filter(F.col("_steps"), lambda v: ~v["train"])
+    # the levels of the fold that ``step`` makes, beside the weeks they are for
+    x = x.select(*keys, "_d", "_s2", ahead.alias("_ahead"), F.aggregate(
+        "_steps", F.struct(none.alias("u"), none.alias("e"), none.alias("y")), step, lambda v: v["y"]).alias("_level"),
+        psi_variance(poly, theta, F.size(ahead)).alias("_var"))
+    x = x.select(*keys, "_d", "_s2", "_level", "_var", F.posexplode("_ahead").alias("_h", "_week"))
+    finite = lambda c: F.when(F.abs(c) < float("inf"), c)  # noqa: E731  NULL, never NaN or infinity, in the output
+    x = x.withColumn("_point", F.when(F.col("_d").isNotNull(), F.get("_level", F.col("_week.i")))) \
+         .withColumn("_half", z * F.sqrt(F.col("_s2") * F.get("_var", F.col("_h"))))
+    return x.select(*keys, F.col("_week.week_start").alias("week_start"), F.col("_week.t").cast("int").alias("t_idx"),
+                    finite(F.col("_point")).alias("predicted"), finite(F.col("_point") - F.col("_half")).alias("ci_lo"),
+                    finite(F.col("_point") + F.col("_half")).alias("ci_hi"))
 
 
 def forecast_vs_observed(fc: DataFrame, frame: DataFrame, y: str, keys: Sequence[str] = ()) -> DataFrame:

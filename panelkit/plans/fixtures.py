@@ -40,11 +40,6 @@ def fx_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_returnflag").alias(SERIES))
 
 
-def last_event_date(spark: SparkSession, sf_dir: str):
-    """The newest publication date: one number, from a scan of that column alone."""
-    return fx_events(spark, sf_dir).agg(F.max("publication_date")).first()[0]
-
-
 def fx_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     d = F.to_date("o_orderdate")

@@ -342,3 +342,96 @@ FROM (SELECT *, coef / std_err AS zv, abs(coef / std_err) AS zs,
             UNION ALL
             SELECT series_key, {names}[cols[i]], b[i], se[i]
             FROM (SELECT *, unnest(range(1, len(cols) + 1)) AS i FROM won) q) t) v"""
+
+
+def forecast_ctes(k: int) -> list[str]:
+    """From ``won``, ``reg``, ``sc0``: ``fc (series_key, week_start, t_idx, predicted, ci_lo, ci_hi, observed)``.
+
+    Two recursions over the weeks of a series: the innovations and levels (lists that grow by a week a step), and the
+    psi weights of the full lag polynomial.
+    """
+    xs = [f"PC{i}" for i in range(1, k + 1)]
+    win = "OVER (PARTITION BY series_key ORDER BY t)"
+    lags = (1, SEASON, SEASON + 1)
+
+    def differenced(c: str) -> str:
+        return (f"{c} - CASE WHEN d = 1 THEN lag({c}, 1) {win} ELSE 0 END - CASE WHEN sd = 1 THEN lag({c}, {SEASON}) {win}"
+                f" ELSE 0 END + CASE WHEN d = 1 AND sd = 1 THEN lag({c}, {SEASON + 1}) {win} ELSE 0 END")
+
+    def past(of: str, lag: int, at: str = "t") -> str:  # the step's own value is not in the list yet
+        return f"CASE WHEN {at} >= {lag} THEN {of}[{at} - {lag} + 1] ELSE 0 END"
+
+    coefs = ", ".join(f"coalesce(b[list_position(cols, {n})], 0.0) AS c{n}" for n in range(1, len(TERMS) + 1))
+    ar = " + ".join(f"c{n} * ({past('us', lag, 'i')})" for n, lag in enumerate(lags, 1))
+    ma = " + ".join(f"c{n} * ({past('es', lag, 'i')})" for n, lag in enumerate(lags, 4))
+    level = (f"drift + expected + CASE WHEN d = 1 THEN {past('ys', 1, 'i')} ELSE 0 END + CASE WHEN sd = 1 THEN "
+             f"{past('ys', SEASON, 'i')} ELSE 0 END - CASE WHEN d = 1 AND sd = 1 THEN {past('ys', SEASON + 1, 'i')} ELSE 0 END")
+    return [
+        f"""fp AS MATERIALIZED (SELECT won.series_key, CAST(d AS INTEGER) AS d, CAST(sd AS INTEGER) AS sd, sigma2, beta, {coefs}
+    FROM won JOIN reg ON reg.series_key = won.grp)""",
+        f"""fw AS (SELECT series_key, t, y, d, sd, t >= n_tr AS ahead, {' + '.join(
+            f'({differenced(x)}) * beta[{i}]' for i, x in enumerate(xs, 1))} AS drift, {differenced('y')} AS w
+    FROM (SELECT *, t_idx AS t, round_even({TRAIN_SHARE} * count(*) OVER (PARTITION BY series_key), 0) AS n_tr FROM sc0) q
+    JOIN fp USING (series_key))""",
+        """fr AS MATERIALIZED (SELECT series_key, list({'y': y, 'ahead': ahead, 'drift': drift, 'w': w} ORDER BY t) AS rows,
+    count(*) FILTER (WHERE ahead) AS steps FROM fw GROUP BY 1)""",
+        f"""rec AS (
+    SELECT series_key, 0 AS i, []::DOUBLE[] AS us, []::DOUBLE[] AS es, []::DOUBLE[] AS ys FROM fr
+    UNION ALL
+    SELECT series_key, i + 1,
+           list_append(us, CASE WHEN ahead THEN expected ELSE coalesce(w - drift, 0) END),
+           list_append(es, CASE WHEN ahead THEN 0 ELSE coalesce(w - drift - expected, 0) END),
+           list_append(ys, CASE WHEN ahead THEN {level} ELSE y END)
+    FROM (SELECT rec.*, r.rows[i + 1].y AS y, r.rows[i + 1].ahead AS ahead, r.rows[i + 1].drift AS drift,
+                 r.rows[i + 1].w AS w, d, sd, {ar} + {ma} AS expected
+          FROM rec JOIN fr r ON r.series_key = rec.series_key JOIN fp ON fp.series_key = rec.series_key
+          WHERE i < len(r.rows)) q)""",
+        f"""ap AS MATERIALIZED (SELECT series_key, sigma2, map_entries(map_from_entries(list((lag, c)))) AS poly, any_value(theta) AS theta
+    FROM (SELECT series_key, sigma2, lag, sum(c) AS c, any_value(theta) AS theta
+          FROM (SELECT fp.series_key, sigma2, a.l + e.l + g.l AS lag, a.c * e.c * g.c AS c,
+                       [{{'l': 1, 'c': c4}}, {{'l': {SEASON}, 'c': c5}}, {{'l': {SEASON + 1}, 'c': c6}}] AS theta
+                FROM fp, unnest([{{'l': 0, 'c': 1.0}}, {{'l': 1, 'c': -c1}}, {{'l': {SEASON}, 'c': -c2}},
+                                 {{'l': {SEASON + 1}, 'c': -c3}}]) t1(a),
+                     unnest([{{'l': 0, 'c': 1.0}}, {{'l': 1, 'c': -1.0 * d}}]) t2(e),
+                     unnest([{{'l': 0, 'c': 1.0}}, {{'l': {SEASON}, 'c': -1.0 * sd}}]) t3(g)) x
+          GROUP BY series_key, sigma2, lag HAVING lag > 0) y GROUP BY series_key, sigma2)""",
+        """psi AS (
+    SELECT series_key, 1 AS h, [1.0::DOUBLE] AS ps FROM ap
+    UNION ALL
+    SELECT series_key, h + 1, list_append(ps, coalesce(list_sum([x.c for x in theta if x.l = h]), 0)
+           - coalesce(list_sum([x.value * ps[h - x.key + 1] for x in poly if x.key <= h]), 0))
+    FROM (SELECT psi.*, poly, theta FROM psi JOIN ap ON ap.series_key = psi.series_key
+          JOIN fr ON fr.series_key = psi.series_key WHERE h < steps) q)""",
+        f"""fc AS MATERIALIZED (
+    SELECT f.series_key, mf.week_start, f.t AS t_idx, f.y AS observed, ys[f.t + 1] AS predicted,
+           ys[f.t + 1] - half AS ci_lo, ys[f.t + 1] + half AS ci_hi
+    FROM (SELECT fw.*, row_number() OVER (PARTITION BY series_key ORDER BY t) AS h FROM fw WHERE ahead) f
+    JOIN mf ON mf.series_key = f.series_key AND mf.t_idx = f.t
+    JOIN (SELECT rec.* FROM rec JOIN fr ON fr.series_key = rec.series_key AND i = len(rows)) e ON e.series_key = f.series_key
+    JOIN (SELECT series_key, h, {CONFIDENCE_Z} * sqrt(sigma2 * list_sum([x * x for x in ps])) AS half
+          FROM psi JOIN ap USING (series_key)) v ON v.series_key = f.series_key AND v.h = f.h)"""]
+
+
+def forecast_select(digits: int) -> str:
+    return "SELECT series_key, week_start, " + ", ".join(
+        f"round({c}, {digits}) AS {a}" for c, a in (("predicted", "predicted_orders"), ("ci_lo", "ci_lo"), ("ci_hi", "ci_hi"))) \
+        + ", CAST('{run_ts}' AS DATE) AS load_dt FROM fc"
+
+
+#: Accuracy over the test span; weeks without events have no relative error.
+METRICS = """err AS (SELECT *, sqrt(avg((observed - predicted) ** 2) OVER w) AS rmse,
+    avg(CASE WHEN observed <> 0 THEN abs((observed - predicted) / observed) END) OVER w AS mape
+    FROM fc WINDOW w AS (PARTITION BY series_key))"""
+
+
+def observed_select(digits: int) -> str:
+    return f"""SELECT series_key, week_start, CAST(t_idx AS INTEGER) AS t_idx, {', '.join(f'round({c}, {digits}) AS {c}' for c in (
+        'predicted', 'ci_lo', 'ci_hi', 'observed', 'rmse'))}, round(mape, 5) AS mape FROM err"""
+
+
+def log_select(run_id: str, run_ts: str, digits: int) -> str:
+    return f"""SELECT won.series_key, '{run_id}' AS run_id, TIMESTAMP '{run_ts}' AS run_ts,
+  format('({{}}, {{}}, {{}})', p, d, q) AS "order", format('({{}}, {{}}, {{}}, {SEASON})', sp, sd, sq) AS seasonal_order,
+  round(aic, 6) AS aic, round(m.rmse, {digits}) AS rmse, round(m.mape, 5) AS mape
+FROM won JOIN (SELECT series_key, any_value(rmse) AS rmse, any_value(mape) AS mape FROM err GROUP BY 1) m
+  ON m.series_key = won.series_key"""

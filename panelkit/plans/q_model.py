@@ -108,7 +108,14 @@ def _forecast(spark, sf):
     return mf, best, SE.forecast(mf, best, Y, PCS, K)
 
 
-@register("forecast", covers="M14 M15 M16 S13 P4")
+#: Forecasts and errors, thousands here after recursions over hundreds of weeks, are compared to 3 digits.
+DIGITS = 3
+RUN_ID = "run-" + RUN_TS.replace(" ", "T")
+FORECAST_WITH = OM.recursive(with_ctes(*Z_CTES, *OM.pca_ctes(FEATURES), *OM.grid_ctes(FEATURES, N_COMPONENTS, Y),
+                                       *OM.forecast_ctes(N_COMPONENTS), OM.METRICS))
+
+
+@register("forecast", FORECAST_WITH + OM.forecast_select(DIGITS).replace("{run_ts}", RUN_TS), covers="M14 M15 M16 S13 P4")
 def q_forecast(spark, sf):
     """Forecast the test span and append it, partitioned by load date; read the table back."""
     _, _, fc = _forecast(spark, sf)
@@ -116,21 +123,27 @@ def q_forecast(spark, sf):
                     "ci_lo", "ci_hi", F.to_date(F.lit(RUN_TS)).alias("load_dt"))
     path = work_dir(spark, "predicted")
     out.write.mode("append").partitionBy("load_dt").parquet(path)
-    return round_doubles(spark.read.parquet(path))
+    return round_doubles(spark.read.parquet(path), DIGITS)
 
 
-@register("forecast_vs_observed", covers="J6 M17")
+@register("forecast_vs_observed", FORECAST_WITH + OM.observed_select(DIGITS), covers="J6 M17")
 def q_forecast_vs_observed(spark, sf):
     mf, _, fc = _forecast(spark, sf)
-    return round_doubles(SE.forecast_vs_observed(fc, mf, Y, K))
+    out = SE.forecast_vs_observed(fc, mf, Y, K)
+    return out.select(*[F.round(c, 5 if c == "mape" else DIGITS).alias(c) if kind == "double" else F.col(c)
+                        for c, kind in out.dtypes])
 
 
-@register("run_log", covers="M13")
+@register("run_log", FORECAST_WITH + OM.log_select(RUN_ID, RUN_TS, DIGITS), covers="M13")
 def q_run_log(spark, sf):
     """Append the selected model's parameters and metrics to a runs table
-    (partitioned by run day) and read it back."""
+    (partitioned by run day) and read it back, each parameter and metric as a column."""
     mf, best, fc = _forecast(spark, sf)
-    log = SE.run_log(best, "run-" + RUN_TS.replace(" ", "T"), RUN_TS, K, SE.forecast_vs_observed(fc, mf, Y, K))
+    log = SE.run_log(best, RUN_ID, RUN_TS, K, SE.forecast_vs_observed(fc, mf, Y, K))
     path = work_dir(spark, "runs")
     log.withColumn("run_day", F.to_date("run_ts")).write.mode("append").partitionBy("run_day").parquet(path)
-    return spark.read.parquet(path).drop("run_day")
+    params, metrics = F.col("params"), F.col("metrics")
+    return spark.read.parquet(path).select(
+        SERIES, "run_id", "run_ts", params["order"].alias("order"), params["seasonal_order"].alias("seasonal_order"),
+        F.round(metrics["AIC"], 6).alias("aic"), F.round(metrics["rmse"], DIGITS).alias("rmse"),
+        F.round(metrics["mape"], 5).alias("mape"))

@@ -33,14 +33,15 @@ def indicators_sorted(spark, sf):
 
 def spine(spark, sf):
     weekly = P.week_counts(events_sorted(spark, sf), keys=K, count_col="events_on_date")
-    return P.date_spine(P.week_anchor(weekly, K), FX.last_event_date(spark, sf), K)
+    weekly = weekly.where(F.col("week_start").isNotNull())
+    return P.date_spine(P.week_anchor(weekly, K), P.last_week(weekly, ()), K)  # both from one shuffle
 
 
 def panel(spark, sf, fanout="reference"):
     """The panel straight from raw events: one partial aggregate per (series,
     week) replaces the per-date table plus a second aggregate (same counts)."""
     return P.weekly_panel(FX.fx_events(spark, sf), polls_sorted(spark, sf),
-                          indicators_sorted(spark, sf), FX.last_event_date(spark, sf), RUN_TS,
+                          indicators_sorted(spark, sf), None, RUN_TS,
                           keys=K, fanout=fanout)
 
 
@@ -222,7 +223,7 @@ def q_weekly_panel_corrected(spark, sf):
 def q_weekly_panel_literal(spark, sf):
     """The panel with unrepaired poll dates."""
     p = P.weekly_panel(FX.fx_events(spark, sf), P.curate_polls(FX.fx_polls(spark, sf), repair=False),
-                       indicators_sorted(spark, sf), FX.last_event_date(spark, sf), RUN_TS, keys=K)
+                       indicators_sorted(spark, sf), None, RUN_TS, keys=K)
     return round_doubles(p.drop("run_date"))
 
 

@@ -73,16 +73,37 @@ def test_bucketed_range_join_left_keeps_each_interval_once(spark):
                                "iid int, lo date, hi date")
     key = lambda r: (r.iid, str(r.lo), -1 if r.pid is None else r.pid)
     exp = sorted(map(key, iv.join(pts, (pts.p >= iv.lo) & (pts.p <= iv.hi), "left").collect()))
-    for splits in (1, 3, None):
-        got = P.bucketed_range_join(pts, "p", iv, "lo", "hi", 7, how="left", splits=splits).collect()
+    for most in (1, 7, 1000):
+        got = P.bucketed_range_join(pts, "p", iv, "lo", "hi", 7, how="left", points_per_part=most).collect()
         assert sorted(map(key, got)) == exp
 
 
+def test_a_hot_day_is_split_by_its_weight(spark, monkeypatch):
+    monkeypatch.setattr(P, "LEAST_SHARE", 100)
+    hot = spark.range(40_000).select(F.col("id").alias("pid"), F.when(F.col("id") % 2 == 0, F.lit(d(2025, 3, 5))).otherwise(
+        F.date_add(F.lit(d(2025, 1, 1)), (F.col("id") % 300).cast("int"))).alias("p"))
+    parts = {r["_bucket"]: r["_parts"] for r in P.bucket_parts(
+        hot.withColumn("_bucket", F.floor(F.datediff("p", F.lit(d(1970, 1, 1))) / 7).cast("long")), ["_bucket"], 1000).collect()}
+    assert len(parts) == 1 and 20 <= list(parts.values())[0] <= 22  # only the hot week, by its own count
+    iv = spark.createDataFrame([(i, d(2025, 1, 1) + dt.timedelta(days=7 * i), d(2025, 1, 9) + dt.timedelta(days=7 * i))
+                                for i in range(60)], "iid int, lo date, hi date")
+    out = P.bucketed_range_join(hot, "p", iv, "lo", "hi", 7, points_per_part=1000)
+    exp = iv.join(hot, (hot.p >= iv.lo) & (hot.p <= iv.hi))
+    assert sorted((r.iid, r["count"]) for r in out.groupBy("iid").count().collect()) == \
+        sorted((r.iid, r["count"]) for r in exp.groupBy("iid").count().collect())
+    assert out.distinct().count() == out.count()
+
+
 def test_panel_plan_has_no_nested_loop_or_cartesian(spark, sf):
     from panelkit.plans import q_panel
-    plan = q_panel.panel(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    df = q_panel.panel(spark, sf)
+    plan = df._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
-    assert plan.count("lineitem.parquet") == 2  # events once, indicators once
+    # events once, indicators once, and the spine's end, whose shuffle is the events' own when it runs
+    assert plan.count("lineitem.parquet") == 3
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in final
     assert F is not None
 
 
