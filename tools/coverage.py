@@ -46,9 +46,9 @@ IMPL = {
     "C3": "coalesce in weekly_panel", "C4": "coalesce in parse_poll_date", "C5": "try_cast bigint in manifest",
     "O1": "orderBy / sortWithinPartitions", "O2": "orderBy week_start", "O3": "t_idx positions (row_number)",
     "O4": "orderBy + limit (head preview)", "U1": "unionByName(allowMissingColumns)", "U2": "multi-file read",
-    "P7": "operators.prep.difference", "P8": "operators.prep.decompose (trend)", "P9": "operators.prep.decompose (seasonal)",
-    "P10": "operators.prep.decompose (resid)", "P11": "operators.prep.outlier_blank",
-    "P12": "operators.prep.interpolate_cubic / interpolate_spline", "P13": "operators.prep.chrono_split",
+    "P7": "operators.prep.difference / longseries.difference", "P8": "operators.prep.decompose (trend) / longseries.decompose", "P9": "operators.prep.decompose (seasonal)",
+    "P10": "operators.prep.decompose (resid)", "P11": "operators.prep.outlier_blank / longseries.outlier_blank",
+    "P12": "operators.prep.interpolate_cubic / interpolate_spline / longseries.interpolate_spline", "P13": "operators.prep.chrono_split",
     "P14": "operators.multivar.scree (cum_ratio)", "M1": "operators.multivar.standardize",
     "M2": "operators.multivar.pca_model / pca_scores", "M3": "operators.multivar.pca_model (loadings)",
     "M4": "operators.multivar.scree", "M5": "operators.multivar.choose_k", "M6": "operators.quality.corr_matrix / collinear_pairs",
