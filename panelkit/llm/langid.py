@@ -5,8 +5,9 @@ text. A text is parsed from left to right into the longest phrases that occur
 in the sample; the language that needs the fewest phrases per letter wins. All
 samples have the same length, so the phrase counts compare as they are.
 
-The automata are tables: a row per state, a column per letter, each cell with
-the next state and whether a phrase ended. A batch of texts is cut into
+The automata are tables: a row per state, a column per common letter, each
+cell with the next state and whether a phrase ended. Arcs of all other letters
+of the samples are a sorted list, so that every letter counts as itself. A batch of texts is cut into
 segments and all segments take one step at a time, in all languages at once.
 """
 
@@ -30,7 +31,8 @@ LETTERS_PER_LANGUAGE = 24_000
 #: At most this many languages are told apart; more are an error, not a cut.
 MOST_LANGUAGES = 200
 
-#: Letters with a column of their own; the rest share one. Column 0 is any run of other signs.
+#: Letters with a column of their own in the tables; arcs of rarer ones are searched for. Column 0 is any run of other
+#: signs, and a letter that is in no sample is in no phrase.
 COLUMNS = 62
 #: Letters that a segment holds, and code points of a batch.
 SEGMENT = 512
@@ -38,10 +40,10 @@ BATCH = 1 << 22
 
 
 def letter_codes(letters: list[str]) -> np.ndarray:
-    """A code for each code point: 0 if not a letter, its place in ``letters`` (lower case), or the shared one."""
+    """A code for each code point: 0 if not a letter, its place in ``letters`` (lower case), or one over the last."""
     rank = {c: i + 1 for i, c in enumerate(letters)}
     other = len(letters) + 1
-    out = np.zeros(0x110000, np.uint8)
+    out = np.zeros(0x110000, np.int32)
     for cp in range(0x110000):
         c = chr(cp)
         if c.isalpha():
@@ -55,8 +57,8 @@ def codes_of(text: str, table: np.ndarray) -> np.ndarray:
     return codes[np.concatenate([[True], (codes[1:] > 0) | (codes[:-1] > 0)])] if len(codes) else codes
 
 
-def suffix_automaton(codes: list[int], width: int) -> np.ndarray:
-    """Transitions of the suffix automaton of a sequence: a row per state (0 first), -1 where there is none."""
+def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
+    """Arcs of the suffix automaton of a sequence: next state by code for each state, the first being the start."""
     length, link, nexts = [0], [-1], [{}]
     last = 0
     for c in codes:
@@ -82,22 +84,25 @@ def suffix_automaton(codes: list[int], width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[now] = copy
         last = now
-    out = np.full((len(nexts), width), -1, np.int64)
-    for s, step in enumerate(nexts):
-        for c, t in step.items():
-            out[s, c] = t
-    return out
+    return nexts
 
 
 @dataclass
 class Model:
-    """``table``: cells of all languages, (state row times columns) * 2 + whether a phrase ended."""
+    """``table``: cells of all languages, (state row times columns) * 2 + whether a phrase ended.
+
+    ``rare_keys`` (row, rare letter) are sorted, with a cell each; ``rare_first`` has the cells with which a rare letter
+    begins a phrase, by language.
+    """
 
     langs: list[str]
     letters: np.ndarray
     table: np.ndarray
     starts: np.ndarray
     width: int
+    rare_keys: np.ndarray
+    rare_cells: np.ndarray
+    rare_first: np.ndarray
 
 
 def train(samples: dict[str, list[str]]) -> Model:
@@ -108,16 +113,32 @@ def train(samples: dict[str, list[str]]) -> Model:
             for c in t.lower():
                 if c.isalpha() and len(c) == 1:
                     counts[c] = counts.get(c, 0) + 1
-    letters = sorted(sorted(counts), key=lambda c: -counts[c])[:COLUMNS]
+    letters = sorted(sorted(counts), key=lambda c: -counts[c])
     table = letter_codes(letters)
-    pad = len(letters) + 2
+    common = min(len(letters), COLUMNS)
+    n_rare = len(letters) - common
+    pad = common + 2
     width = pad + 1
     blocks, starts, base = [], [], 0
-    for lang in sorted(samples):
+    keys: list[int] = []
+    cells_of: list[int] = []
+    rare_first = np.zeros((len(samples), n_rare), np.int64)
+    for k, lang in enumerate(sorted(samples)):
         joined: list[int] = []
         for t in samples[lang]:
             joined.extend([0, *codes_of(t, table).tolist()])
-        auto = suffix_automaton(joined[:LETTERS_PER_LANGUAGE], width)
+        arcs = suffix_automaton(joined[:LETTERS_PER_LANGUAGE])
+        auto = np.full((len(arcs), width), -1, np.int64)
+        rare_first[k] = 2 * (len(arcs) + base) * width + 1
+        for state, step in enumerate(arcs):
+            for c, to in step.items():
+                if c <= common:
+                    auto[state, c] = to
+                else:
+                    keys.append((state + base) * n_rare + c - common - 1)
+                    cells_of.append(2 * (to + base) * width)
+                    if state == 0:
+                        rare_first[k, c - common - 1] = cells_of[-1] + 1
         # after a letter that is in no phrase, the next one begins a phrase: a state of its own
         lost = len(auto)
         fresh = np.where(auto[0] >= 0, auto[0], lost)
@@ -129,11 +150,18 @@ def train(samples: dict[str, list[str]]) -> Model:
         base += len(cells)
     whole = np.concatenate(blocks) if blocks else np.zeros((0, width), np.int64)
     kind = np.int32 if whole.size * 2 < 2 ** 31 else np.int64
-    return Model(sorted(samples), table, whole.astype(kind).ravel(), np.array(starts, np.int64), width)
+    order = np.argsort(np.array(keys, np.int64), kind="stable")
+    return Model(sorted(samples), table, whole.astype(kind).ravel(), np.array(starts, np.int64), width,
+                 np.array(keys, np.int64)[order], np.array(cells_of, np.int64)[order], rare_first)
 
 
 def phrases(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Phrases of each text in each language, and the number of its letters. Long texts are parsed by segments."""
+    """Phrases of each text in each language, and the number of its letters."""
+    return parse(model, texts)[:2]
+
+
+def parse(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``phrases``, and how many letters are in no sample of the language. Long texts are parsed by segments."""
     coded = [codes_of(t, model.letters) for t in texts]
     n_letters = np.array([np.count_nonzero(c) for c in coded], np.int64)
     parts, owner = [], []
@@ -143,24 +171,37 @@ def phrases(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
                 parts.append(c[at:at + SEGMENT])
                 owner.append(i)
     counts = np.zeros((len(texts), len(model.langs)), np.int64)
+    unknown = np.zeros_like(counts)
     if not parts or not model.langs:
-        return counts, n_letters
+        return counts, n_letters, unknown
     sizes = np.array([len(p) for p in parts])
     order = np.argsort(-sizes, kind="stable")
     grid = np.full((int(sizes.max()), len(parts)), model.width - 1, np.int32)
     for lane, k in enumerate(order):
         grid[:len(parts[k]), lane] = parts[k]
+    other, n_rare = model.width - 2, model.rare_first.shape[1]
+    rare = np.where(sizes[order] > np.arange(len(grid))[:, None], grid - other, -1)  # the place among the rare letters
+    grid = np.minimum(grid, model.width - 1) if not n_rare else np.where(rare >= 0, other, grid)
+    rare[rare >= n_rare] = -1  # in no sample
+    some = (rare >= 0).any(axis=1)
     alive = np.searchsorted(-sizes[order], -np.arange(len(grid)), "left")  # lanes longer than the step
     state = np.repeat(model.starts[:, None], len(parts), axis=1).astype(model.table.dtype)
-    ended = np.zeros(state.shape, np.int32)
+    ended, lost = np.zeros(state.shape, np.int32), np.zeros(state.shape, np.int32)
     for step in range(len(grid)):
         n = alive[step]
         cell = model.table[state[:, :n] + grid[step, :n]]
+        if some[step]:
+            lanes = np.flatnonzero(rare[step, :n] >= 0)
+            key = state[:, lanes].astype(np.int64) // model.width * n_rare + rare[step, lanes]
+            at = np.minimum(np.searchsorted(model.rare_keys, key), len(model.rare_keys) - 1)
+            cell[:, lanes] = np.where(model.rare_keys[at] == key, model.rare_cells[at], model.rare_first[:, rare[step, lanes]])
         ended[:, :n] += cell & 1
         state[:, :n] = cell >> 1
+        lost[:, :n] += (state[:, :n] == model.starts[:, None]) & (grid[step, :n] > 0)
     for k in range(len(model.langs)):
         counts[:, k] = np.bincount(np.array(owner)[order], weights=ended[k], minlength=len(texts))
-    return counts, n_letters
+        unknown[:, k] = np.bincount(np.array(owner)[order], weights=lost[k], minlength=len(texts))
+    return counts, n_letters, unknown
 
 
 def predict(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray]:
@@ -169,12 +210,12 @@ def predict(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray]:
     first, size = 0, 0
     for i, t in enumerate([*texts, None]):
         if t is None or (size and size + len(t) > BATCH):
-            counts, letters = phrases(model, texts[first:i])
+            counts, letters, unknown = parse(model, texts[first:i])
             for k in range(i - first):
                 if not letters[k] or not model.langs:
                     langs.append("und")
                     continue
-                order = np.argsort(counts[k], kind="stable")
+                order = np.lexsort((unknown[k], counts[k]))
                 langs.append(model.langs[order[0]])
                 second = counts[k][order[1]] if len(order) > 1 else 0
                 out[first + k] = 1 - counts[k][order[0]] / second if second else 1.0
@@ -221,7 +262,8 @@ def identify(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for every row of ``docs``, from its whole text only.
 
     A null text, one without a letter, or any text if nothing could be learned, is ``und`` with score 0.
-    Among languages with equally few phrases the first by name wins, with score 0. Repeated rows each give a
+    Among languages with equally few phrases the one whose sample lacks the fewest of the text's letters wins, then the
+    first by name, with score 0. Repeated rows each give a
     row, a null doc_id is not held out, an empty table gives no rows.
     """
     model = fit(docs)
