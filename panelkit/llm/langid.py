@@ -2,20 +2,22 @@
 
 For each language a suffix automaton is built from a bounded sample of labelled
 text. A text is parsed from left to right into the longest phrases that occur
-in the sample; the language that needs the fewest phrases per letter wins. All
-samples have the same length, so the phrase counts compare as they are.
+in the sample. A phrase of a sample of n letters stands for log2(n) bits, so the phrases
+are weighted by that; the language that needs the fewest bits wins. Samples are
+filled to the same number of letters where a language has so many.
 
 The automata are tables: a row per state, a column per common letter, each
 cell with the next state and whether a phrase ended. Arcs of all other letters
 of the samples are a sorted list, so that every letter counts as itself. A batch of texts is cut into
-segments and all segments take one step at a time, in all languages at once.
+segments and all segments take one step at a time, in all languages at once. A segment is parsed again if
+the one before it ended in another state than it began with, so that cuts change nothing.
+Languages come in blocks of a bounded number; each block parses all texts and keeps the best two.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -23,19 +25,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.llm.common import text_or_empty
+from panelkit.session import materialize
 
-#: The fit reads at most this many labelled rows of a language, and this many letters from each and in all.
-SAMPLE_ROWS = 96
+#: The fit reads passages of at most SAMPLE_LETTERS characters until a language has LETTERS_PER_LANGUAGE codes (letters
+#: and gaps between words), at most SAMPLE_ROWS of them.
+SAMPLE_ROWS = 4_096
 SAMPLE_LETTERS = 400
 LETTERS_PER_LANGUAGE = 24_000
-#: At most this many languages are told apart; more are an error, not a cut.
-MOST_LANGUAGES = 200
+#: Languages whose automata are held at once, about 9 MB each. More are parsed block by block.
+BLOCK_LANGUAGES = 32
 
 #: Letters with a column of their own in the tables; arcs of rarer ones are searched for. Column 0 is any run of other
 #: signs, and a letter that is in no sample is in no phrase.
 COLUMNS = 62
-#: Letters that a segment holds, and code points of a batch.
+#: Letters that a segment holds in a text of at most MOST_SEGMENTS segments (a longer text has longer ones), and code
+#: points of a batch.
 SEGMENT = 512
+MOST_SEGMENTS = 256
 BATCH = 1 << 22
 
 
@@ -92,7 +98,7 @@ class Model:
     """``table``: cells of all languages, (state row times columns) * 2 + whether a phrase ended.
 
     ``rare_keys`` (row, rare letter) are sorted, with a cell each; ``rare_first`` has the cells with which a rare letter
-    begins a phrase, by language.
+    begins a phrase, by language. ``bits`` is the weight of a phrase, by language.
     """
 
     langs: list[str]
@@ -103,6 +109,7 @@ class Model:
     rare_keys: np.ndarray
     rare_cells: np.ndarray
     rare_first: np.ndarray
+    bits: np.ndarray
 
 
 def train(samples: dict[str, list[str]]) -> Model:
@@ -120,6 +127,7 @@ def train(samples: dict[str, list[str]]) -> Model:
     pad = common + 2
     width = pad + 1
     blocks, starts, base = [], [], 0
+    bits = np.zeros(len(samples))
     keys: list[int] = []
     cells_of: list[int] = []
     rare_first = np.zeros((len(samples), n_rare), np.int64)
@@ -127,7 +135,9 @@ def train(samples: dict[str, list[str]]) -> Model:
         joined: list[int] = []
         for t in samples[lang]:
             joined.extend([0, *codes_of(t, table).tolist()])
-        arcs = suffix_automaton(joined[:LETTERS_PER_LANGUAGE])
+        joined = joined[:LETTERS_PER_LANGUAGE]
+        bits[k] = np.log2(len(joined) + 1)
+        arcs = suffix_automaton(joined)
         auto = np.full((len(arcs), width), -1, np.int64)
         rare_first[k] = 2 * (len(arcs) + base) * width + 1
         for state, step in enumerate(arcs):
@@ -152,7 +162,7 @@ def train(samples: dict[str, list[str]]) -> Model:
     kind = np.int32 if whole.size * 2 < 2 ** 31 else np.int64
     order = np.argsort(np.array(keys, np.int64), kind="stable")
     return Model(sorted(samples), table, whole.astype(kind).ravel(), np.array(starts, np.int64), width,
-                 np.array(keys, np.int64)[order], np.array(cells_of, np.int64)[order], rare_first)
+                 np.array(keys, np.int64)[order], np.array(cells_of, np.int64)[order], rare_first, bits)
 
 
 def phrases(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -161,19 +171,42 @@ def phrases(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def parse(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``phrases``, and how many letters are in no sample of the language. Long texts are parsed by segments."""
+    """``phrases``, and how many letters are in no sample of the language.
+
+    Segments are parsed side by side from the start and then again from the state in which the one before ended, until
+    that state is the one they were parsed from: the result is that of the uncut text.
+    """
     coded = [codes_of(t, model.letters) for t in texts]
     n_letters = np.array([np.count_nonzero(c) for c in coded], np.int64)
     parts, owner = [], []
     for i, c in enumerate(coded):
         if n_letters[i]:
-            for at in range(0, len(c), SEGMENT):
-                parts.append(c[at:at + SEGMENT])
+            size = max(SEGMENT, -(-len(c) // MOST_SEGMENTS))
+            for at in range(0, len(c), size):
+                parts.append(c[at:at + size])
                 owner.append(i)
     counts = np.zeros((len(texts), len(model.langs)), np.int64)
     unknown = np.zeros_like(counts)
     if not parts or not model.langs:
         return counts, n_letters, unknown
+    own = np.array(owner)
+    follows = np.concatenate([[False], own[1:] == own[:-1]])
+    begin = np.repeat(model.starts[:, None], len(parts), axis=1).astype(model.table.dtype)
+    end, ended, lost = np.empty_like(begin), np.zeros(begin.shape, np.int32), np.zeros(begin.shape, np.int32)
+    todo = np.arange(len(parts))
+    while len(todo):
+        end[:, todo], ended[:, todo], lost[:, todo] = _walk(model, [parts[k] for k in todo], begin[:, todo])
+        before = np.where(follows, np.roll(end, 1, axis=1), begin)
+        todo = np.flatnonzero((before != begin).any(axis=0))
+        begin = before
+    for k in range(len(model.langs)):
+        counts[:, k] = np.bincount(own, weights=ended[k], minlength=len(texts))
+        unknown[:, k] = np.bincount(own, weights=lost[k], minlength=len(texts))
+    return counts, n_letters, unknown
+
+
+def _walk(model: Model, parts: list[np.ndarray], begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The states (a row per language) in which segments end, the phrases begun and the letters in no sample."""
     sizes = np.array([len(p) for p in parts])
     order = np.argsort(-sizes, kind="stable")
     grid = np.full((int(sizes.max()), len(parts)), model.width - 1, np.int32)
@@ -185,7 +218,7 @@ def parse(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.nd
     rare[rare >= n_rare] = -1  # in no sample
     some = (rare >= 0).any(axis=1)
     alive = np.searchsorted(-sizes[order], -np.arange(len(grid)), "left")  # lanes longer than the step
-    state = np.repeat(model.starts[:, None], len(parts), axis=1).astype(model.table.dtype)
+    state = begin[:, order]
     ended, lost = np.zeros(state.shape, np.int32), np.zeros(state.shape, np.int32)
     for step in range(len(grid)):
         n = alive[step]
@@ -198,30 +231,37 @@ def parse(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.nd
         ended[:, :n] += cell & 1
         state[:, :n] = cell >> 1
         lost[:, :n] += (state[:, :n] == model.starts[:, None]) & (grid[step, :n] > 0)
-    for k in range(len(model.langs)):
-        counts[:, k] = np.bincount(np.array(owner)[order], weights=ended[k], minlength=len(texts))
-        unknown[:, k] = np.bincount(np.array(owner)[order], weights=lost[k], minlength=len(texts))
-    return counts, n_letters, unknown
+    back = np.argsort(order)
+    return state[:, back], ended[:, back], lost[:, back]
 
 
-def predict(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray]:
-    """The language of each text and, as a score, how many fewer phrases it takes than the second best."""
-    langs, out = [], np.zeros(len(texts))
+#: What a block of languages says of a text: bits, letters in no sample and name of the best two, or null names.
+BEST = "b1 double, u1 long, l1 string, b2 double, u2 long, l2 string"
+
+
+def best_two(model: Model, texts: list[str]) -> pd.DataFrame:
+    """The columns of BEST for each text; null names if it has no letter or there is no such language."""
+    out: list[tuple] = []
     first, size = 0, 0
     for i, t in enumerate([*texts, None]):
         if t is None or (size and size + len(t) > BATCH):
             counts, letters, unknown = parse(model, texts[first:i])
+            bits = counts * model.bits
             for k in range(i - first):
-                if not letters[k] or not model.langs:
-                    langs.append("und")
-                    continue
-                order = np.lexsort((unknown[k], counts[k]))
-                langs.append(model.langs[order[0]])
-                second = counts[k][order[1]] if len(order) > 1 else 0
-                out[first + k] = 1 - counts[k][order[0]] / second if second else 1.0
+                order = np.lexsort((unknown[k], bits[k]))[:2].tolist() if letters[k] else []
+                row = [x for j in order for x in (float(bits[k][j]), int(unknown[k][j]), model.langs[j])]
+                out.append(tuple(row + [None] * (6 - len(row))))
             first, size = i, 0
         size += len(t or "")
-    return langs, out
+    return pd.DataFrame(out, columns=[c.split()[0] for c in BEST.split(", ")]).astype({"u1": "Int64", "u2": "Int64"})
+
+
+def predict(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray]:
+    """The language of each text and, as a score, how many fewer bits it takes than the second best."""
+    best = best_two(model, texts)
+    langs = [x if isinstance(x, str) else "und" for x in best["l1"]]
+    b1, b2 = best["b1"].to_numpy(float), best["b2"].to_numpy(float)
+    return langs, np.where(best["l1"].isna(), 0.0, np.where(b2 > 0, 1 - b1 / np.where(b2 > 0, b2, 1.0), 1.0))
 
 
 def held_out() -> Column:
@@ -229,50 +269,92 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame) -> Model:
-    """Train on a bounded, hash-ordered sample of rows with a language that are not held out.
+def _room(docs: DataFrame) -> list[tuple[str, float]]:
+    """Each language that may be learned, with the share of its rows (by hash) that fills its sample about twice."""
+    ids = (_learnable(docs).groupBy("doc_id", "lang").agg(F.max("chars").alias("chars"))  # copies of an id count once
+           .groupBy("lang").agg(F.sum("chars").alias("chars"), F.count(F.lit(1)).alias("n")).collect())
+    return sorted((r.lang, min(1.0, max((2 * LETTERS_PER_LANGUAGE + 20 * SAMPLE_LETTERS) / max(1, r.chars), 50 / r.n)))
+                  for r in ids)
 
-    Per language at most SAMPLE_ROWS rows, of each a passage of SAMPLE_LETTERS characters.
-    """
-    rows = docs.select("doc_id", F.col("lang").cast("string").alias("lang")) \
-        .where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    names = [r.lang for r in rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect()]
-    if len(names) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    picked = None
-    for name in sorted(names):
-        # copies of an id count once
-        one = rows.where(F.col("lang") == name).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
-        picked = one if picked is None else picked.unionByName(one)
-    if picked is None:
-        return train({})
-    # a passage from anywhere in the text, by the row's hash
-    room = F.greatest(F.length("text") - SAMPLE_LETTERS, F.lit(0)) + 1
-    passage = F.substring(F.col("text"), (F.pmod(F.xxhash64("doc_id"), room) + 1).cast("int"), F.lit(SAMPLE_LETTERS))
-    texts = (docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(picked.distinct()), "doc_id")
-             .groupBy("doc_id", "lang").agg(F.min(passage).alias("text")).collect())
+
+def _learnable(docs: DataFrame) -> DataFrame:
+    """``doc_id, lang, chars, h, passage`` of rows with a language that are not held out; passages from anywhere in the text."""
+    text, h = text_or_empty(), F.xxhash64("doc_id")
+    room = F.greatest(F.length(text) - SAMPLE_LETTERS, F.lit(0)) + 1
+    return (docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+            .select("doc_id", F.col("lang").cast("string").alias("lang"),
+                    F.least(F.length(text), F.lit(SAMPLE_LETTERS)).cast("long").alias("chars"), h.alias("h"),
+                    F.substring(text, (F.pmod(h, room) + 1).cast("int"), F.lit(SAMPLE_LETTERS)).alias("passage")))
+
+
+def _samples(docs: DataFrame, rooms: list[tuple[str, float]]) -> dict[str, list[str]]:
+    """Passages by language, in hash order, until a sample is full. About twice as many are read."""
+    if not rooms:
+        return {}
+    near = F.broadcast(docs.sparkSession.createDataFrame(rooms, "lang string, share double"))  # a block of languages
+    rows = (_learnable(docs).join(near, "lang").where(F.pmod(F.col("h"), F.lit(1 << 30)) < F.col("share") * (1 << 30))
+            .groupBy("doc_id", "lang", "h").agg(F.min("passage").alias("text")).collect())
     samples: dict[str, list[str]] = {}
-    for r in sorted(texts, key=lambda r: (crc32(str(r.doc_id).encode()), r.doc_id, r.text)):
-        if any(c.isalpha() for c in r.text):
+    letters: dict[str, int] = {}
+    for r in sorted(rows, key=lambda r: (r.h % (1 << 30), r.h, r.doc_id, r.text)):
+        n = sum(c.isalpha() for c in r.text)
+        if n and letters.get(r.lang, 0) < LETTERS_PER_LANGUAGE and len(samples.get(r.lang, [])) < SAMPLE_ROWS:
             samples.setdefault(r.lang, []).append(r.text)
-    return train(samples)
+            letters[r.lang] = letters.get(r.lang, 0) + n
+    return samples
+
+
+def fit(docs: DataFrame) -> Model:
+    """Train on a bounded, hash-ordered sample of rows with a language that are not held out, all languages at once."""
+    return train(_samples(docs, _room(docs)))
+
+
+def _said(model: Model) -> Column:
+    @F.pandas_udf(BEST)
+    def said(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            yield best_two(model, texts.tolist())
+
+    return said(text_or_empty())
+
+
+def _answer(best: Column) -> list[Column]:
+    """Language and score of the best two by bits, letters in no sample and name, null if there is none."""
+    first, second = F.get(best, 0), F.get(best, 1)
+    score = F.when(second["b"] > 0, 1 - first["b"] / second["b"]).otherwise(1.0)
+    return [F.coalesce(first["l"], F.lit("und")).alias("lang_pred"),
+            F.when(first["l"].isNull(), 0.0).otherwise(score).alias("score")]
+
+
+def _two(r: Column) -> Column:
+    parts = [F.struct(r[f"b{i}"].alias("b"), r[f"u{i}"].alias("u"), r[f"l{i}"].alias("l")) for i in (1, 2)]
+    return F.filter(F.array(*parts), lambda p: p["l"].isNotNull())
 
 
 def identify(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for every row of ``docs``, from its whole text only.
 
     A null text, one without a letter, or any text if nothing could be learned, is ``und`` with score 0.
-    Among languages with equally few phrases the one whose sample lacks the fewest of the text's letters wins, then the
-    first by name, with score 0. Repeated rows each give a
-    row, a null doc_id is not held out, an empty table gives no rows.
+    Among languages with equally few bits the one whose sample lacks the fewest of the text's letters wins, then the
+    first by name, with score 0. A language without a letter to learn from is never an answer. Repeated rows each give a
+    row, a null doc_id is not held out, an empty table gives no rows. There may be any number of languages: up to
+    BLOCK_LANGUAGES are asked in one pass without a shuffle; beyond that each block is a pass, and its answers
+    for distinct texts of an id, not the texts, are merged.
     """
-    model = fit(docs)
-
-    @F.pandas_udf("lang string, score double")
-    def language(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            langs, score = predict(model, texts.tolist())
-            yield pd.DataFrame({"lang": langs, "score": score})
-
-    return (docs.select("doc_id", held_out().alias("held_out"), language(text_or_empty()).alias("l"))
-            .select("doc_id", "held_out", F.col("l.lang").alias("lang_pred"), F.col("l.score").alias("score")))
+    rooms = _room(docs)
+    if len(rooms) <= BLOCK_LANGUAGES:
+        rows = docs.select("doc_id", held_out().alias("held_out"), _said(train(_samples(docs, rooms))).alias("r"))
+        return rows.select("doc_id", "held_out", *_answer(_two(F.col("r"))))
+    key = ["doc_id", "text_hash", "chars"]
+    parts = None
+    for at in range(0, len(rooms), BLOCK_LANGUAGES):
+        model = train(_samples(docs, rooms[at:at + BLOCK_LANGUAGES]))
+        part = (docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_hash"), F.length(text_or_empty()).alias("chars"),
+                            _said(model).alias("r"))
+                .groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("r").alias("r")))
+        part = materialize(part.select(*key, "n", _two(F.col("r")).alias("best")))  # one block's automata are held at a time
+        parts = part if parts is None else parts.unionByName(part)
+    best = F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, 2)
+    rows = parts.groupBy(*key).agg(F.max("n").alias("n"), best.alias("best"))
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    return rows.select("doc_id", held_out().alias("held_out"), *_answer(F.col("best")))
