@@ -3,7 +3,8 @@
 A word is the sum of hashed embeddings: of the whole word and of its prefixes,
 so that inflected forms share what their stem has learned. Filters of several
 widths run over the words, max pooling keeps each filter's strongest answer
-anywhere in the text, and a logistic layer gives the score.
+anywhere in the text, and a logistic layer gives the score. Embeddings begin with the word's
+leaning towards toxic texts of the fit, and what fewer than LEAST_TEXTS of these texts hold is no input.
 
 Words are hashed by numpy over the bytes of many texts at once. At scoring time
 each filter's share of each hash bucket is a table row, so a text costs table
@@ -47,12 +48,16 @@ PASSES = 9_000
 BATCH = 32
 RATE = 0.15
 SEED = 7
-#: Under this F1 on the rows that the weights have not seen, the threshold is at least that of all rows.
-TRUSTED = 0.8
-#: A language takes its own threshold if it has this many unseen rows of each class. With fewer labelled rows in all
-#: it is not told apart.
+#: A threshold from n rows of the rarer class that the weights have not seen counts n times, what it is drawn towards
+#: PRIOR times: the threshold of all languages for a language, and for that one the logit of CUT, which the weights fit.
+PRIOR = 20
+#: With fewer labelled rows than this a language is not told apart.
 LEAST_ROWS = 5
 
+#: A bucket of fewer texts of the fit is no input; an embedding begins with its leaning towards toxic texts times this.
+LEAST_TEXTS = 3
+LEAN = 0.1
+
 #: Bytes of text read at a time.
 BLOCK = 1 << 19
 N_HASH = 1 + len(PREFIXES)
@@ -240,7 +245,8 @@ def _language_weights(hashes: list[np.ndarray], langs: np.ndarray, n_lang: int)
 
 
 def train(texts: list[bytes], labels: list[int], langs: list[str | None]) -> Model:
-    """Fit filters, embeddings and thresholds. Every fifth row is held back for the thresholds.
+    """Fit filters, embeddings and thresholds. Every fifth row is held back for the thresholds, which are drawn
+    towards CUT the more the fewer these rows are.
 
     Without rows of both classes the model gives every text the share of toxic rows (0 without rows).
     """
@@ -266,6 +272,10 @@ def train(texts: list[bytes], labels: list[int], langs: list[str | None]) -> Mod
         return model
     held = np.arange(len(docs)) % 5 == 0
     fit = np.flatnonzero(~held) if len(set(y[~held])) == 2 else np.arange(len(docs))
+    heard, lean = _leaning([docs[i] for i in fit], y[fit])
+    emb[~heard] = 0
+    emb[:, 0] += lean
+    taps[0] = np.abs(taps[0])
     g_emb, g_taps = np.full(BUCKETS, 1e-2), np.full(taps.shape, 1e-2)
     g_out, g_ob, g_bias = np.full(n_out, 1e-2), 1e-2, {w: np.full(FILTERS, 1e-2) for w in WIDTHS}
     first_tap = {w: TAPS.index((w, 0)) for w in WIDTHS}
@@ -304,7 +314,7 @@ def train(texts: list[bytes], labels: list[int], langs: list[str | None]) -> Mod
                                 col = (first_tap[w] + j) * FILTERS + f
                                 d_taps[:, col] += g[f] * x[p]
                                 for b in h[p]:
-                                    if b:
+                                    if heard[b]:
                                         d_emb["row"].append(b)
                                         d_emb["grad"].append((g[f], col))
             m = len(part)
@@ -329,22 +339,38 @@ def train(texts: list[bytes], labels: list[int], langs: list[str | None]) -> Mod
     model.table[0] = 0
     model.table[:, len(TAPS) * FILTERS:] = weights
     model.out, model.out_bias, model.bias = out, out_bias, bias
-    check = np.flatnonzero(held) if y[held].sum() >= LEAST_ROWS and (1 - y[held]).sum() >= LEAST_ROWS \
-        else np.arange(len(docs))
-    z, lang = logits(model, [texts[i] for i in check], reader)
+    check = np.flatnonzero(held) if len(fit) < len(docs) else fit[:0]
+    z, lang = logits(model, [texts[i] for i in check], reader) if len(check) else (np.zeros(0), np.zeros(0, int))
     at_cut = np.log(CUT / (1 - CUT))
-    cut = threshold(z, y[check])
-    hits, picked = y[check][z > cut].sum(), (z > cut).sum()
-    if 2 * hits < TRUSTED * (picked + y[check].sum()):  # too little learned: spare clean rows
-        cut = max(cut, threshold(logits(model, texts, reader)[0], y))
-    model.shift[:] = at_cut - cut
-    for k in range(len(names)):
+    every = _drawn(at_cut, z, y[check])
+    for k in range(len(model.shift)):
         own = lang == k
-        if min((y[check][own] == 1).sum(), (y[check][own] == 0).sum()) >= LEAST_ROWS:
-            model.shift[k] = at_cut - threshold(z[own], y[check][own])
+        model.shift[k] = at_cut - (_drawn(every, z[own], y[check][own]) if names else every)
     return model
 
 
+def _drawn(towards: float, z: np.ndarray, y: np.ndarray) -> float:
+    """The threshold of some rows, drawn towards another one the more the fewer they are."""
+    n = min((y == 1).sum(), (y == 0).sum())
+    return (n * threshold(z, y) + PRIOR * towards) / (n + PRIOR) if n else towards
+
+
+def _leaning(docs: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets that LEAST_TEXTS texts hold, and how much more of the toxic ones hold them (log odds over their deviation).
+
+    A word that one or two texts hold tells these texts apart from the others, not toxic from clean ones; it is no input.
+    """
+    n = np.zeros((2, BUCKETS))
+    for h, toxic in zip(docs, y):
+        n[int(toxic), np.unique(h)] += 1
+    known = n.sum(axis=0) >= LEAST_TEXTS
+    known[0] = False
+    of = np.array([[(y == 0).sum()], [(y == 1).sum()]], np.float64)
+    odds = np.log((n + 0.5) / (of - n + 0.5))
+    z = (odds[1] - odds[0]) / np.sqrt((1 / (n + 0.5)).sum(axis=0))
+    return known, np.where(known, np.clip(z, 0, 6) * LEAN, 0).astype(np.float32)
+
+
 def threshold(z: np.ndarray, y: np.ndarray) -> float:
     """The cut between two values that gives the best F1; among equals, the middle of the widest gap."""
     order = np.argsort(z, kind="stable")
@@ -468,7 +494,8 @@ def calibrate(model: Model, raw: DataFrame, marks: DataFrame, seen: list) -> Mod
     """Set the thresholds from all labelled rows of ``raw`` (doc_id, z, k), by counts of logits in bins.
 
     Rows that the weights have learned from score better than they should. They count through the unseen rows
-    of their class and language, which are weighted up to the number of all. Copies of a row count once.
+    of their class and language, which are weighted up to the number of all. Copies of a row count once. The fewer unseen
+    rows there are, the more a threshold is drawn towards the general one (PRIOR).
     """
     if not model.out.any():  # one class only
         return model
@@ -490,17 +517,15 @@ def calibrate(model: Model, raw: DataFrame, marks: DataFrame, seen: list) -> Mod
     fair = unseen * (every.sum(axis=2) / np.maximum(n, 1))[:, :, None]
     at_cut = np.log(CUT / (1 - CUT))
     total = unseen.sum(axis=0) * (every.sum(axis=(0, 2)) / np.maximum(n.sum(axis=0), 1))[:, None]
-    if n.sum(axis=0).min() < LEAST_ROWS:
-        total = every.sum(axis=0)
-    cut = counted_cut(values, total[1], total[0])
-    hits, picked = total[1][values > cut].sum(), total[:, values > cut].sum()
-    if 2 * hits < TRUSTED * (picked + total[1].sum()):  # too little learned: spare clean rows
-        cut = max(cut, counted_cut(values, every[:, 1].sum(axis=0), every[:, 0].sum(axis=0)))
+    cut = at_cut
+    if (least := n.sum(axis=0).min()):
+        cut = (least * counted_cut(values, total[1], total[0]) + PRIOR * at_cut) / (least + PRIOR)
     model.shift[:] = at_cut - cut
     for k in range(n_lang):
-        if n[k].min() >= LEAST_ROWS:
+        if (least := n[k].min()):
             own = fair[k].sum(axis=0) > 0
-            model.shift[k] = at_cut - counted_cut(values[own], fair[k][1][own], fair[k][0][own])
+            own_cut = counted_cut(values[own], fair[k][1][own], fair[k][0][own])
+            model.shift[k] = at_cut - (least * own_cut + PRIOR * cut) / (least + PRIOR)
     return model
 
 

@@ -4,10 +4,11 @@ import random
 from zlib import crc32
 
 import numpy as np
+import pytest
 
 from pyspark.sql import functions as F
 
-from panelkit.llm import langid, toxicity
+from panelkit.llm import langid, queries, toxicity
 
 SCHEMA = "doc_id long, text string, lang string"
 MARK = {"en": "vequ", "xx": "zorba"}
@@ -84,3 +85,30 @@ def test_long_texts_score_as_a_whole(monkeypatch):
         monkeypatch.setattr(toxicity, "BLOCK", size)
         parts = toxicity.logits(model, texts, toxicity.Reader())
         assert np.allclose(parts[0], whole[0], atol=1e-5) and (parts[1] == whole[1]).all()
+
+
+@pytest.mark.parametrize("size, caught, alarms", [("sf0.01", 7, 3), ("sf0.1", 106, 11)])
+def test_held_out_rows(spark, size, caught, alarms):
+    folder = f"/root/testdata/{size}"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where("toxic is not null").select("doc_id", "toxic")
+    rows = queries.QUERIES["op8_toxicity"](spark, folder).where("held_out").join(labels, "doc_id").collect()
+    assert {r.toxic for r in rows} == {0, 1}
+    assert sum(r.toxic == 1 and r.predicted == 1 for r in rows) >= caught
+    assert sum(r.toxic == 0 and r.predicted == 1 for r in rows) <= alarms
+
+
+def test_few_rows_of_one_class_in_the_fit():
+    model = toxicity.train([b"bad words", b"good words"], [1, 0], [None, None])
+    assert np.isfinite(toxicity.scores(model, [b"", b"bad", b"good words"], toxicity.Reader())).all()
+    assert toxicity._drawn(1.0, np.array([3.0]), np.array([1])) == 1.0
+
+
+def test_dropped_rows_are_those_that_score_as_toxic(spark):
+    docs, labels, _ = corpus(spark, [("en", 1, 150), ("en", 0, 150)])
+    docs = docs.union(spark.createDataFrame([(None, None, None), (900, "", "en"), (900, "", "en")], SCHEMA))
+    bad = {r.doc_id for r in toxicity.score_documents(docs, labels).where("predicted = 1").collect()}
+    kept = toxicity.drop_toxic(docs, labels)
+    assert kept.columns == docs.columns and 120 <= len(bad) <= 160
+    want = [tuple(r) for r in docs.collect() if r.doc_id not in bad]
+    assert None not in bad and 900 not in bad  # no words, no reason
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, want))
