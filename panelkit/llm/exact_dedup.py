@@ -5,8 +5,8 @@ the smallest identifier and a count. The runs then meet in rounds on a
 binomial tree of fan-in ``FAN_IN``: a run starts at a node with the number
 ``(o_1 .. o_R)`` in base ``FAN_IN``; round r replaces the digit ``o_r`` by the
 r-th digit of the digest, so the ``FAN_IN`` nodes that differ only in that
-digit exchange parts of their runs. Each node merges what it gets (a sorted
-stream) and again keeps one row per digest. After R rounds all rows of a digest
+digit exchange parts of their runs. Each node brings what it gets into order (by Spark's sort,
+which merges spilled runs, not the ones that were sent) and again keeps one row per digest. After R rounds all rows of a digest
 are in the node that its own digits name. R follows the number of rows, so a
 node holds about ``ROWS_PER_NODE`` digests at any size.
 
@@ -33,6 +33,8 @@ from panelkit.session import materialize
 #: Nodes that exchange runs in a round (a power of two), and digests a node should hold.
 FAN_IN = 4
 ROWS_PER_NODE = 1_000_000
+#: A group of more than this share of all rows is joined by broadcast; there are fewer than HOT such groups.
+HOT = 1_000
 
 #: White space runs that count as one space.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -107,7 +109,7 @@ def merge_runs(rows: DataFrame) -> DataFrame:
             return F.floor(c / place) % FAN_IN
 
         node = (F.col("origin") + (digit(home) - digit(F.col("origin"))) * place).cast("int")
-        runs = _sorted_run(runs.withColumn("origin", node).repartition(nodes, "origin"))
+        runs = _sorted_run(runs.withColumn("origin", node).repartitionById(nodes, "origin"))
     return runs.drop("origin")
 
 
@@ -122,8 +124,11 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     Columns other than doc_id and text are ignored, whatever their names.
     """
     rows = materialize(digests(docs))
-    groups = merge_runs(rows)
-    return (rows.join(groups, _VERIFY)
+    groups = materialize(merge_runs(rows))
+    hot = F.col("group_size") > rows.count() / HOT
+    large = F.broadcast(groups.where(hot))
+    return (rows.join(large, _VERIFY).unionByName(
+                rows.join(large.select(*_VERIFY), _VERIFY, "left_anti").join(groups.where(~hot), _VERIFY))
             .select("doc_id", "keep_id", "group_size",
                     F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
                     F.lower(F.hex("sha")).alias("text_sha256")))
