@@ -26,7 +26,7 @@ from pyspark.sql.types import StructType
 
 from panelkit.constants import SNAPSHOT_FLOOR
 from panelkit.sources.snapshots import (PARTITION_FIELDS, manifest_label, manifest_part, merge_parts, last_after,
-                                        partition_dates)
+                                        open_files, partition_dates)
 from panelkit.streaming import versions
 
 #: Committed versions that stay for readers of an older one.
@@ -64,7 +64,8 @@ def ingest_available_now(spark: SparkSession, landing_root: str, record_schema:
         # foreachBatch is at-least-once: each batch owns a folder that a retry
         # overwrites, so a replayed batch never duplicates rows
         session, own = batch.sparkSession, f"batch={batch_id}"
-        batch.write.mode("overwrite").partitionBy("dt", "lang").parquet(f"{mirror_path}/{own}")
+        with open_files(session):
+            batch.write.mode("overwrite").partitionBy("dt", "lang").parquet(f"{mirror_path}/{own}")
         dates = partition_dates(session, f"{mirror_path}/{own}")
         if not dates:
             return
