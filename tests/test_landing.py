@@ -103,3 +103,24 @@ def test_landing_and_mirror_write_with_open_files(spark, monkeypatch):
         seen.clear()
         assert rows(ingest.read_curated(spark, f"{base}/curated")) == rows(df.where(F.col("dt") == DAYS[2]))
         assert spark.conf.get(KEY, None) is None
+
+
+def test_partitioned_roundtrip_lands_compressed_and_counts_every_record(spark, monkeypatch):
+    from panelkit.plans import q_sources as Q
+    base, roots = work_dir(spark, "t_roundtrip"), []
+    lines = spark.range(0, 90, 1, 2).select(
+        F.col("id").alias("l_orderkey"), F.col("id").alias("l_partkey"), (F.col("id") % 7 + 1).alias("l_linenumber"),
+        F.when(F.col("id") % 9 > 0, F.lit("A")).alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+        F.expr("date_add(DATE'1996-01-01', CAST(id % 4 AS INT))").alias("l_shipdate"))
+    lines.unionAll(lines.limit(5)).write.parquet(f"{base}/lineitem.parquet")
+    monkeypatch.setattr(S, "FILE_RECORDS", 10, raising=False)
+    monkeypatch.setattr(Q, "work_dir", lambda *a: roots.append(work_dir(*a)) or roots[-1])
+    got = {(r.series_key, r.publication_date): r.events_on_date for r in Q.q_partitioned_roundtrip(spark, base).collect()}
+    want = {}
+    for (i,) in spark.read.parquet(f"{base}/lineitem.parquet").select("l_orderkey").collect():
+        key = ("A" if i % 9 else None, dt.date(1996, 1, 8) + dt.timedelta(days=i % 4))  # the newest restates by a week
+        want[key] = want.get(key, 0) + 1
+    assert got == want and sum(got.values()) == 95
+    files = spark.read.text(roots[0]).groupBy(F.input_file_name().alias("file")).count().collect()
+    assert sum(r["count"] for r in files) == 3 * 95 and max(r["count"] for r in files) <= 10
+    assert all(r.file.endswith(".json.gz") for r in files)
