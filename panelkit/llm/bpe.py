@@ -170,7 +170,8 @@ def normalize(text: str) -> str:
 class Tokenizer:
     """Encodes and decodes texts with one automaton.
 
-    Remembers the words it has read, and the runs between white space, which hold a word and its punctuation.
+    Made anew in each task, so that idle Python workers hold none. Remembers the words it has read, and the
+    runs between white space, which hold a word and its punctuation.
     """
 
     def __init__(self, automaton: Automaton):
@@ -233,17 +234,6 @@ class Tokenizer:
         return " ".join(map(self.automaton.labels.__getitem__, ids))
 
 
-#: The tokenizer of a Python worker, kept from task to task with what it remembers.
-_KEPT: dict[str, Tokenizer] = {}
-
-
-def tokenizer_of(automaton: Automaton) -> Tokenizer:
-    if automaton.name not in _KEPT:
-        _KEPT.clear()
-        _KEPT[automaton.name] = Tokenizer(automaton)
-    return _KEPT[automaton.name]
-
-
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of each whole text of ``docs``.
 
@@ -254,7 +244,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     automaton = load(path)
 
     def make():
-        tokenizer = tokenizer_of(automaton)
+        tokenizer = Tokenizer(automaton)
 
         def row(text: str) -> tuple:
             data = tokenizer.encode(text)
@@ -272,7 +262,7 @@ def encode_ids(docs: DataFrame, path: str) -> DataFrame:
     automaton = load(path)
 
     def make():
-        tokenizer = tokenizer_of(automaton)
+        tokenizer = Tokenizer(automaton)
         return lambda text: (np.frombuffer(tokenizer.encode(text), "<u4").tolist(),)
 
     rows = docs.select("doc_id", text_or_empty().alias("text_in"))
@@ -284,7 +274,7 @@ def decode_ids(rows: DataFrame, path: str) -> DataFrame:
     automaton = load(path)
 
     def make():
-        tokenizer = tokenizer_of(automaton)
+        tokenizer = Tokenizer(automaton)
         return lambda ids: (tokenizer.decode(ids or []),)
 
     return map_columns(rows, make, "text string", ["doc_id"], ["ids"])

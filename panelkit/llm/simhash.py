@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
-from panelkit.llm.common import map_columns, one_row, text_or_empty, whole_row
+from panelkit.llm.common import files_for, map_columns, one_row, text_or_empty, whole_row
 from panelkit.llm.components import connected_components
 from panelkit.session import materialize
 
@@ -40,6 +40,8 @@ MIN_SHARED = 8 - MAX_BITS
 BLOCK = 1 << 16
 #: In lists up to this long each pair is compared; in longer ones a spanning forest is grown.
 SHORT_LIST = 8
+#: Distinct fingerprints that a checkpointed file should hold; each makes a posting for each choice.
+ROWS_PER_FILE = 5_000
 #: From this length on, neighbours are looked up in a bitmap.
 LONG_LIST = 4096
 
@@ -198,9 +200,11 @@ def linked_groups(rows: DataFrame) -> DataFrame:
     """``fp, root, component_id`` for each distinct fp of ``rows`` (doc_id, fp).
 
     ``root`` names the group; ``component_id`` is the smallest doc_id in it.
+    ``rows`` should be materialised: it is counted first.
     """
-    firsts = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = connected_components(links(firsts.select("fp")))
+    files = files_for(rows.count(), ROWS_PER_FILE)
+    firsts = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")).coalesce(files))
+    roots = connected_components(links(firsts.select("fp")), files)
     linked = firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
         .withColumn("root", F.coalesce("root", "fp"))
     best = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
