@@ -14,14 +14,16 @@ a state has an arc follows from the rows of the right parts of the state's label
 and the left parts of the arc's. Found arcs are kept in a transition table.
 
 A word is read left to right, trying the arcs of a state by the length of their
-label, longest first, and going back where a state has no arc that fits. Every
-prefix of a word has one accepted sequence, so no place is visited twice.
+label, longest first, and going back where a state has no arc that fits. The
+labels that begin at a place are a chain, each leading to the next shorter one.
+Every prefix of a word has one accepted sequence, so no place is visited twice.
 Decoding emits the labels of the arcs.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterable
 from hashlib import sha256
 from struct import pack
@@ -34,15 +36,19 @@ from pyspark.sql import DataFrame
 
 from panelkit.llm.common import map_columns, text_or_empty
 
-#: Words whose arcs a task remembers, entries of its transition table, and the longest word remembered.
+#: Words whose arcs a task remembers (up to twice as many), entries of its transition table, and the longest word remembered.
 REMEMBER_WORDS = 200_000
 REMEMBER_ARCS = 500_000
 REMEMBER_LENGTH = 64
+#: Letters of a text whose words are split at a time, up to the next blank.
+PIECE = 1_000_000
 
 #: Fixed values of the tokenizer family: special tokens, word end, and the pattern of words.
 SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 WORD_END = "</w>"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The pattern for lower-case ASCII; what begins a word tells which alternative fits.
+ASCII_PATTERN = r"[a-z]+|[0-9]|'(?:[stmd]|[rv]e|ll)|[^\x09-\x0D\x20a-z0-9]+"
 
 
 def byte_letters() -> list[str]:
@@ -83,8 +89,16 @@ class Automaton:
                 kind = self.final if token.endswith(WORD_END) else self.inner
                 kind[b"".join(letters[c] for c in token.removesuffix(WORD_END))] = i
         self.longest = max(map(len, [*self.inner, *self.final]))
-        #: Beginnings of inner labels: where none goes on, no longer label fits.
-        self.begins = {x[:k] for x in self.inner for k in range(1, len(x) + 1)}
+        #: Beginnings of inner labels, to the longest inner label that begins them, and the next shorter one of each
+        #: label. Where a beginning is missing, no longer label fits.
+        self.begins: dict[bytes, int] = {}
+        self.shorter, self.size = [-1] * n, [0] * n
+        for x, i in sorted(self.inner.items(), key=lambda item: len(item[0])):
+            self.size[i] = len(x)
+            for k in range(1, len(x)):
+                self.begins.setdefault(x[:k], self.begins.get(x[:k - 1], -1))
+            self.shorter[i] = self.begins.get(x[:-1], -1)
+            self.begins[x] = i
 
     def has_arc(self, state: int, label: int) -> bool:
         """Whether the state to which the arcs of one label lead has an arc of the other."""
@@ -103,48 +117,47 @@ class Automaton:
     def encoder(self) -> Callable[[bytes], list[int]]:
         """A function from the bytes of a word to the labels of its arcs, with its own transition table."""
         table: dict[int, bool] = {}
-        inner, final, begins, longest, n = self.inner, self.final, self.begins, self.longest, len(self.labels)
-        has_arc = self.has_arc
+        final, begins, shorter, sizes = self.final, self.begins, self.shorter, self.size
+        longest, n, has_arc = self.longest, len(self.labels), self.has_arc
+
+        def fits(state: int, label: int) -> bool:
+            if len(table) > REMEMBER_ARCS:
+                table.clear()
+            arc = table[state * n + label] = has_arc(state, label)
+            return arc
 
         def encode(word: bytes) -> list[int]:
             size = len(word)
-            if size <= longest and (whole := final.get(word)) is not None:
-                return [whole]
-            path: list[tuple[int, int]] = []  # place and end of the arc taken there
             out: list[int] = []
-            at, state, end = 0, -1, -1
+            at, state = 0, -1
             while True:
-                if end < 0:  # a new place: how far any label reaches
-                    end = at + 1
-                    while end < size and word[at:end + 1] in begins:
-                        end += 1
-                    if size - at <= longest:
-                        end = size
-                while end > at:
-                    label = (final if end == size else inner).get(word[at:end])
+                if size - at <= longest:
+                    label = final.get(word[at:])
                     if label is not None:
-                        if state < 0:
-                            break
-                        key = state * n + label
-                        arc = table.get(key)
-                        if arc is None:
-                            if len(table) > REMEMBER_ARCS:
-                                table.clear()
-                            arc = table[key] = has_arc(state, label)
-                        if arc:
+                        arc = state < 0 or table.get(state * n + label)
+                        if fits(state, label) if arc is None else arc:
+                            out.append(label)
+                            return out
+                label, end = -1, at + 1
+                while end < size:
+                    longer = begins.get(word[at:end])
+                    if longer is None:
+                        break
+                    label = longer
+                    end += 1
+                while True:
+                    while label >= 0 and state >= 0:
+                        arc = table.get(state * n + label)
+                        if fits(state, label) if arc is None else arc:
                             break
-                    end -= 1
-                if end > at:
-                    out.append(label)
-                    if end == size:
-                        return out
-                    path.append((at, end))
-                    at, state, end = end, label, -1
-                else:
-                    at, end = path.pop()
-                    out.pop()
-                    state = out[-1] if out else -1
-                    end -= 1
+                        label = shorter[label]
+                    if label >= 0:
+                        break
+                    label = out.pop()  # back to the place before
+                    at -= sizes[label]
+                    label, state = shorter[label], out[-1] if out else -1
+                out.append(label)
+                at, state = at + sizes[label], label
 
         return encode
 
@@ -167,36 +180,75 @@ def normalize(text: str) -> str:
     return compose("NFC", text).replace("Σ", "σ").lower()
 
 
+def pieces(text: str) -> Iterable[str]:
+    """The text cut before blanks, which no word spans and no letter composes with."""
+    at = 0
+    while at >= 0:
+        end = text.find(" ", at + PIECE)
+        yield text[at:end] if end >= 0 else text[at:]
+        at = end
+
+
+class Remembered(dict):
+    """What a function made of the words it was asked for lately: at least the last REMEMBER_WORDS new ones."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make, self.before = make, {}
+
+    def __missing__(self, word: str) -> bytes:
+        value = self.before.get(word)
+        if value is None:
+            value = self.make(word)
+        if len(word) <= REMEMBER_LENGTH:
+            if len(self) >= REMEMBER_WORDS:
+                self.before = dict(self)
+                self.clear()
+            self[word] = value
+        return value
+
+
 class Tokenizer:
     """Encodes and decodes texts with one automaton.
 
-    Made anew in each task, so that idle Python workers hold none. Remembers the words it has read, and the
-    runs between white space, which hold a word and its punctuation.
+    Made anew in each task, so that idle Python workers hold none. Remembers the words it has read. A text is split
+    as a whole, not run by run, so that a word costs one look-up in whatever punctuation and case it stands.
     """
 
     def __init__(self, automaton: Automaton):
         self.automaton = automaton
         self.encode_word = automaton.encoder()
-        self.find = regex.compile(PATTERN).findall
+        self.find, self.find_ascii = regex.compile(PATTERN).findall, re.compile(ASCII_PATTERN).findall
         self.split = regex.compile("(" + "|".join(map(regex.escape, automaton.special)) + ")").split \
             if automaton.special else lambda text: [text]
-        self.words: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
+        self.words = Remembered(self._word)
+        self.labels = [x.encode("utf-8") for x in automaton.labels]
+        #: Letters met so far that Python's Unicode tables hold.
+        self.known: set[str] = set()
         self.library = None
 
     def _word(self, word: str) -> bytes:
         ids = self.encode_word(word.encode("utf-8", "surrogatepass"))
-        ids = pack(f"<{len(ids)}I", *ids)
-        if len(self.words) > REMEMBER_WORDS:
-            self.words.clear()
-        if len(word) <= REMEMBER_LENGTH:
-            self.words[word] = ids
-        return ids
-
-    def _split(self, run: str) -> list[str]:
-        """Words of a run. Letters that Unicode got lately are left to the library's own tables."""
-        if run.isascii() or self.automaton.rules is None or not any(category(c) == "Cn" for c in run):
-            return self.find(normalize(run))
+        return pack(f"<{len(ids)}I", *ids)
+
+    def _unknown(self, text: str) -> bool:
+        """Whether letters occur that Unicode got lately."""
+        met = set(text) - self.known
+        new = {c for c in met if category(c) == "Cn"}
+        self.known |= met - new
+        return bool(new)
+
+    def _split(self, text: str) -> list[str]:
+        """Words of a text. Runs with letters that Unicode got lately are left to the library's own tables."""
+        if text.isascii():
+            return self.find_ascii(text.lower())
+        if self.automaton.rules is None or not self._unknown(text):
+            return self.find(normalize(text))
+        # four control characters part words in Python, but not in the tokenizer
+        runs = [text] if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
+        return [w for run in runs for w in (self._split_by_library if self._unknown(run) else self._split)(run)]
+
+    def _split_by_library(self, run: str) -> list[str]:
         if self.library is None:
             import tokenizers
             self.library = tokenizers.Tokenizer.from_str(self.automaton.rules)
@@ -205,33 +257,22 @@ class Tokenizer:
         return [bytes(letters[c] for c in w).decode("utf-8")
                 for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
 
-    def _run(self, run: str) -> bytes:
-        get, new = self.words.get, self._word
-        ids = b"".join([get(w) or new(w) for w in self._split(run)])
-        if len(self.runs) > REMEMBER_WORDS:
-            self.runs.clear()
-        if len(run) <= REMEMBER_LENGTH:
-            self.runs[run] = ids
-        return ids
-
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         out: list[bytes] = []
         for part in self.split(text) if "<|" in text else [text]:
             if part in self.automaton.special:
                 out.append(pack("<I", self.automaton.special[part]))
-                continue
-            # four control characters part words in Python, but not in the tokenizer
-            runs = [part] if any(c in part for c in "\x1c\x1d\x1e\x1f") else part.split()
-            get, new = self.runs.get, self._run
-            for run in runs:
-                ids = get(run)
-                out.append(new(run) if ids is None else ids)
+            else:
+                out.extend(b"".join(map(self.words.__getitem__, self._split(piece))) for piece in pieces(part))
         return b"".join(out)
 
     def decode(self, ids: Iterable[int]) -> str:
         """The labels of the arcs, parted by spaces."""
-        return " ".join(map(self.automaton.labels.__getitem__, ids))
+        return self.decode_utf8(ids).decode("utf-8")
+
+    def decode_utf8(self, ids: Iterable[int]) -> bytes:
+        return b" ".join(map(self.labels.__getitem__, ids))
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
@@ -248,8 +289,8 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
 
         def row(text: str) -> tuple:
             data = tokenizer.encode(text)
-            decoded = tokenizer.decode(np.frombuffer(data, "<u4").tolist())
-            return len(data) // 4, sha256(data).hexdigest(), sha256(decoded.encode("utf-8")).hexdigest()
+            decoded = tokenizer.decode_utf8(np.frombuffer(data, "<u4").tolist())
+            return len(data) // 4, sha256(data).hexdigest(), sha256(decoded).hexdigest()
 
         return row
 
