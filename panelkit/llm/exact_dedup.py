@@ -61,7 +61,8 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        part = pa.Table.from_batches([batch])
+        # all columns nullable, as they come out of the aggregate: Spark marks some of a first run's as not null
+        part = pa.table(batch.columns, names=batch.schema.names)
         if held is not None:
             part = pa.concat_tables([held, part])
         last = part.slice(part.num_rows - 1).to_pylist()[0]

@@ -74,6 +74,30 @@ def test_digest_runs_that_span_batches(spark):
     assert out.where("keep_id <> doc_id % 25000 or kept <> (doc_id < 25000)").count() == 0
 
 
+def _long_parts(spark):
+    """Two input partitions of several Arrow batches each, one text longer than a batch, spaces, null texts and ids."""
+    part = spark.range(0, 60_000, 1, 2)
+    text = F.when(F.col("id") % 5 < 2, "the same").when(F.col("id") % 1_000 == 2, None) \
+        .otherwise(F.concat(F.lit("number"), F.repeat(F.lit(" "), (1 + F.col("id") % 3).cast("int")), F.col("id") % 20_000))
+    return part.select(F.when(F.col("id") % 7_000 != 6, F.col("id")).alias("doc_id"), text.alias("text"),
+                       F.col("id").alias("n"))
+
+
+def _smallest_by_text(rows):
+    """For each normalised text the row numbers, those with the smallest id first."""
+    groups = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r.doc_id is None, r.n)):
+        groups[re.sub("[\x20\x09-\x0d]+", " ", r.text or "")].append(r)
+    return groups
+
+
+def test_kept_rows_of_parts_longer_than_a_batch(spark):
+    docs = _long_parts(spark)
+    want = sorted(str(tuple(rows[0])) for rows in _smallest_by_text(docs.collect()).values())
+    kept = exact_dedup.keep_first(docs)
+    assert kept.columns == docs.columns and sorted(str(tuple(r)) for r in kept.collect()) == want
+
+
 def test_bpe_equals_the_library(spark):
     from tokenizers import Tokenizer
     path = public_tokenizers.path("word_bpe_49k.json")
