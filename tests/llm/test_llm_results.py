@@ -91,6 +91,16 @@ def _smallest_by_text(rows):
     return groups
 
 
+def test_first_runs_longer_than_a_batch(spark):
+    docs = _long_parts(spark)
+    groups = _smallest_by_text(docs.collect())
+    assert max(map(len, groups.values())) > 20_000 and len(groups) > 10_000
+    want = sorted((str(r.doc_id), str(rows[0].doc_id), len(rows), r.doc_id == rows[0].doc_id)
+                  for rows in groups.values() for r in rows)
+    got = exact_dedup.exact_groups(docs).collect()
+    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.kept) for r in got) == want
+
+
 def test_kept_rows_of_parts_longer_than_a_batch(spark):
     docs = _long_parts(spark)
     want = sorted(str(tuple(rows[0])) for rows in _smallest_by_text(docs.collect()).values())
